@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.dates import week_start
 from ..functions.money import cents, money_mean
 from ..schemas import GRADES
-from .dedup import SESSION_KEYS, keep_one
+from .dedup import keep_one
 from .filters import snapshot_day, usable_sales
 from .weekly import pivot_weeks
 
@@ -52,8 +52,13 @@ def sales_with_summary(auctions: DataFrame, day: dt.date, since: dt.date = SINCE
 
 def session_sales(auctions: DataFrame, day: dt.date, since: dt.date = SINCE,
                   partition: str | None = None) -> DataFrame:
-    """Sales of a day without repeats: the earliest scrape of each card, grade, date and price."""
-    return keep_one(sales(auctions, day, since, partition), SESSION_KEYS, "scraped_at", keep="earliest")
+    """Sales of a day without repeats: the earliest scrape of each card, grade, date and price.
+
+    The week follows from the date; naming it as a key too leaves the rows in the order that weekly
+    sums need, so they are not sorted a second time.
+    """
+    keys = ["card_name", "psa_level", "week_start", "auction_date", "auction_price"]
+    return keep_one(sales(auctions, day, since, partition), keys, "scraped_at", keep="earliest")
 
 
 def weekly(auctions: DataFrame, day: dt.date, since: dt.date = SINCE, partition: str | None = None) -> DataFrame:
@@ -116,15 +121,14 @@ def psa_numeric(grade="psa_level"):
 def top_cards_weekly(weeks: DataFrame, limit: int = 10, rank: str = "first_grade") -> DataFrame:
     """Weekly prices of the top cards with price points, lifecycle sales and url, one row per week."""
     best = top_cards(weeks, limit, rank).withColumnRenamed("total_sales_count", "lifecycle_sales")
-    # At most `limit` cards are broadcast.
+    # At most `limit` cards are broadcast, and a window sees the weeks of one card and grade.
     chosen = weeks.join(F.broadcast(best), "card_name")
-    per_grade = chosen.groupBy("card_name", "psa_level").agg(
-        F.count("avg_price").alias("price_points"),
-        F.min_by("psa_url", F.when(F.col("psa_url").isNotNull(), F.col("week_start"))).alias("url"),
-    )
-    return chosen.join(per_grade, ["card_name", "psa_level"]).select(
-        "card_order", "card_name", "psa_level", psa_numeric().alias("psa_numeric"), "price_points",
-        "lifecycle_sales", F.coalesce("url", F.lit("")).alias("psa_url"), "week_start", "avg_price",
+    one = Window.partitionBy("card_name", "psa_level")
+    url = F.min_by("psa_url", F.when(F.col("psa_url").isNotNull(), F.col("week_start"))).over(one)
+    return chosen.select(
+        "card_order", "card_name", "psa_level", psa_numeric().alias("psa_numeric"),
+        F.count("avg_price").over(one).alias("price_points"),
+        "lifecycle_sales", F.coalesce(url, F.lit("")).alias("psa_url"), "week_start", "avg_price",
     ).orderBy("card_order", F.desc("psa_numeric"), "psa_level", "week_start")
 
 

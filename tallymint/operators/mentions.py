@@ -26,12 +26,12 @@ class Terms:
 
 
 def posts(submissions: DataFrame, comments: DataFrame, since: dt.date = SINCE) -> DataFrame:
-    """Submissions and comments as ``week_start, kind, title, body``; a comment has no title."""
+    """Submissions and comments as ``week_start, kind, title, body``, in lower case; a comment has no title."""
     def part(df: DataFrame, kind: str, title: Column, body: str) -> DataFrame:
         day = F.col("created_utc").cast("date")
         return df.filter(day >= F.lit(since)).select(
             week_start("created_utc").alias("week_start"), F.lit(kind).alias("kind"),
-            title.cast("string").alias("title"), F.col(body).alias("body"),
+            F.lower(title.cast("string")).alias("title"), F.lower(body).alias("body"),
         )
 
     return part(submissions, "submission", F.col("title"), "selftext").unionByName(
@@ -40,18 +40,22 @@ def posts(submissions: DataFrame, comments: DataFrame, since: dt.date = SINCE) -
 
 
 def some(pattern: str, title: str = "title", body: str = "body") -> Column:
-    """The pattern occurs in the title or the body."""
+    """The pattern occurs in the title or the body, whatever their case."""
     return F.coalesce(matches(title, pattern), F.lit(False)) | F.coalesce(matches(body, pattern), F.lit(False))
 
 
 def mention_counts(content: DataFrame, terms: Terms = Terms()) -> DataFrame:
     """Posts per week by the terms they mention, and all posts, in one pass over the text.
 
-    A post that has one term in its title and another in its body mentions both.
+    ``content`` comes from :func:`posts`. A post that has one term in its title and another in its
+    body mentions both.
     """
+    def hit(pattern: str) -> Column:
+        return F.coalesce(F.col("title").rlike(pattern), F.lit(False)) \
+            | F.coalesce(F.col("body").rlike(pattern), F.lit(False))
+
     flags = content.select(
-        "week_start",
-        some(terms.card).alias("card"), some(terms.trading).alias("trading"), some(terms.market).alias("market"),
+        "week_start", hit(terms.card).alias("card"), hit(terms.trading).alias("trading"), hit(terms.market).alias("market")
     )
     card, trading, market = F.col("card"), F.col("trading"), F.col("market")
     return flags.groupBy("week_start").agg(

@@ -108,15 +108,16 @@ def trend_values(points: DataFrame) -> DataFrame:
     )
 
 
-def trend_grid(points: DataFrame) -> DataFrame:
+def trend_grid(points: DataFrame, keywords: DataFrame | None = None) -> DataFrame:
     """Every keyword on every date seen anywhere, NULL where it has no value.
 
-    The dates are one scalar array, bounded by the calendar; each keyword unfolds it.
+    ``keywords`` adds keywords that have no point at all. The dates are one scalar array, bounded by
+    the calendar, which each keyword unfolds.
     """
     values = trend_values(points)
-    days = points.agg(F.array_sort(F.collect_set("date"))).scalar()
-    grid = points.select("keyword").distinct().withColumn("date", F.explode(days))
-    return grid.join(values, ["keyword", "date"], "left")
+    names = (points if keywords is None else keywords).select("keyword").distinct()
+    days = values.agg(F.array_sort(F.collect_set("date"))).scalar()
+    return names.withColumn("date", F.explode(days)).join(values, ["keyword", "date"], "left")
 
 
 def trend_pivot(points: DataFrame, value: str, dates: list[dt.date]) -> DataFrame:

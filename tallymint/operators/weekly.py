@@ -11,6 +11,7 @@ from ..functions.money import cents, money_mean, money_sum
 from ..functions.text import display_name
 from .catalog import latest_catalog
 from .filters import filled
+from .joins import BROADCAST_ROWS, rollup_listed
 
 # Fixed value: reports start here unless told otherwise.
 SINCE = dt.date(2024, 1, 1)
@@ -23,40 +24,40 @@ def _buckets(prices: DataFrame, scrape_date: dt.date | None, since: dt.date) ->
     return kept.withColumn("week_start", week_start("bucket_start_date"))
 
 
-def _in_categories(buckets: DataFrame, catalog: DataFrame, categories: list, raw_catalog: bool) -> DataFrame:
-    """Buckets of products in some categories.
+def _listed(catalog: DataFrame, categories: list, raw_catalog: bool) -> tuple[DataFrame, str]:
+    """Products of some categories and the join to use with them.
 
-    A product counts once, by its newest catalog row. ``raw_catalog`` joins every catalog row, so a
+    A product counts once, by its newest catalog row. ``raw_catalog`` keeps every catalog row, so a
     product listed on several load dates counts several times.
     """
-    if raw_catalog:
-        listed = catalog.filter(F.col("category_id").isin(categories)).select("product_id")
-        return buckets.join(listed, "product_id")
-    listed = latest_catalog(catalog, ["category_id"]).filter(F.col("category_id").isin(categories))
-    return buckets.join(listed.select("product_id"), "product_id", "left_semi")
+    rows = catalog if raw_catalog else latest_catalog(catalog, ["category_id"])
+    listed = rows.filter(F.col("category_id").isin(categories)).select("product_id")
+    return listed, "inner" if raw_catalog else "left_semi"
 
 
 def weekly_asp_simple(prices: DataFrame, catalog: DataFrame, categories: list, scrape_date: dt.date | None = None,
-                      since: dt.date = SINCE, raw_catalog: bool = False) -> DataFrame:
+                      since: dt.date = SINCE, raw_catalog: bool = False,
+                      broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Plain average price by condition and week."""
     buckets = _buckets(prices, scrape_date, since).filter((F.col("market_price") > 0) & filled("condition"))
-    return (
-        _in_categories(buckets.select("product_id", "condition", "week_start", "market_price"),
-                       catalog, categories, raw_catalog)
-        .groupBy("condition", "week_start")
-        .agg(money_mean("market_price").alias("simple_asp"))
+    listed, how = _listed(catalog, categories, raw_catalog)
+    sums = rollup_listed(
+        buckets.select("product_id", "condition", "week_start", "market_price"), listed, "product_id",
+        ["condition", "week_start"], {"value": money_sum("market_price"), "n": F.count("market_price")},
+        how, broadcast_rows,
     )
+    return sums.select("condition", "week_start", (F.col("value").cast("double") / F.col("n")).alias("simple_asp"))
 
 
 def weekly_volume(prices: DataFrame, catalog: DataFrame, categories: list, scrape_date: dt.date | None = None,
-                  since: dt.date = SINCE, raw_catalog: bool = False) -> DataFrame:
+                  since: dt.date = SINCE, raw_catalog: bool = False,
+                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Quantity sold by condition and week."""
     buckets = _buckets(prices, scrape_date, since).filter(F.col("quantity_sold").isNotNull() & filled("condition"))
-    return (
-        _in_categories(buckets.select("product_id", "condition", "week_start", "quantity_sold"),
-                       catalog, categories, raw_catalog)
-        .groupBy("condition", "week_start")
-        .agg(F.sum("quantity_sold").alias("trading_volume"))
+    listed, how = _listed(catalog, categories, raw_catalog)
+    return rollup_listed(
+        buckets.select("product_id", "condition", "week_start", "quantity_sold"), listed, "product_id",
+        ["condition", "week_start"], {"trading_volume": F.sum("quantity_sold")}, how, broadcast_rows,
     )
 
 
@@ -64,16 +65,14 @@ def weekly_unique(prices: DataFrame, catalog: DataFrame, categories: list, scrap
                   since: dt.date = SINCE, metric: str = "Products with sales", approximate: bool = False) -> DataFrame:
     """Products with sales per week.
 
-    Sales shrink to one row per (week, product) before they meet the catalog. ``approximate`` counts
-    with a sketch instead and joins row by row.
+    Sales shrink to one row per week and product, which also makes a hot product small.
+    ``approximate`` counts with a sketch instead.
     """
     sold = _buckets(prices, scrape_date, since).filter(F.col("quantity_sold") > 0).select("week_start", "product_id")
-    if approximate:
-        listed = _in_categories(sold, catalog, categories, raw_catalog=False)
-        counted = listed.groupBy("week_start").agg(F.approx_count_distinct("product_id").alias("unique_products"))
-    else:
-        listed = _in_categories(sold.distinct(), catalog, categories, raw_catalog=False)
-        counted = listed.groupBy("week_start").agg(F.count("*").alias("unique_products"))
+    listed, _ = _listed(catalog, categories, raw_catalog=False)
+    pairs = sold.distinct().join(listed, "product_id", "left_semi")
+    count = F.approx_count_distinct("product_id") if approximate else F.count("*")
+    counted = pairs.groupBy("week_start").agg(count.alias("unique_products"))
     return counted.select(F.lit(metric).alias("metric"), "week_start", "unique_products")
 
 

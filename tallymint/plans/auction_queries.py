@@ -218,13 +218,13 @@ def price_point_counts(v: Views) -> DataFrame:
 
 @query("top_cards", with_views("auctions", "sales", "totals", "session", "weekly", "best")
        + """SELECT card_name, lifecycle_sales AS total_sales_count,
-            ROW_NUMBER() OVER (ORDER BY lifecycle_sales DESC, card_name) - 1 AS card_order FROM best""")
+            CAST(ROW_NUMBER() OVER (ORDER BY lifecycle_sales DESC, card_name) - 1 AS INTEGER) AS card_order FROM best""")
 def top_cards(v: Views) -> DataFrame:
     return auctions.top_cards(weeks(v))
 
 
 @query("top_cards_by_sum", WEEKLY + """SELECT card_name, CAST(SUM(t) AS BIGINT) AS total_sales_count,
-    ROW_NUMBER() OVER (ORDER BY SUM(t) DESC, card_name) - 1 AS card_order
+    CAST(ROW_NUMBER() OVER (ORDER BY SUM(t) DESC, card_name) - 1 AS INTEGER) AS card_order
     FROM (SELECT card_name, psa_level, MAX(total_sales_count) AS t FROM weekly GROUP BY ALL)
     GROUP BY card_name ORDER BY total_sales_count DESC, card_name LIMIT 10""")
 def top_cards_by_sum(v: Views) -> DataFrame:

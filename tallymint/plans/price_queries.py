@@ -146,7 +146,7 @@ def pivot_product_week(v: Views) -> DataFrame:
 
 @query("custom_order", with_views("prices", "catalog", "newest")[:-1] + f""",
     sellers AS ({SELLERS_SQL}), life AS ({LIFETIME_SQL})
-    SELECT l.*, ROW_NUMBER() OVER (ORDER BY s.pos, l.product_id) AS rank,
+    SELECT l.*, CAST(ROW_NUMBER() OVER (ORDER BY s.pos, l.product_id) AS INTEGER) AS rank,
            CASE WHEN length(l.product_name) > 40 THEN substr(l.product_name, 1, 40) || '...' ELSE l.product_name END
              || ' (' || l.product_id || ')' AS product
     FROM life l JOIN (SELECT product_id, ROW_NUMBER() OVER (ORDER BY pos, product_id) AS pos FROM sellers) s

@@ -80,10 +80,10 @@ def trend_series_explode(v: Views) -> DataFrame:
 
 
 @query("trend_grid", with_views("ticks", "trend_values") + """SELECT keyword, date, price, quantity
-    FROM (SELECT DISTINCT keyword FROM trend_values) CROSS JOIN (SELECT DISTINCT date FROM trend_values)
+    FROM (SELECT DISTINCT 'kw_' || user_id AS keyword FROM ticks) CROSS JOIN (SELECT DISTINCT date FROM trend_values)
     LEFT JOIN trend_values USING (keyword, date)""")
 def trend_grid(v: Views) -> DataFrame:
-    return series.trend_grid(trend_points(v))
+    return series.trend_grid(trend_points(v), v.trend_lines)
 
 
 MONTH = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(31)]

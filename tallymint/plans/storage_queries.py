@@ -147,12 +147,14 @@ def flatten_price_json(v: Views) -> DataFrame:
     return documents.price_rows(price_documents(v)).select(*BUCKET_COLUMNS)
 
 
-@query("scan_price_json", with_views("prices") + BUCKETS_SQL.replace("scrape_date,", "DATE '2001-12-02' AS scrape_date,"))
+@query("scan_price_json", with_views("prices") + BUCKETS_SQL.replace("product_id, sku_id", "sku_id AS product_id, sku_id")
+       .replace("scrape_date,", "DATE '2001-12-02' AS scrape_date,"))
 def scan_price_json(v: Views) -> DataFrame:
+    """Here a seller stands for a product: its documents share one folder, whose name carries the id."""
     path = workspace(v.spark, "price-json")
-    price_documents(v).select("product_id", "value").hint("rebalance", "product_id") \
-        .write.partitionBy("product_id").text(path)
-    ident = F.regexp_extract("path", r"product_id=(\d+)/[^/]+$", 1)
+    sku = F.get_json_object("value", "$.result[0].skuId").alias("seller")
+    price_documents(v).select(sku, "value").hint("rebalance", "seller").write.partitionBy("seller").text(path)
+    ident = F.regexp_extract("path", r"seller=(\d+)/[^/]+$", 1)
     return files.scan_price_json(v.spark, path, F.lit(DAY), whole=False, glob="*.txt", product_id=ident) \
         .select(*BUCKET_COLUMNS)
 

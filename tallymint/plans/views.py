@@ -395,7 +395,7 @@ SQL_VIEWS = {
                COALESCE(first_value(w.psa_url) OVER (PARTITION BY w.card_name, w.psa_level
                    ORDER BY CASE WHEN w.psa_url IS NULL THEN 1 ELSE 0 END, w.week_start), '') AS psa_url,
                w.week_start, w.avg_price
-        FROM weekly w JOIN (SELECT *, ROW_NUMBER() OVER (ORDER BY lifecycle_sales DESC, card_name) - 1 AS card_order
+        FROM weekly w JOIN (SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY lifecycle_sales DESC, card_name) - 1 AS INTEGER) AS card_order
                             FROM best) b USING (card_name)""",
     "submissions": """
         SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN source = 'src0' THEN '[deleted]' ELSE source END AS author,

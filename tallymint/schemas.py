@@ -36,9 +36,9 @@ AUCTION = _flat("""
     lifecycle_sales_count BIGINT
 """)
 
+# The summary is read as a map, which tells an empty one from one with unknown fields.
 AUCTION_DOCUMENT = _nested("""
-    historicalItemAuctionSummary STRUCT<numberOfSales: BIGINT, averagePrice: DOUBLE, medianPrice: DOUBLE,
-        minPrice: DOUBLE, maxPrice: DOUBLE>,
+    historicalItemAuctionSummary MAP<STRING, STRING>,
     historicalAuctionInfo STRUCT<highestDailySales: ARRAY<STRUCT<dateOfSale: STRING, price: DOUBLE>>>
 """)
 

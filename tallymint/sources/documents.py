@@ -107,35 +107,29 @@ def auction_rows(docs: DataFrame, scraped_at: Column, text: str = "value") -> Da
     ``docs`` holds ``item_id``, ``grade``, ``card_name`` and the document text. An empty document
     gives no rows. Both kinds come out of one pass: each document becomes a small array of records.
     """
-    doc = F.from_json(text, schemas.AUCTION_DOCUMENT)
-    summary, sales = F.col("d.historicalItemAuctionSummary"), F.col("d.historicalAuctionInfo.highestDailySales")
-
-    def record(kind: str, s: Column | None, sale: Column | None) -> Column:
-        def of(struct: Column | None, name: str, to: str) -> Column:
-            return (struct[name] if struct is not None else F.lit(None)).cast(to)
+    def number(values: Column | None, name: str, kind: str) -> Column:
+        return F.lit(None).cast(kind) if values is None else values[name].try_cast("double").cast(kind)
 
+    def record(kind: str, summary: Column | None, sale: Column | None) -> Column:
         return F.struct(
             F.lit(kind).alias("record_type"),
-            of(s, "numberOfSales", "bigint").alias("total_sales_count"),
-            of(s, "averagePrice", "double").alias("average_price"),
-            of(s, "medianPrice", "double").alias("median_price"),
-            of(s, "minPrice", "double").alias("min_price"),
-            of(s, "maxPrice", "double").alias("max_price"),
-            of(sale, "dateOfSale", "string").alias("sale_date"),
-            of(sale, "price", "double").alias("sale_price"),
+            number(summary, "numberOfSales", "bigint").alias("total_sales_count"),
+            number(summary, "averagePrice", "double").alias("average_price"),
+            number(summary, "medianPrice", "double").alias("median_price"),
+            number(summary, "minPrice", "double").alias("min_price"),
+            number(summary, "maxPrice", "double").alias("max_price"),
+            (F.lit(None).cast("string") if sale is None else sale["dateOfSale"]).alias("sale_date"),
+            (F.lit(None).cast("double") if sale is None else sale["price"]).alias("sale_price"),
         )
 
-    # An empty summary object counts as absent.
-    has_summary = F.coalesce(
-        F.get_json_object(text, "$.historicalItemAuctionSummary") != "{}", F.lit(False)
-    )
+    parsed = docs.select("item_id", "grade", "card_name", F.from_json(text, schemas.AUCTION_DOCUMENT).alias("d"))
+    summary, sales = F.col("d.historicalItemAuctionSummary"), F.col("d.historicalAuctionInfo.highestDailySales")
     records = F.concat(
-        F.when(F.col("has_summary"), F.array(record("summary", summary, None))).otherwise(F.array()),
+        # An empty summary counts as absent.
+        F.when(F.size(summary) > 0, F.array(record("summary", summary, None))).otherwise(F.array()),
         F.coalesce(F.transform(sales, lambda s: record("sale", None, s)), F.array()),
     )
-    rows = docs.select(
-        "item_id", "grade", "card_name", doc.alias("d"), has_summary.alias("has_summary")
-    ).select("item_id", "grade", "card_name", F.explode(records).alias("r"))
+    rows = parsed.select("item_id", "grade", "card_name", F.explode(records).alias("r"))
     made = {
         "item_id": F.col("item_id"),
         "grade": F.col("grade"),

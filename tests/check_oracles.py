@@ -34,6 +34,17 @@ def duck(folder: str):
     return con
 
 
+# Names of the same type in both engines.
+SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+             "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_gaps(df, description) -> list[str]:
+    """Columns whose types differ between a DataFrame and a SQL result."""
+    theirs = {d[0]: str(d[1]) for d in description}
+    return [f"{n}: {t} vs {theirs[n]}" for n, t in df.dtypes if n in theirs and SAME_TYPE.get(t, t) != theirs[n]]
+
+
 def rows_of(columns: list[str], rows) -> list[str]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(repr([plain(r[i]) for i in order]) for r in rows)
@@ -50,6 +61,9 @@ def compare(spark, con, run, sql: str | None, folder: str) -> tuple[bool, str]:
     theirs = rows_of(names, result.fetchall())
     if sorted(names) != sorted(df.columns):
         return False, f"columns {sorted(df.columns)} vs {sorted(names)}"
+    gaps = type_gaps(df, result.description)
+    if gaps:
+        return False, f"types {gaps}"
     if mine == theirs:
         return True, f"{len(mine)} rows"
     a, b = sorted(set(mine) - set(theirs)), sorted(set(theirs) - set(mine))
