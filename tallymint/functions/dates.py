@@ -56,16 +56,19 @@ def date_from_name(name: Column | str, modified: Column | None = None) -> Column
     """
     name = _col(name)
 
-    def found(pattern: str, fmt: str, suffix: str = "") -> Column:
+    def found(pattern: str, iso) -> Column:
         hit = F.regexp_extract(name, pattern, 0)
-        return F.try_to_date(F.when(hit != "", F.concat(hit, F.lit(suffix))), fmt)
+        return F.when(hit != "", iso(hit).try_cast("date"))
+
+    def compact(hit: Column) -> Column:
+        return F.concat_ws("-", F.substring(hit, 1, 4), F.substring(hit, 5, 2), F.substring(hit, 7, 2))
 
     # Accepted date forms, in order.
     options = [
-        found(r"\d{4}-\d{2}-\d{2}", "yyyy-MM-dd"),
-        found(r"\d{8}", "yyyyMMdd"),
-        found(r"\d{4}-\d{2}", "yyyy-MM-dd", "-01"),
-        found(r"\d{4}_\d{2}_\d{2}", "yyyy_MM_dd"),
+        found(r"\d{4}-\d{2}-\d{2}", lambda hit: hit),
+        found(r"\d{8}", compact),
+        found(r"\d{4}-\d{2}", lambda hit: F.concat(hit, F.lit("-01"))),
+        found(r"\d{4}_\d{2}_\d{2}", lambda hit: F.replace(hit, F.lit("_"), F.lit("-"))),
     ]
     if modified is not None:
         options.append(modified.cast("date"))

@@ -16,6 +16,7 @@ from ..functions.text import product_id_from_file
 from ..operators import auctions, dedup, tables
 from ..session import workspace
 from ..sources import archives, documents, files
+from ..sources.tables import spread
 from ..streaming import ingest
 from .registry import query
 from .views import DAY, DAY_BEFORE, LINE_GRADES, SINCE, Views, case, sql_case, with_views
@@ -138,8 +139,8 @@ def price_documents(v: Views) -> DataFrame:
         F.when(F.col("condition") != "N", F.array(bucket)).otherwise(F.array()).alias("buckets"),
     )
     doc = F.to_json(F.struct(F.col("product_id").alias("productId"), F.array(result).alias("result")))
-    return v.prices.select("product_id", "scrape_date", F.concat("product_id", F.lit(".json")).alias("source_file"),
-                           doc.alias("value"))
+    return spread(v.prices).select("product_id", "scrape_date",
+                                   F.concat("product_id", F.lit(".json")).alias("source_file"), doc.alias("value"))
 
 
 @query("flatten_price_json", with_views("prices") + BUCKETS_SQL)
@@ -170,7 +171,7 @@ def scan_daily_prices(v: Views) -> DataFrame:
     payload = F.when(F.col("l_linestatus") == "F", F.to_json(F.struct(entry.alias("results")))) \
         .otherwise(F.to_json(entry))
     parts = ["price_date", "category_id", "group_id"]
-    v.table("lineitem").select(
+    spread(v.table("lineitem")).select(
         F.when(F.col("l_linestatus") == "F", F.lit(DAY_BEFORE)).otherwise(F.lit(DAY)).alias("price_date"),
         F.col("l_linenumber").alias("category_id"), case(F.col("l_returnflag"), {"A": 1, "N": 2, "R": 3}).alias("group_id"),
         payload.alias("value"),
@@ -188,7 +189,7 @@ def scan_auction_json(v: Views) -> DataFrame:
     sale = F.struct(F.date_format("l_shipdate", "MM/dd/yyyy").alias("dateOfSale"), F.col("l_extendedprice").alias("price"))
     doc = F.to_json(F.struct(F.struct(F.array(sale).alias("highestDailySales")).alias("historicalAuctionInfo")))
     item = F.col("l_partkey").cast("string")
-    docs = v.table("lineitem").select(
+    docs = spread(v.table("lineitem")).select(
         F.concat(F.lit("cache/"), item, F.lit("_"), case(F.col("l_linenumber"), LINE_GRADES), F.lit(".json")).alias("path"),
         F.when(F.col("l_returnflag") == "N", "{}").otherwise(doc).alias("value"))
     cards = v.table("part").select(F.col("p_partkey").cast("string").alias("item_id"), F.col("p_name").alias("card_name"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..operators.tables import conform
-from ..sources.tables import table
+from ..sources.tables import spread, table
 
 DAY = dt.date(2001, 12, 2)
 DAY_BEFORE = dt.date(2001, 12, 1)
@@ -50,6 +50,10 @@ def sql_case(column: str, values: dict) -> str:
     return f"CASE {column} " + " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in values.items()) + " END"
 
 
+def _k() -> Column:
+    return F.get_json_object("props", "$.k").cast("bigint")
+
+
 class Views:
     """Views over one folder of test tables, built when first used."""
 
@@ -141,16 +145,20 @@ class Views:
             .when(F.col("l_returnflag") == "A", F.array(at["d0"], at["d1"]))
             .otherwise(F.array(at["d1"]))
         )
-        rows = self.table("lineitem").select(
+        # Texts are made inside the unfolded records, so that filters on them do not make them again.
+        record = F.transform(scrapes, lambda at: F.struct(
+            at.alias("scraped_at"),
+            F.date_format("l_shipdate", "MM/dd/yyyy").alias("sale_date"),
+            F.concat(F.lit("Card "), F.col("l_partkey").cast("string")).alias("card_name"),
+        ))
+        rows = spread(self.table("lineitem")).select(
             F.col("l_partkey").cast("string").alias("item_id"),
             case(F.col("l_linenumber"), LINE_GRADES).alias("grade"),
             F.lit("sale").alias("record_type"),
-            F.date_format("l_shipdate", "MM/dd/yyyy").alias("sale_date"),
             F.col("l_extendedprice").alias("sale_price"),
-            F.concat(F.lit("Card "), F.col("l_partkey").cast("string")).alias("card_name"),
             F.when(F.col("l_linestatus") == "F",
                    F.concat(F.lit("https://cards.example/"), F.col("l_partkey").cast("string"))).alias("psa_url"),
-            F.explode(scrapes).alias("scraped_at"),
+            F.inline(record),
         )
         return conform(rows, schemas.AUCTION)
 
@@ -184,7 +192,7 @@ class Views:
         """Documents as submissions: the first line is the title, the rest the text."""
         first_break = F.instr("text", "\n")
         body = F.when(first_break > 0, F.expr(r"substr(text, instr(text, '\n') + 1)"))
-        rows = self.table("documents").select(
+        rows = spread(self.table("documents")).select(
             F.col("doc_id").cast("string").alias("id"),
             F.when(F.col("source") == "src0", "[deleted]").otherwise(F.col("source")).alias("author"),
             F.date_add(F.lit(dt.date(2009, 6, 1)), (F.col("n_chars") % 5000).cast("int"))
@@ -200,7 +208,7 @@ class Views:
     def comments(self) -> DataFrame:
         """Conversation turns as comments."""
         conv = F.col("conv_id").cast("string")
-        rows = self.table("conversations").select(
+        rows = spread(self.table("conversations")).select(
             F.concat(conv, F.lit("-"), F.col("turn").cast("string")).alias("id"),
             F.when(F.col("role") == "system", "[deleted]").otherwise(F.col("role")).alias("author"),
             F.date_add(F.lit(dt.date(2009, 6, 1)), (F.col("conv_id") % 4000).cast("int"))
@@ -216,7 +224,7 @@ class Views:
     @cached_property
     def ticks(self) -> DataFrame:
         """Events with the number inside their JSON properties."""
-        return self.table("events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+        return self.table("events").withColumn("k", _k())
 
     @cached_property
     def trend_lines(self) -> DataFrame:
@@ -232,7 +240,7 @@ class Views:
                          F.array(F.array(ms, F.col("k").cast("double"))).alias("data")),
             ).alias("series"),
         ))
-        return self.ticks.select(
+        return spread(self.table("events")).withColumn("k", _k()).select(
             F.concat(F.lit("kw_"), F.col("user_id").cast("string")).alias("keyword"),
             F.col("event_id").alias("line_no"),
             F.when(F.col("event_type") == "error", '{"_type": "Other"}')
@@ -249,7 +257,7 @@ class Views:
         at = case(F.col("event_type"), EVENT_SERIES)
         csv = F.transform(F.sequence(F.lit(0), F.lit(10)), lambda i: F.when(i == at, packed))
         doc = F.to_json(F.struct(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("asin"), csv.alias("csv")))
-        return self.ticks.select("event_id", doc.alias("value"))
+        return spread(self.table("events")).select("event_id", doc.alias("value"))
 
     @cached_property
     def run_log(self) -> DataFrame:

@@ -14,6 +14,15 @@ from ..functions import cleaning, dates
 from ..functions.text import product_id_from_url
 
 
+def parsed(docs: DataFrame, keep: tuple[str, ...], value: Column) -> DataFrame:
+    """The parsed document as column ``d`` beside the columns to keep.
+
+    Unfolding a one-element array is a boundary for the optimiser: later filters and field reads stay
+    above it instead of being folded into the parser, which would run it several times per document.
+    """
+    return docs.select(*keep, F.explode_outer(F.array(value)).alias("d"))
+
+
 # --- price history documents -------------------------------------------------------------------
 
 # JSON names of a price document and the column each one fills.
@@ -46,12 +55,12 @@ def price_rows(docs: DataFrame, text: str = "value", flag: str | None = None) ->
     without buckets keeps one row with NULL bucket fields; invalid text gives no row. ``flag`` names
     an optional column marking rows whose whole-number fields held a fraction.
     """
-    per_result = docs.select(
-        "product_id", "scrape_date", "source_file",
-        F.explode(F.from_json(text, schemas.PRICE_DOCUMENT)["result"]).alias("r"),
+    keep = ("product_id", "scrape_date", "source_file")
+    per_result = parsed(docs, keep, F.from_json(text, schemas.PRICE_DOCUMENT)).select(
+        *keep, F.explode("d.result").alias("r")
     )
     per_bucket = per_result.select(
-        "product_id", "scrape_date", "source_file", "r", F.explode_outer("r.buckets").alias("b")
+        *keep, "r", F.explode_outer("r.buckets").alias("b")
     )
     flat = per_bucket.select(
         "product_id",
@@ -82,9 +91,8 @@ def daily_price_rows(docs: DataFrame, loaded_at: Column, text: str = "value") ->
         F.from_json(text, f"STRUCT<results: ARRAY<{entry}>>")["results"],
         F.when(F.ltrim(F.col(text)).startswith("["), F.from_json(text, f"ARRAY<{entry}>")),
     )
-    return docs.select(
-        "price_date", "category_id", "group_id", F.explode(entries).alias("e")
-    ).select(
+    keep = ("price_date", "category_id", "group_id")
+    return parsed(docs, keep, entries).select(*keep, F.explode("d").alias("e")).select(
         "price_date",
         F.col("e.productId").alias("product_id"),
         F.col("e.subTypeName").alias("sub_type_name"),
@@ -122,14 +130,16 @@ def auction_rows(docs: DataFrame, scraped_at: Column, text: str = "value") -> Da
             (F.lit(None).cast("double") if sale is None else sale["price"]).alias("sale_price"),
         )
 
-    parsed = docs.select("item_id", "grade", "card_name", F.from_json(text, schemas.AUCTION_DOCUMENT).alias("d"))
+    keep = ("item_id", "grade", "card_name")
     summary, sales = F.col("d.historicalItemAuctionSummary"), F.col("d.historicalAuctionInfo.highestDailySales")
     records = F.concat(
         # An empty summary counts as absent.
         F.when(F.size(summary) > 0, F.array(record("summary", summary, None))).otherwise(F.array()),
         F.coalesce(F.transform(sales, lambda s: record("sale", None, s)), F.array()),
     )
-    rows = parsed.select("item_id", "grade", "card_name", F.explode(records).alias("r"))
+    rows = parsed(docs, keep, F.from_json(text, schemas.AUCTION_DOCUMENT)).select(
+        *keep, F.explode_outer(records).alias("r")
+    ).filter("r IS NOT NULL")
     made = {
         "item_id": F.col("item_id"),
         "grade": F.col("grade"),
@@ -161,10 +171,10 @@ def trend_points(lines: DataFrame, text: str = "value", zone: str = "UTC") -> Da
     ``lines`` holds ``keyword``, ``line_no`` (any value that orders the lines of a keyword) and the
     line text. Blank, broken and other lines are dropped, and so are NULL points.
     """
-    parsed = lines.select("keyword", "line_no", F.from_json(text, schemas.TREND_LINE).alias("t"))
-    series = parsed.filter(F.col("t._type") == TREND_KIND).select(
-        "keyword", "line_no", F.explode("t.series").alias("s")
-    )
+    keep = ("keyword", "line_no")
+    series = parsed(lines, keep, F.from_json(text, schemas.TREND_LINE)).filter(
+        F.col("d._type") == TREND_KIND
+    ).select(*keep, F.explode("d.series").alias("s"))
     points = series.filter(F.col("s.id").isin(*TREND_SERIES)).select(
         "keyword", "line_no", F.col("s.id").alias("series"), F.posexplode("s.data").alias("pos", "p")
     )
@@ -209,15 +219,15 @@ def packed_points(products: DataFrame, series: dict[str, int] | None = None, str
 
 def packed_products(docs: DataFrame, text: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Product documents to ``asin`` and the packed arrays; ``keep`` names columns passed through."""
-    return docs.select(*keep, F.from_json(text, schemas.PACKED_PRODUCT).alias("d")).select(*keep, "d.asin", "d.csv")
+    return parsed(docs, keep, F.from_json(text, schemas.PACKED_PRODUCT)).select(*keep, "d.asin", "d.csv")
 
 
 # --- catalog pages -----------------------------------------------------------------------------
 
 def page_results(pages: DataFrame, entry: str, text: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """The entries of ``{"results": [...]}`` pages as rows; ``entry`` is the STRUCT type of one entry."""
-    results = F.from_json(text, f"STRUCT<results: ARRAY<{entry}>>")["results"]
-    return pages.select(*keep, F.inline(results))
+    page = F.from_json(text, f"STRUCT<results: ARRAY<{entry}>>")
+    return parsed(pages, keep, page).select(*keep, F.inline("d.results"))
 
 
 def url_ids(files: DataFrame, text: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:

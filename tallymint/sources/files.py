@@ -16,12 +16,9 @@ DAILY_PATH = r"(\d{4}-\d{2}-\d{2})/(?:[a-z_]+=)?(\d+)/(?:[a-z_]+=)?(\d+)/[^/]+$"
 
 def read_documents(spark: SparkSession, path: str, glob: str = "*.json", whole: bool = True) -> DataFrame:
     """Text files below ``path`` as ``value`` and ``path``: one row per file, or one per line."""
-    reader = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .option("wholetext", str(whole).lower())
-    )
-    return reader.text(path).select("value", F.col("_metadata.file_path").alias("path"))
+    # Keyword arguments, because text() resets these options when they are set before.
+    found = spark.read.text(path, wholetext=whole, pathGlobFilter=glob, recursiveFileLookup=True)
+    return found.select("value", F.col("_metadata.file_path").alias("path"))
 
 
 def relative_path(path: Column | str, base: str) -> Column:

@@ -60,10 +60,13 @@ def ingest_prices(spark: SparkSession, landing: str, table: str, manifest: str,
     The manifest has one row per file, also for files that hold no rows.
     """
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = documents.price_rows(batch)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("scrape_date").parquet(f"{table}/batch={batch_id}")
+        target = f"{table}/batch={batch_id}"
+        documents.price_rows(batch).write.mode("overwrite").option("partitionOverwriteMode", "static") \
+            .partitionBy("scrape_date").parquet(target)
         files = batch.select("source_file", "scrape_date").distinct()
-        loaded = rows.groupBy("source_file", "scrape_date").agg(F.count("*").alias("record_count"))
+        # Counting what was written reads two columns instead of parsing every document again.
+        loaded = batch.sparkSession.read.schema("source_file STRING, scrape_date DATE").parquet(target) \
+            .groupBy("source_file", "scrape_date").agg(F.count("*").alias("record_count"))
         files.join(loaded, ["source_file", "scrape_date"], "left").select(
             F.col("source_file").alias("filepath"), "scrape_date",
             F.current_timestamp().cast("timestamp_ntz").alias("upload_timestamp"),
