@@ -7,6 +7,7 @@ from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..functions import text as txt
+from ..operators.joins import fits_broadcast
 from . import documents
 
 # Fixed value: the tail of a daily price path, {date}/{category}/{group}/prices. Folders written by
@@ -73,7 +74,9 @@ def graded_documents(docs: DataFrame, cards: DataFrame) -> DataFrame:
         txt.extract(name, txt.GRADED_FILE, 2).alias("grade"),
         "value",
     ).filter("item_id IS NOT NULL")
-    return keyed.join(cards.select("item_id", "card_name"), "item_id", "left")
+    names = cards.select("item_id", "card_name")
+    # A list of checked size is broadcast, so that the documents themselves are not shuffled.
+    return keyed.join(F.broadcast(names) if fits_broadcast(names) else names, "item_id", "left")
 
 
 def scan_auction_json(spark: SparkSession, path: str, cards: DataFrame, scraped_at: Column) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import date_from_name
 from ..functions.text import product_id_from_file
+from ..operators import tables
 from ..sources import documents
 from ..sources.files import relative_path
 
@@ -61,8 +62,7 @@ def ingest_prices(spark: SparkSession, landing: str, table: str, manifest: str,
     """
     def load(batch: DataFrame, batch_id: int) -> None:
         target = f"{table}/batch={batch_id}"
-        documents.price_rows(batch).write.mode("overwrite").option("partitionOverwriteMode", "static") \
-            .partitionBy("scrape_date").parquet(target)
+        tables.replace(documents.price_rows(batch), target, "scrape_date", ["product_id", "language", "condition"])
         files = batch.select("source_file", "scrape_date").distinct()
         # Counting what was written reads two columns instead of parsing every document again.
         loaded = batch.sparkSession.read.schema("source_file STRING, scrape_date DATE").parquet(target) \

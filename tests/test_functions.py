@@ -16,8 +16,8 @@ def values(spark, expr, data, schema):
 
 def test_date_from_name(spark):
     names = {
-        "tcg_data_2025-01-15.zip": D(2025, 1, 15), "data_20250115.zip": D(2025, 1, 15),
-        "product_details_2025-01.zip": D(2025, 1, 1), "d_2025_01_15.zip": D(2025, 1, 15),
+        "cards_2025-01-15.zip": D(2025, 1, 15), "data_20250115.zip": D(2025, 1, 15),
+        "details_2025-01.zip": D(2025, 1, 1), "d_2025_01_15.zip": D(2025, 1, 15),
         "d_2025-01-45.zip": D(2025, 1, 1), "d_20251345.zip": D(2024, 5, 6), "nodate.zip": D(2024, 5, 6),
     }
     expr = dates.date_from_name("n", F.lit(dt.datetime(2024, 5, 6, 7)))

@@ -326,7 +326,7 @@ def test_alignment_and_summary(rows):
 FAILURES = "date date, failure_type string, error_message string"
 
 
-def test_reference_failures(rows):
+def test_failures_of_four_kinds(rows):
     df = rows([(D(2024, 12, 1), "download", "Connection timeout"), (D(2024, 12, 2), "extract", "7z error: corrupt archive"),
                (D(2024, 12, 3), "download", "HTTP 404 Not Found"), (D(2024, 12, 4), "upload", "BigQuery quota exceeded")], FAILURES)
     keys = [r[0] for r in df.select(audit.error_key(F.col("error_message"))).collect()]
