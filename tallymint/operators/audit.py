@@ -75,14 +75,24 @@ def error_key(message: Column) -> Column:
     )
 
 
+def count_failures(failures: DataFrame) -> DataFrame:
+    """Failures per day, kind and message, as ``n``.
+
+    All reports start from this one aggregation, so a report made of several scans the log once.
+    """
+    return failures.groupBy("date", "failure_type", "error_message").agg(F.count("*").alias("n"))
+
+
 def failures_by_type(failures: DataFrame, least: int = 2) -> DataFrame:
     """Per kind of failure: frequency, dates, most common message (ties: the smallest) and severity."""
-    per_message = failures.groupBy("failure_type", "error_message").agg(F.count("*").alias("n"))
+    counted = count_failures(failures)
+    per_message = counted.groupBy("failure_type", "error_message").agg(F.sum("n").alias("n"))
     common = per_message.groupBy("failure_type").agg(
         F.sum("n").alias("frequency"),
         F.min_by("error_message", F.struct(-F.col("n"), "error_message")).alias("common_error"),
     )
-    dates = failures.groupBy("failure_type").agg(F.countDistinct("date").alias("dates_affected"))
+    per_day = counted.groupBy("failure_type", "date").agg(F.sum("n").alias("n")).filter("n > 0")
+    dates = per_day.groupBy("failure_type").agg(F.count("date").alias("dates_affected"))
     return common.join(dates, "failure_type").filter(F.col("frequency") >= least).select(
         F.concat("failure_type", F.lit("_failures")).alias("pattern_type"),
         "failure_type", "frequency", "dates_affected", "common_error",
@@ -92,7 +102,7 @@ def failures_by_type(failures: DataFrame, least: int = 2) -> DataFrame:
 
 def failure_clusters(failures: DataFrame) -> DataFrame:
     """Days with more than two failures, reported when there are at least two such days."""
-    bad = failures.groupBy("date").agg(F.count("*").alias("n")).filter("n > 2")
+    bad = count_failures(failures).groupBy("date").agg(F.sum("n").alias("n")).filter("n > 2")
     return bad.agg(F.count("*").alias("frequency")).filter("frequency >= 2").select(
         F.lit("temporal_clustering").alias("pattern_type"), "frequency",
         F.col("frequency").alias("dates_affected"),
@@ -102,8 +112,8 @@ def failure_clusters(failures: DataFrame) -> DataFrame:
 
 def error_patterns(failures: DataFrame, least: int = 3) -> DataFrame:
     """Classes of messages that occur at least ``least`` times."""
-    per_day = failures.groupBy(error_key(F.col("error_message")).alias("error_key"), "date") \
-        .agg(F.count("*").alias("n"))
+    per_day = count_failures(failures).groupBy(error_key(F.col("error_message")).alias("error_key"), "date") \
+        .agg(F.sum("n").alias("n"))
     return per_day.groupBy("error_key").agg(
         F.sum("n").alias("frequency"), F.count("date").alias("dates_affected")
     ).filter(F.col("frequency") >= least).withColumn(
@@ -133,7 +143,7 @@ def recovery_report(failures: DataFrame) -> DataFrame:
                                    "recommendation": _lookup(F.col("error_key"), ERROR_ADVICE, OTHER_ERROR_ADVICE)})
                      .select(*columns))
     )
-    days = failures.groupBy("date").agg(F.count("*").alias("n"))
+    days = count_failures(failures).groupBy("date").agg(F.sum("n").alias("n"))
     return patterns.withColumns({
         "severity_rank": _lookup(F.col("severity"), SEVERITY_RANK, 0),
         "total_failures": days.agg(F.sum("n")).scalar(),
@@ -261,12 +271,13 @@ def endpoint_health(requests: DataFrame, order: tuple[str, ...] = ("event_time",
         F.count_if(ok).alias("success_count"),
         F.count_if(F.col("status") == "rate_limited").alias("rate_limited_count"),
         F.coalesce(money_mean(F.when(ok, F.col("response_time"))), F.lit(0.0)).alias("avg_response_time"),
-        F.max(F.when(ok, at)).alias("last_success"),
+        F.max(F.when(ok, F.col(order[0]))).alias("last_success"),
+        F.max(F.when(~ok, F.col(order[0]))).alias("last_failure"),
     )
-    since = totals.select("endpoint", "last_success")
+    since = requests.groupBy("endpoint").agg(F.max(F.when(ok, at)).alias("last_ok"))
     trailing = (
         requests.filter(~ok).select("endpoint", at.alias("at")).join(since, "endpoint")
-        .filter(F.col("last_success").isNull() | (F.col("at") > F.col("last_success")))
+        .filter(F.col("last_ok").isNull() | (F.col("at") > F.col("last_ok")))
         .groupBy("endpoint").agg(F.count("*").alias("consecutive_failures"))
     )
     return totals.join(trailing, "endpoint", "left").select(
@@ -275,6 +286,7 @@ def endpoint_health(requests: DataFrame, order: tuple[str, ...] = ("event_time",
         "avg_response_time",
         F.coalesce("consecutive_failures", F.lit(0)).alias("consecutive_failures"),
         (F.coalesce("consecutive_failures", F.lit(0)) < unhealthy).alias("is_healthy"),
+        "last_success", "last_failure",
     ).orderBy(F.desc("success_rate"), "avg_response_time", "rate_limited_count", "endpoint")
 
 

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.money import money_mean
+from ..functions.money import MONEY
 from ..schemas import PRICE_SERIES
 
 
@@ -28,44 +28,54 @@ def series_summary(points: DataFrame, keys: list[str], order: list[str]) -> Data
     )
 
 
-def exact_median(df: DataFrame, key: str, value: str, accuracy: int = 10_000) -> DataFrame:
-    """Exact median per key, for groups of any size.
+def count_values(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Rows per key and distinct non-null value, as ``n``: the one pass that the statistics below share."""
+    return df.filter(F.col(value).isNotNull()).groupBy(key, F.col(value).alias(value)).agg(F.count("*").alias("n"))
 
-    A mergeable sketch brackets the median within a known share of the ranks; only the values inside
-    the bracket, already counted, are then put in order.
+
+def median_of_counts(counted: DataFrame, key: str, value: str, pieces: int = 64) -> DataFrame:
+    """Exact median per key from counted values, for groups of any size.
+
+    Quantiles of the distinct values cut each group into pieces of about equal size; the counts per
+    piece tell which ones hold the middle ranks, and only the values of those are put in order.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("n"))
-    margin = 2.0 / accuracy
-    bracket = df.groupBy(key).agg(
-        F.count(value).alias("total"),
-        F.percentile_approx(value, [0.5 - margin, 0.5 + margin], accuracy).alias("q"),
-    ).select(F.col(key).alias("_k"), "total", F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
-    near = counted.join(bracket, F.col(key).eqNullSafe(F.col("_k"))).drop("_k")
-    # Values below the bracket collapse into one row that only carries their count.
-    below = F.col(value) < F.col("lo")
-    shelf = near.filter(F.col(value) <= F.col("hi")).groupBy(
-        key, "total", F.when(~below, F.col(value)).alias("v")
-    ).agg(F.sum("n").alias("n"))
-    upto = F.sum("n").over(Window.partitionBy(key).orderBy(F.col("v").asc_nulls_first()))
-    ranked = shelf.withColumn("upto", upto)
+    cuts = [i / pieces for i in range(1, pieces)]
+    shape = counted.groupBy(key).agg(F.sum("n").alias("total"), F.percentile_approx(value, cuts).alias("edges"))
+    placed = counted.join(shape, key).select(
+        key, value, "n", "total", F.size(F.filter("edges", lambda e: e < F.col(value))).alias("piece")
+    )
     lower, upper = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
+    by_piece = Window.partitionBy(key).orderBy("piece")
+    middle = (
+        placed.groupBy(key, "total", "piece").agg(F.sum("n").alias("m"))
+        .withColumn("upto", F.sum("m").over(by_piece))
+        .filter((F.col("upto") > lower) & (F.col("upto") - F.col("m") <= upper))
+        .select(key, "piece", (F.col("upto") - F.col("m")).alias("before"))
+    )
+    by_value = Window.partitionBy(key, "piece").orderBy(value)
+    ranked = placed.join(middle, [key, "piece"]).withColumn("upto", F.col("before") + F.sum("n").over(by_value))
 
-    def holds(rank):
-        return (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
+    def at(rank):
+        holds = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
+        return F.max(F.when(holds, F.col(value)))
+
+    return ranked.groupBy(key).agg(((at(lower) + at(upper)) / 2).alias("median"))
 
-    return ranked.groupBy(key).agg(
-        ((F.max(F.when(holds(lower), F.col("v"))) + F.max(F.when(holds(upper), F.col("v")))) / 2).alias("median")
-    )
+
+def exact_median(df: DataFrame, key: str, value: str, pieces: int = 64) -> DataFrame:
+    """Exact median per key over non-null values."""
+    return median_of_counts(count_values(df, key, value), key, value, pieces)
 
 
 def series_stats(points: DataFrame, key: str = "price_type", value: str = "price") -> DataFrame:
     """Points, minimum, maximum, mean and exact median per series, over non-null values."""
-    valid = points.filter(F.col(value).isNotNull())
-    basics = valid.groupBy(key).agg(
-        F.count(value).alias("points"), F.min(value).alias("min_price"), F.max(value).alias("max_price"),
-        money_mean(value).alias("mean_price"),
+    counted = count_values(points, key, value)
+    basics = counted.groupBy(key).agg(
+        F.sum("n").alias("points"), F.min(value).alias("min_price"), F.max(value).alias("max_price"),
+        (F.sum(F.col(value).cast(MONEY) * F.col("n")).cast("double") / F.sum("n")).alias("mean_price"),
     )
-    return basics.join(exact_median(valid, key, value).withColumnRenamed("median", "median_price"), key)
+    median = median_of_counts(counted, key, value).withColumnRenamed("median", "median_price")
+    return basics.join(median, key)
 
 
 def price_histogram(points: DataFrame, kinds: list[str] | None = None, bins: int = 20, value: str = "price") -> DataFrame:
@@ -74,15 +84,16 @@ def price_histogram(points: DataFrame, kinds: list[str] | None = None, bins: int
     A series with one distinct value gets bins from half below to half above it.
     """
     kinds = kinds or list(PRICE_SERIES)
-    counted = points.filter(F.col("price_type").isin(kinds) & F.col(value).isNotNull()) \
-        .groupBy("price_type", F.col(value).alias("v")).agg(F.count("*").alias("n"))
-    flat = F.min("v") == F.max("v")
-    # One row per series of a fixed list, so it is small enough to broadcast.
+    counted = count_values(points.filter(F.col("price_type").isin(kinds)), "price_type", value)
+    low, high = F.min(value), F.max(value)
+    # One row per series of a fixed list, so it is small enough to broadcast. Asking for the points as
+    # well keeps this the same aggregation as `counted`, whose shuffle is then used twice.
     edges = counted.groupBy("price_type").agg(
-        F.when(flat, F.min("v") - 0.5).otherwise(F.min("v")).alias("lo"),
-        F.when(flat, F.max("v") + 0.5).otherwise(F.max("v")).alias("hi"),
-    )
-    at = F.floor(F.lit(float(bins)) * (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))) + 1
+        F.when(low == high, low - 0.5).otherwise(low).alias("lo"),
+        F.when(low == high, high + 0.5).otherwise(high).alias("hi"),
+        F.sum("n").alias("points"),
+    ).filter("points > 0").drop("points")
+    at = F.floor(F.lit(float(bins)) * (F.col(value) - F.col("lo")) / (F.col("hi") - F.col("lo"))) + 1
     filled = counted.join(F.broadcast(edges), "price_type").groupBy(
         "price_type", F.least(at, F.lit(bins)).cast("int").alias("bin")
     ).agg(F.sum("n").alias("n"))
@@ -116,7 +127,10 @@ def trend_grid(points: DataFrame, keywords: DataFrame | None = None) -> DataFram
     """
     values = trend_values(points)
     names = (points if keywords is None else keywords).select("keyword").distinct()
-    days = values.agg(F.array_sort(F.collect_set("date"))).scalar()
+    # Every value row has one of the two; testing it keeps both uses of `values` alike, so that the
+    # documents are parsed once.
+    seen = values.filter("price IS NOT NULL OR quantity IS NOT NULL")
+    days = seen.agg(F.array_sort(F.collect_set("date"))).scalar()
     return names.withColumn("date", F.explode(days)).join(values, ["keyword", "date"], "left")
 
 

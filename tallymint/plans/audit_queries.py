@@ -94,7 +94,8 @@ def missing_weekdays(v: Views) -> DataFrame:
       COALESCE(CAST(SUM(CAST(value AS DECIMAL(24,6))) FILTER (WHERE ok) AS DOUBLE) / COUNT(*) FILTER (WHERE ok), 0)
         AS avg_response_time,
       COUNT(*) FILTER (WHERE later = 0) AS consecutive_failures,
-      COUNT(*) FILTER (WHERE later = 0) < 3 AS is_healthy
+      COUNT(*) FILTER (WHERE later = 0) < 3 AS is_healthy,
+      MAX(ts) FILTER (WHERE ok) AS last_success, MAX(ts) FILTER (WHERE NOT ok) AS last_failure
     FROM marked GROUP BY endpoint""")
 def endpoint_health(v: Views) -> DataFrame:
     return audit.endpoint_health(v.requests, order=AT)

@@ -292,13 +292,13 @@ def test_exact_median(spark, data):
     from statistics import median
 
     df = spark.createDataFrame([(k, float(v)) for k, v in data], "k string, v double")
-    got = {r.k: r["median"] for r in series.exact_median(df, "k", "v", accuracy=100).collect()}
+    got = {r.k: r["median"] for r in series.exact_median(df, "k", "v", pieces=4).collect()}
     assert got == {k: median(float(v) for kk, v in data if kk == k) for k in {k for k, _ in data}}
 
 
 def test_median_of_a_large_skewed_group(spark):
     df = spark.range(100_001).select(F.lit("k").alias("k"), (F.col("id") * F.col("id")).cast("double").alias("v"))
-    assert series.exact_median(df, "k", "v", accuracy=1000).first()["median"] == float(50_000 ** 2)
+    assert series.exact_median(df, "k", "v", pieces=16).first()["median"] == float(50_000 ** 2)
 
 
 def test_histogram(rows):
