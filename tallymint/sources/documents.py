@@ -87,10 +87,10 @@ def daily_price_rows(docs: DataFrame, loaded_at: Column, text: str = "value") ->
     ``{"results": [...]}`` or a bare array; any other shape gives no rows.
     """
     entry = schemas.DAILY_PRICE_ENTRY
-    entries = F.coalesce(
-        F.from_json(text, f"STRUCT<results: ARRAY<{entry}>>")["results"],
-        F.when(F.ltrim(F.col(text)).startswith("["), F.from_json(text, f"ARRAY<{entry}>")),
-    )
+    first = F.substring(F.ltrim(F.col(text), F.lit(" \t\r\n")), 1, 1)
+    # The first character tells the shape, so each payload is parsed once.
+    entries = F.when(first == "{", F.from_json(text, f"STRUCT<results: ARRAY<{entry}>>")["results"]) \
+        .when(first == "[", F.from_json(text, f"ARRAY<{entry}>"))
     keep = ("price_date", "category_id", "group_id")
     return parsed(docs, keep, entries).select(*keep, F.explode("d").alias("e")).select(
         "price_date",

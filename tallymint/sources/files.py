@@ -12,7 +12,7 @@ from . import documents
 
 # Fixed value: the tail of a daily price path, {date}/{category}/{group}/prices. Folders written by
 # Spark carry a "name=" in front of each part.
-DAILY_PATH = r"(\d{4}-\d{2}-\d{2})/(?:[a-z_]+=)?(\d+)/(?:[a-z_]+=)?(\d+)/[^/]+$"
+DAILY_PATH = r"^(?:[a-z_]+=)?(\d{4}-\d{2}-\d{2})/(?:[a-z_]+=)?(\d+)/(?:[a-z_]+=)?(\d+)/[^/]+$"
 
 
 def read_documents(spark: SparkSession, path: str, glob: str = "*.json", whole: bool = True) -> DataFrame:
@@ -54,10 +54,11 @@ def scan_daily_prices(spark: SparkSession, path: str, loaded_at: Column, glob: s
                       whole: bool = True) -> DataFrame:
     """Price rows of a ``{date}/{category}/{group}/prices`` tree; other folders are ignored."""
     docs = read_documents(spark, path, glob, whole)
+    tail = F.substring_index("path", "/", -4)
     parts = docs.select(
-        txt.extract("path", DAILY_PATH, 1).cast("date").alias("price_date"),
-        txt.extract("path", DAILY_PATH, 2).alias("category_id"),
-        txt.extract("path", DAILY_PATH, 3).alias("group_id"),
+        txt.extract(tail, DAILY_PATH, 1).cast("date").alias("price_date"),
+        txt.extract(tail, DAILY_PATH, 2).alias("category_id"),
+        txt.extract(tail, DAILY_PATH, 3).alias("group_id"),
         "value",
     ).filter("group_id IS NOT NULL")
     return documents.daily_price_rows(parts, loaded_at)

@@ -161,6 +161,18 @@ def test_lifetime_in_list_order(prices, listing, rows):
     assert got[1].lifecycle_quantity_sold == 5 and got[1].lifecycle_asp == 12.0 / 5
 
 
+def test_weeks_add_up_and_pivots_turn_back(spark, prices, listing):
+    volume = weekly.weekly_volume(prices, listing, [3, 85], DAY)
+    kept = prices.filter((F.col("scrape_date") == F.lit(DAY)) & filters.filled("condition")
+                         & (F.col("bucket_start_date") >= "2024-01-01") & F.col("product_id").isin("1", "2", "3"))
+    assert volume.agg(F.sum("trading_volume")).first()[0] == kept.agg(F.sum("quantity_sold")).first()[0]
+    weeks = [D(2025, 1, 6), D(2025, 1, 13)]
+    wide = weekly.pivot_condition_week(volume, "trading_volume", weeks, price=False)
+    back = wide.unpivot("condition", [w.isoformat() for w in weeks], "week_start", "trading_volume")
+    assert sorted((r.condition, r.week_start, r.trading_volume) for r in back.collect()) == sorted(
+        (r.condition, r.week_start.isoformat(), r.trading_volume) for r in volume.collect())
+
+
 def test_spine(rows):
     a, b = rows([(1, 5)], "w int, n int"), rows([(2, 1), (1, 1)], "w int, n int")
     spine = weekly.spine_union(a, b, key="w")

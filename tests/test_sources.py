@@ -53,7 +53,7 @@ def test_daily_tree(spark, tmp_path):
     entry = {"productId": 1, "subTypeName": "Normal", "lowPrice": 1.0, "midPrice": 2.0, "highPrice": 3.0,
              "marketPrice": 2.5, "directLowPrice": None}
     write(tmp_path, "2024-12-01/3/17/prices", {"results": [entry, {**entry, "productId": 2}]})
-    write(tmp_path, "2024-12-01/3/18/prices", [entry])
+    write(tmp_path, "2024-12-01/3/18/prices", "\n\t " + json.dumps([entry], indent=1))
     write(tmp_path, "2024-12-01/3/19/prices", {"error": "none"})
     write(tmp_path, "2024-12-01/x/17/prices", [entry])
     write(tmp_path, "2024-12-01/4/20/other", [entry])
