@@ -37,14 +37,14 @@ def in_zone(ts: Column, zone: str = "UTC") -> Column:
 def from_packed_minutes(minutes: Column | str, zone: str = "UTC") -> Column:
     """Packed minute count to a wall-clock timestamp in ``zone``."""
     epoch = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
-    m = (_col(minutes) + F.lit(PACKED_EPOCH_MINUTES)).cast("int")
+    m = (_col(minutes) + F.lit(PACKED_EPOCH_MINUTES)).try_cast("int")
     return in_zone(epoch + F.make_dt_interval(mins=m), zone)
 
 
 def from_epoch_millis(ms: Column | str, zone: str = "UTC") -> Column:
     """Epoch milliseconds to a wall-clock timestamp in ``zone``."""
     epoch = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
-    seconds = (_col(ms).cast("bigint") / F.lit(1000)).cast("decimal(18,6)")
+    seconds = (_col(ms).try_cast("bigint") / F.lit(1000)).try_cast("decimal(18,6)")
     return in_zone(epoch + F.make_dt_interval(secs=seconds), zone)
 
 

@@ -255,7 +255,7 @@ def category_status(groups: DataFrame) -> DataFrame:
 def retry_list(failed: DataFrame, categories: DataFrame, groups: DataFrame, key: str = "group_key") -> DataFrame:
     """Failed groups, given as ``category:group``, with their names; unknown ones are dropped."""
     parts = F.split(key, ":")
-    wanted = failed.select(key, parts[0].alias("category_id"), parts[1].alias("group_id"))
+    wanted = failed.select(key, F.get(parts, F.lit(0)).alias("category_id"), F.get(parts, F.lit(1)).alias("group_id"))
     return wanted.join(categories, "category_id").join(groups, ["category_id", "group_id"])
 
 

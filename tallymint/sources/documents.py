@@ -116,7 +116,7 @@ def auction_rows(docs: DataFrame, scraped_at: Column, text: str = "value") -> Da
     gives no rows. Both kinds come out of one pass: each document becomes a small array of records.
     """
     def number(values: Column | None, name: str, kind: str) -> Column:
-        return F.lit(None).cast(kind) if values is None else values[name].try_cast("double").cast(kind)
+        return F.lit(None).cast(kind) if values is None else values[name].try_cast("double").try_cast(kind)
 
     def record(kind: str, summary: Column | None, sale: Column | None) -> Column:
         return F.struct(

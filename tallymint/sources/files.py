@@ -56,11 +56,11 @@ def scan_daily_prices(spark: SparkSession, path: str, loaded_at: Column, glob: s
     docs = read_documents(spark, path, glob, whole)
     tail = F.substring_index("path", "/", -4)
     parts = docs.select(
-        txt.extract(tail, DAILY_PATH, 1).cast("date").alias("price_date"),
+        txt.extract(tail, DAILY_PATH, 1).try_cast("date").alias("price_date"),
         txt.extract(tail, DAILY_PATH, 2).alias("category_id"),
         txt.extract(tail, DAILY_PATH, 3).alias("group_id"),
         "value",
-    ).filter("group_id IS NOT NULL")
+    ).filter("price_date IS NOT NULL")
     return documents.daily_price_rows(parts, loaded_at)
 
 

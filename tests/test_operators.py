@@ -393,7 +393,7 @@ def test_groups_and_retries(rows):
     got = {r.category_id: (r.completed_groups, r.failed_groups, r.products, r.status)
            for r in audit.category_status(audit.group_status(events)).collect()}
     assert got == {"1": (1, 1, 5, "partial"), "2": (1, 0, 3, "completed")}
-    failed = rows([("1:b",), ("8:x",)], "group_key string")
+    failed = rows([("1:b",), ("8:x",), ("odd",)], "group_key string")
     names = rows([("1", "One")], "category_id string, name string")
     groups = rows([("1", "b", "Bee"), ("1", "a", "Ay")], "category_id string, group_id string, group_name string")
     assert [r.group_name for r in audit.retry_list(failed, names, groups).collect()] == ["Bee"]

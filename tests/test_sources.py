@@ -57,6 +57,7 @@ def test_daily_tree(spark, tmp_path):
     write(tmp_path, "2024-12-01/3/19/prices", {"error": "none"})
     write(tmp_path, "2024-12-01/x/17/prices", [entry])
     write(tmp_path, "2024-12-01/4/20/other", [entry])
+    write(tmp_path, "2024-13-99/4/20/prices", [entry])
     got = files.scan_daily_prices(spark, str(tmp_path), loaded_at()).orderBy("group_id", "product_id").collect()
     assert [(r.price_date, r.category_id, r.group_id, r.product_id, r.market_price, r.direct_low_price) for r in got] == [
         (D(2024, 12, 1), 3, 17, 1, 2.5, None), (D(2024, 12, 1), 3, 17, 2, 2.5, None), (D(2024, 12, 1), 3, 18, 1, 2.5, None)]
