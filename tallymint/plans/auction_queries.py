@@ -252,6 +252,16 @@ def nested_report(v: Views) -> DataFrame:
     return auctions.nested_report(top_weekly(v))
 
 
+@query("nested_report_unfolded", TOP + """SELECT card_order, card_name, lifecycle_sales, psa_level, price_points, psa_url,
+    week_start, avg_price FROM top_weekly""")
+def nested_report_unfolded(v: Views) -> DataFrame:
+    """The nested report taken apart again: the same rows as the long form."""
+    grades = auctions.nested_report(top_weekly(v)).select(
+        "card_order", "card_name", "lifecycle_sales", F.inline("grades"))
+    return grades.select("card_order", "card_name", "lifecycle_sales", "psa_level", "price_points", "psa_url",
+                         F.inline("weeks"))
+
+
 @query("snapshot_profile", SESSION + """SELECT COUNT(DISTINCT card_name) AS unique_cards,
     string_agg(DISTINCT psa_level, ',' ORDER BY psa_level) AS psa_levels, MIN(auction_price) AS min_price,
     MAX(auction_price) AS max_price, MIN(auction_date) AS first_sale, MAX(auction_date) AS last_sale,
