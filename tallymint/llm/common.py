@@ -1,9 +1,12 @@
-"""Helpers shared by the operators: Arrow maps, tables in the shared folder, and files that tasks write."""
+"""Helpers shared by the operators: slices of batches, tables in the shared folder, and files that tasks write."""
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -11,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..session import workspace
 
 #: Text handled at one time inside a task, in characters; longer batches are sliced.
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 2_000_000
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,5 +64,79 @@ def file_system(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
-def arrow_map(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    return df.mapInArrow(work, schema)
+class Codes(dict):
+    """Numbers words in the order in which they are first asked for, and notes the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = at = len(self)
+        self.fresh.append(word)
+        return at
+
+
+def gather(values: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The stretches ``values[start:start + count]`` in a row."""
+    total = int(count.sum())
+    ends = np.cumsum(count)
+    return values[np.arange(total) + np.repeat(start - (ends - count), count)]
+
+
+class WordIds:
+    """Ids of words, remembered up to a limit; ``learn`` gives the ids of new words and the number for each.
+
+    Beyond the limit, words that were met only once since the last time are forgotten, or all, if that is too few.
+    """
+
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int):
+        self.learn, self.limit = learn, limit
+        self.code = Codes()
+        self.ids, self.count, self.used = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        keep = np.flatnonzero(self.used > 1)
+        if len(keep) > self.limit // 2:
+            keep = keep[:0]
+        ids = gather(self.ids, (np.cumsum(self.count) - self.count)[keep], self.count[keep])
+        flags = np.zeros(len(self.used), bool)
+        flags[keep] = True
+        words = [w for w, k in zip(self.code, flags.tolist()) if k]
+        self.code = Codes()
+        self.code.update(zip(words, range(len(words))))
+        self.ids, self.count, self.used = ids, self.count[keep], np.zeros(len(keep), np.int64)
+
+    def flat(self, texts: list[list[str]], end: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, given as words, in a row with ``end`` after each, and the bounds of each text."""
+        if len(self.code) > self.limit:
+            self._forget()
+        number = self.code.__getitem__
+        codes = [np.fromiter(map(number, words), np.int32, len(words)) for words in texts]
+        if self.code.fresh:
+            ids, count = self.learn(self.code.fresh)
+            self.code.fresh = []
+            self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
+        words = np.concatenate(codes) if codes else np.zeros(0, np.int32)
+        new = np.bincount(words, minlength=len(self.count))
+        new[:len(self.used)] += self.used
+        self.used = new
+        count = self.count[words]
+        ids = gather(self.ids, (np.cumsum(self.count) - self.count)[words], count)
+        ends = np.append(0, np.cumsum(count))
+        bounds = ends[np.append(0, np.cumsum([len(c) for c in codes], dtype=np.int64)).astype(np.int64)]
+        if end is not None:
+            ids = np.insert(ids, bounds[1:], end)
+            bounds = bounds + np.arange(len(bounds))
+        return ids, bounds
+
+
+def kept(name: str, make: Callable):
+    """An object that lives as long as the Python worker, which Spark keeps for further tasks.
+
+    Functions travel to workers with their module's code, so a module variable would start anew in each task.
+    """
+    holder = sys.modules.setdefault("_tallymint_worker", types.ModuleType("_tallymint_worker")).__dict__
+    if name not in holder:
+        holder[name] = make()
+    return holder[name]

@@ -2,7 +2,7 @@
 
 Words are runs that no piece crosses. All new words of a batch lie in one flat array of symbols. Each round finds the
 lowest pair rank of every word, merges its leftmost non-overlapping occurrences at once, and compacts the arrays; words
-without a mergeable pair leave. Words already met in the task come from a bounded cache.
+without a mergeable pair leave. Words that the worker has met come from a bounded cache.
 
 Defined cases: a null or empty text has only the end id and decodes to the empty text; a null id array decodes to the
 empty text; rows that repeat get equal results; an output column replaces one of the same name.
@@ -19,13 +19,13 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import documents, replaced, slices, text_of, with_column
+from .common import WordIds, documents, gather, kept, replaced, slices, text_of, with_column
 from .registry import query
 
 SPACE = "▁"
 NEVER = np.int64(1) << 40
-#: Words kept in a task's cache before it starts again.
-CACHE_WORDS = 400_000
+#: Words that a worker remembers before it starts again; about 150 bytes each.
+CACHE_WORDS = 600_000
 
 
 class PieceModel:
@@ -202,62 +202,18 @@ class PieceModel:
         return ids, np.bincount(np.repeat(owner, width), minlength=words)
 
 
-class Codes(dict):
-    """Numbers words in the order in which they are first asked for, and notes the new ones."""
-
-    def __init__(self):
-        super().__init__()
-        self.fresh: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        self[word] = at = len(self)
-        self.fresh.append(word)
-        return at
-
-
 class Encoder:
     """Encodes texts through a cache of words; new words of a batch are merged together."""
 
     def __init__(self, model: PieceModel, limit: int = CACHE_WORDS):
-        self.model, self.limit = model, limit
-        self.forget()
-
-    def forget(self) -> None:
-        self.code = Codes()
-        self.ids = np.zeros(0, np.int32)
-        self.count = np.zeros(0, np.int64)
+        self.model = model
+        self.words = WordIds(model.merge, limit)
 
     def encode(self, texts: list[str], end: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the texts, and the bounds of each text in them."""
-        if len(self.code) > self.limit:
-            self.forget()
-        find, number = self.model.words.findall, self.code.__getitem__
-        codes, counts = [], []
-        for text in texts:
-            words = find(" " + text.replace(SPACE, " ")) if text else []
-            codes.append(np.fromiter(map(number, words), np.int64, len(words)))
-            counts.append(len(words))
-        if self.code.fresh:
-            ids, count = self.model.merge(self.code.fresh)
-            self.code.fresh = []
-            self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
-        start = np.cumsum(self.count) - self.count
-        words = np.concatenate(codes) if codes else np.zeros(0, np.int64)
-        flat = gather(self.ids, start[words], self.count[words])
-        sizes = np.add.reduceat(np.append(self.count[words], 0), np.cumsum([0, *counts[:-1]])) if texts else np.zeros(0, np.int64)
-        sizes = np.where(np.array(counts) > 0, sizes, 0) if texts else sizes
-        bounds = np.append(0, np.cumsum(sizes))
-        if end:
-            flat = np.insert(flat, bounds[1:], self.model.end)
-            bounds = bounds + np.arange(len(bounds))
-        return flat, bounds
-
-
-def gather(values: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """The stretches ``values[start:start + count]`` in a row."""
-    total = int(count.sum())
-    ends = np.cumsum(count)
-    return values[np.arange(total) + np.repeat(start - (ends - count), count)]
+        find = self.model.words.findall
+        words = [find(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
+        return self.words.flat(words, self.model.end if end else None)
 
 
 def decode_ids(model: PieceModel, flat: np.ndarray, bounds: np.ndarray) -> list[str]:
@@ -277,7 +233,7 @@ def decode_ids(model: PieceModel, flat: np.ndarray, bounds: np.ndarray) -> list[
 def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "ids", end: bool = True) -> DataFrame:
     """The rows with the ids of their texts in ``out``; ``end`` adds the end id."""
     def work(batches):
-        encoder = Encoder(PieceModel(model_path))
+        encoder = kept(f"pieces:{model_path}", lambda: Encoder(PieceModel(model_path)))
         for batch in batches:
             for part, texts in slices(batch, text):
                 flat, bounds = encoder.encode(texts, end)

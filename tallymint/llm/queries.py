@@ -1,6 +1,6 @@
 """Importing this module registers the queries of every operator."""
 
-from . import pieces  # noqa: F401
+from . import idfiles, packing, pieces, quotient  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
