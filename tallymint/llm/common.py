@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -112,7 +113,11 @@ class WordIds:
         if len(self.code) > self.limit:
             self._forget()
         number = self.code.__getitem__
-        codes = [np.fromiter(map(number, words), np.int32, len(words)) for words in texts]
+        # Words of these texts are numbered in a small table first, which stays in the processor's cache.
+        here = dict.fromkeys(chain.from_iterable(texts))
+        known = np.fromiter(map(number, here), np.int32, len(here))
+        here = dict(zip(here, range(len(here))))
+        codes = [known[np.fromiter(map(here.__getitem__, words), np.int32, len(words))] for words in texts]
         if self.code.fresh:
             ids, count = self.learn(self.code.fresh)
             self.code.fresh = []

@@ -13,20 +13,15 @@ from itertools import chain
 
 import numpy as np
 
-from .common import WordIds, gather, kept
+from .common import WordIds, kept
 
 #: The characters with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
-ASCII_WHITE = "\t\n\x0b\x0c\r "
 CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: Chunks that a worker remembers before it starts again; about 150 bytes each.
-CACHE_CHUNKS = 900_000
+CACHE_CHUNKS = 1_200_000
 #: New chunks that go to the library in one string.
 JOINED = 256
-#: Marks that follow most words at the ends of sentences and clauses.
-STOPS = (".", ",")
-#: A stop behind a letter that stays one letter when it is normalised.
-ENDED = re.compile("[A-Za-zà-öø-ÿ][.,]\\Z")
 
 
 def text_encoder(path: str, end: int | None = None) -> "TextEncoder":
@@ -47,34 +42,8 @@ class TextEncoder:
         # Text between special tokens is encoded by itself: many chunks can go in one string with one between them.
         self.mark_id, self.mark = max(special.items(), default=(None, None))
         self.special = tuple(special.values())
-        self.folds = self._encode([" A"])[0].tolist() == self._encode(["a"])[0].tolist()
 
     def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of new chunks. A letter and a full stop or comma at the end are never one token, so what stands before
-        is looked up or encoded once for all such forms; so is lower case, if the tokenizer folds case and space."""
-        plain = [c.strip(ASCII_WHITE).lower() if c.isascii() else c for c in chunks] if self.folds else chunks
-        ended = np.fromiter((ENDED.search(c) is not None for c in plain), bool, len(plain))
-        cores = [c[:-1] if e else c for c, e in zip(plain, ended.tolist())]
-        place = {c: i for i, c in enumerate(dict.fromkeys(chain(STOPS, cores)))}
-        names = list(place)
-        known = self.words.code
-        code = np.fromiter((known.get(c, -1) for c in names), np.int64, len(names))
-        new = np.flatnonzero((code < 0) | (code >= len(self.words.count)))
-        ids, count = self._encode([names[i] for i in new.tolist()])
-        old = np.setdiff1d(np.arange(len(names)), new, assume_unique=True)
-        sizes, start = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
-        sizes[new], start[new] = count, np.cumsum(count) - count + len(self.words.ids)
-        sizes[old] = self.words.count[code[old]]
-        start[old] = (np.cumsum(self.words.count) - self.words.count)[code[old]]
-        pool = np.concatenate([self.words.ids, ids])
-        # Each chunk is a core, and a stop behind it where it ended in one.
-        parts = np.empty(2 * len(plain), np.int64)
-        parts[::2] = np.fromiter(map(place.__getitem__, cores), np.int64, len(cores))
-        parts[1::2] = np.fromiter((place[c[-1]] if e else -1 for c, e in zip(plain, ended.tolist())), np.int64, len(plain))
-        size = np.where(parts < 0, 0, sizes[parts])
-        return gather(pool, start[parts], size), size[::2] + size[1::2]
-
-    def _encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, count = [], np.zeros(len(chunks), np.int64)
         for at in range(0, len(chunks), JOINED):
             group = chunks[at:at + JOINED]
@@ -93,7 +62,7 @@ class TextEncoder:
                 size = np.fromiter(map(len, found), np.int64, len(found))
             ids.append(joined)
             count[at:at + len(group)] = size
-        return np.concatenate(ids or [np.zeros(0, np.int32)]), count
+        return np.concatenate(ids), count
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the texts, and the bounds of each text in them."""
