@@ -1,6 +1,6 @@
 """Importing this module registers the queries of every operator."""
 
-from . import idfiles, packing, pieces, quality, quotient, warc  # noqa: F401
+from . import divergence, idfiles, packing, pieces, quality, quotient, warc  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
