@@ -25,10 +25,10 @@ from .registry import query
 
 SPACES = r"[\x20\x09-\x0D]+"
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-#: Character classes that are rare in prose, as regular expressions. White space, the bytes by which UTF-8 is longer
-#: than the text, and what is left (mostly lower-case letters) are classes too.
-CLASSES = ("A-Z", "0-9", ".,;:'\"?()-", "!", "|", "#*$%&<>")
-CELLS = len(CLASSES) + 2
+#: Character classes that are rare in prose, as regular expressions, and single characters that are classes. White space,
+#: the bytes by which UTF-8 is longer than the text, and what is left (mostly lower-case letters) are classes too.
+CLASSES, SINGLES = ("A-Z", "0-9", "#*$%&<>"), (".", ",", "!", "|")
+CELLS = len(CLASSES) + len(SINGLES) + 2
 #: Frequent words: how many for a language, and the most characters in one.
 TOP_WORDS, WORD_LENGTH = 20, 5
 #: Guards: the least characters and words for a histogram to be compared.
@@ -45,7 +45,8 @@ def words_of(text: Column) -> Column:
 def class_counts(text: Column, word_chars: Column) -> list[Column]:
     """Characters in each class but the last; long runs outside a rare class make its removal cheap."""
     inside = [F.length(F.regexp_replace(text, f"[^{c}]+", "")) for c in CLASSES]
-    return [c.cast("long") for c in [*inside, F.length(text) - word_chars, F.octet_length(text) - F.length(text)]]
+    single = [F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit(""))) for c in SINGLES]
+    return [c.cast("long") for c in [*inside, *single, F.length(text) - word_chars, F.octet_length(text) - F.length(text)]]
 
 
 def js_term(p: Column, q: Column) -> Column:
@@ -65,7 +66,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
     words = rows.select("lang", F.explode(words_of(F.lower("text"))).alias("word"))
     # Long words are not candidates, but count in the total; they share one cell.
     short = F.when(F.length("word") <= WORD_LENGTH, F.col("word"))
-    cells = words.groupBy("lang", short.alias("word")).agg(F.count("*").alias("n"))
+    cells = stored(words.groupBy("lang", short.alias("word")).agg(F.count("*").alias("n")), "word-counts")
     all_words = cells.groupBy("lang").agg(F.sum("n").alias("total"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = cells.where("word IS NOT NULL").withColumn("place", F.row_number().over(order)).where(F.col("place") <= TOP_WORDS)
@@ -111,7 +112,7 @@ def judge(docs: DataFrame, refs: DataFrame | None = None, text: str = "text", la
     refs = refs.select(F.col("lang").alias("_lang"), "class_share", "top_words", "word_share")
     rows = base_rules(docs.select(*columns), text).withColumn("_key", F.coalesce(F.col(lang).cast("string"), F.lit("")))
     rows = rows.join(refs.withColumnsRenamed({c: f"_{c}" for c in ("class_share", "top_words", "word_share")}), F.col("_key") == F.col("_lang"), "left")
-    rows = rows.withColumns({"_chars": F.octet_length("_text").cast("double"), "_padded": F.concat(F.lit(" "), F.array_join(F.transform("_words", F.lower), "  "), F.lit(" "))})
+    rows = rows.withColumns({"_chars": F.octet_length("_text").cast("double"), "_padded": F.concat(F.lit(" "), F.lower(F.array_join("_words", "  ")), F.lit(" "))})
     rows = rows.withColumns({f"_c{i}": c / F.col("_chars") for i, c in enumerate(class_counts(F.col("_text"), F.col("word_chars")))})
     shares = [F.get("_class_share", F.lit(i)) for i in range(CELLS)]
     rest = [1 - reduce(Column.__add__, xs) for xs in ([F.col(f"_c{i}") for i in range(CELLS)], shares)]
