@@ -31,10 +31,14 @@ from .registry import query
 
 #: Frequent n-grams that get places at the end of the global order. The order decides cost only.
 FREQUENT = 1 << 16
+#: Times that lists are compared with hubs before the remaining pairs are listed. It decides cost only.
+ROUNDS = 2
 #: N-grams found so often in a task's slice are counted for that.
 LEAST_SEEN = 3
 #: No boundary lies beyond this size; subsets of larger sets cost too much anyway.
 LARGEST_LIGHT = 32
+#: Rows of two or three numbers that may be broadcast, after they have been counted; more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 SETS = "id long, n long, one long, two long, tokens array<long>"
 
 
@@ -112,10 +116,21 @@ def sets(docs: DataFrame, width: int, part: int, whole: int, order: np.ndarray,
     return docs.select("id", "text").mapInArrow(work, SETS)
 
 
-def boundary(reps: DataFrame, postings: DataFrame, part: int, whole: int) -> int:
-    """The largest light size: subsets up to it cost less than scanning the lists of those sets."""
-    lists = postings.groupBy("token").agg(F.count("*").cast("double").alias("len"))
-    scanned = lists.agg((F.sum(F.col("len") * F.col("len")) / F.sum("len")).alias("mean")).first()["mean"] or 1.0
+def counted(df: DataFrame, name: str) -> DataFrame:
+    """Rows of a few numbers, written; they are broadcast in joins if their count allows it."""
+    rows = stored(df, name)
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def boundary(reps: DataFrame, lists: DataFrame, part: int, whole: int) -> int:
+    """The largest light size: subsets up to it cost less than scanning the lists of those sets.
+
+    ``lists`` has the lists with two members or more; all others have one.
+    """
+    first = F.col("n") - F.ceil(1.0 * part * F.col("n") / whole) + 1
+    entries = reps.agg(F.sum(first).cast("double")).first()[0] or 0.0
+    shared = lists.agg(F.sum("len").cast("double").alias("one"), F.sum(F.col("len").cast("double") * F.col("len")).alias("two")).first()
+    scanned = (entries - (shared["one"] or 0.0) + (shared["two"] or 0.0)) / entries if entries else 1.0
     sizes = {r["n"]: r["count"] for r in reps.where(F.col("n") <= LARGEST_LIGHT).groupBy("n").count().collect()}
     best, least = 0, None
     for x in range(LARGEST_LIGHT + 1):
@@ -160,26 +175,28 @@ def verified(pairs: DataFrame, whole_sets: DataFrame, part: int, whole: int) ->
     """The pairs (a, b) whose sets are similar, by their whole sets."""
     left = whole_sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
     right = whole_sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-    found = pairs.join(left, "a").join(right, "b")
+    pairs = counted(pairs, "pairs")
+    # Only sets that occur in pairs move.
+    right = right.join(pairs.select("b").distinct(), "b", "left_semi")
+    found = left.join(pairs, "a").join(right, "b")
     both = F.size(F.array_intersect("x", "y"))
     found = found.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), both.alias("both"))
     return found.where(whole * F.col("both") >= part * (F.col("nx") + F.col("ny") - F.col("both"))).select("a", "b").distinct()
 
 
-def heavy_links(docs: DataFrame, postings: DataFrame, light: int, width: int, part: int, whole: int) -> DataFrame:
+def heavy_links(docs: DataFrame, postings: DataFrame, lists: DataFrame, light: int, width: int, part: int, whole: int) -> DataFrame:
     """Links with at least one set larger than ``light``, by scanning inverted lists."""
     alike = lambda a, b: whole * F.least(a, b) >= part * F.greatest(a, b)
-    lists = postings.groupBy("token").agg(F.count("*").alias("len"), F.max("n").alias("most"))
-    lists = lists.where((F.col("len") > 1) & (F.col("most") > light)).select("token", "len")
-    shared = stored(postings.join(lists, "token"), "postings")
+    # Lists without a large set are left to subsets.
+    shared = stored(postings.join(lists.where(F.col("most") > light).select("token", "len"), "token"), "postings")
     # How much of a set's lists is shared tells how central it is in its group of near copies.
     score = shared.groupBy("rep").agg(F.sum("len").alias("score"))
     shared = stored(shared.drop("len").join(score, "rep"), "postings")
-    whole_sets = stored(sets(docs.join(score.select(F.col("rep").alias("id")), "id", "left_semi"), width, part, whole,
+    whole_sets = stored(sets(docs.join(counted(score.select(F.col("rep").alias("id")), "members"), "id", "left_semi"), width, part, whole,
                              np.zeros(0, np.uint64), complete=True).select("id", "tokens"), "sets")
     clusters = shared.select("rep", F.col("rep").alias("cluster")).distinct()
     links = None
-    for _ in range(3):
+    for _ in range(ROUNDS):
         rows = shared.join(clusters, "rep")
         best = rows.groupBy("token", "cluster").agg(F.max(F.struct("score", "rep", "n")).alias("m"))
         hubs = best.groupBy("token").agg(F.max("m").alias("hub"), F.count("*").alias("clusters")).where("clusters > 1").drop("clusters")
@@ -211,10 +228,12 @@ def similar(docs: DataFrame, width: int = 5, part: int = 80, whole: int = 100, k
     reps = stored(real.groupBy("one", "two", "n").agg(F.min("id").alias("rep"), F.first("tokens").alias("tokens")), "representatives")
     first = F.col("n") - F.ceil(1.0 * part * F.col("n") / whole) + 1
     postings = reps.select("rep", "n", F.posexplode(F.slice("tokens", F.lit(1), first.cast("int"))).alias("pos", "token"))
-    light = boundary(reps, postings, part, whole)
+    lists = postings.groupBy("token").agg(F.count("*").alias("len"), F.max("n").alias("most")).where("len > 1")
+    lists = counted(lists, "lists")
+    light = boundary(reps, lists, part, whole)
     # Small sets are in the lists too as far as a large set can be similar to them.
     postings = postings.where(F.col("n") >= -(-part * (light + 1) // whole))
-    links = light_links(reps, light, part, whole).union(heavy_links(rows, postings, light, width, part, whole))
+    links = light_links(reps, light, part, whole).union(heavy_links(rows, postings, lists, light, width, part, whole))
     joined = components(links)
     member = real.select("id", "one", "two").distinct().join(reps.select("one", "two", "rep"), ["one", "two"])
     # Equal sets, and sets of one id, are links as well.
