@@ -1,6 +1,6 @@
 """Importing this module registers the queries of every operator."""
 
-from . import divergence, idfiles, packing, personal, pieces, quality, quotient, similar, warc  # noqa: F401
+from . import divergence, idfiles, packing, passages, personal, pieces, quality, quotient, similar, warc  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
