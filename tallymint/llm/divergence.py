@@ -113,13 +113,15 @@ def judge(docs: DataFrame, refs: DataFrame | None = None, text: str = "text", la
     rows = base_rules(docs.select(*columns), text).withColumn("_key", F.coalesce(F.col(lang).cast("string"), F.lit("")))
     rows = rows.join(refs.withColumnsRenamed({c: f"_{c}" for c in ("class_share", "top_words", "word_share")}), F.col("_key") == F.col("_lang"), "left")
     rows = rows.withColumns({"_chars": F.octet_length("_text").cast("double"), "_padded": F.concat(F.lit(" "), F.lower(F.array_join("_words", "  ")), F.lit(" "))})
-    rows = rows.withColumns({f"_c{i}": c / F.col("_chars") for i, c in enumerate(class_counts(F.col("_text"), F.col("word_chars")))})
+    rows = rows.withColumns({f"_c{i}": F.try_divide(c, F.col("_chars")) for i, c in enumerate(class_counts(F.col("_text"), F.col("word_chars")))})
     shares = [F.get("_class_share", F.lit(i)) for i in range(CELLS)]
     rest = [1 - reduce(Column.__add__, xs) for xs in ([F.col(f"_c{i}") for i in range(CELLS)], shares)]
     terms = [js_term(F.col(f"_c{i}"), s) for i, s in enumerate(shares)] + [js_term(*[F.greatest(r, F.lit(0.0)) for r in rest])]
     # A frequent word is counted by what its removal takes away; words stand between two spaces each.
     size = F.octet_length("_padded")
-    hits = F.transform("_top_words", lambda w: (size - F.octet_length(F.replace(F.col("_padded"), F.concat(F.lit(" "), w, F.lit(" ")), F.lit("")))) / (F.octet_length(w) + 2) / F.col("n_words"))
+    hits = F.transform("_top_words", lambda w: F.try_divide(
+        (size - F.octet_length(F.replace(F.col("_padded"), F.concat(F.lit(" "), w, F.lit(" ")), F.lit("")))) / (F.octet_length(w) + 2),
+        F.col("n_words").cast("double")))
     guarded = F.col("n_words") >= LEAST_WORDS
     rows = rows.withColumns({"_class_js": reduce(Column.__add__, terms), "_hits": F.when(guarded, hits)})
     inside = F.aggregate(F.zip_with("_hits", "_word_share", js_term), F.lit(0.0), lambda a, x: a + x)

@@ -214,7 +214,10 @@ def heavy_links(docs: DataFrame, postings: DataFrame, lists: DataFrame, light: i
     a, b = small.alias("a"), rows.alias("b")
     order = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.rep") < F.col("b.rep")))
     pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.cluster") != F.col("b.cluster")) & order
-                   & (whole * F.col("a.n") >= part * F.col("b.n")))
+                   & (whole * F.col("a.n") >= part * F.col("b.n"))
+                   # No more can be common than what stands from the first common n-gram on.
+                   & (F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) * (whole + part)
+                      >= part * (F.col("a.n") + F.col("b.n"))))
     pairs = pairs.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
     return stored(verified(pairs, whole_sets, part, whole).union(links), "heavy-links")
 
