@@ -53,10 +53,27 @@ def create_table(spark: SparkSession, name: str, schema: StructType, partition:
 
 
 def drop_days(spark: SparkSession, name: str, partition: str, days: list[dt.date]) -> None:
-    """Remove days of a catalog table; only their folders are touched."""
-    if days:
-        parts = ", ".join(f"PARTITION (`{partition}` = DATE'{d.isoformat()}')" for d in days)
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+    """Remove days of a catalog table and their files, also where the table has a location of its own.
+
+    Dropping a partition of such a table would leave its files, so each day is first overwritten with nothing.
+    """
+    if not days:
+        return
+    fields = [f for f in spark.table(name).schema.fields if f.name != partition]
+    nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
+    for day in days:
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (`{partition}` = DATE'{day.isoformat()}') SELECT {nothing} WHERE 1 = 0")
+    parts = ", ".join(f"PARTITION (`{partition}` = DATE'{d.isoformat()}')" for d in days)
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+
+
+def retire(spark: SparkSession, name: str, partition: str, days: int, as_of: dt.date) -> list[dt.date]:
+    """Remove the days of a catalog table that are older than ``days`` days, and their files; returns them."""
+    found = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]  # one row per day
+    kept = as_of - dt.timedelta(days=days)
+    old = sorted(d for d in map(dt.date.fromisoformat, (f for f in found if f[:1].isdigit())) if d < kept)
+    drop_days(spark, name, partition, old)
+    return old
 
 
 def retain(df: DataFrame, day: str, days: int, as_of: dt.date) -> DataFrame:

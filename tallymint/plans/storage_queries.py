@@ -91,7 +91,7 @@ def delete_day(v: Views) -> DataFrame:
     tables.create_table(v.spark, name, rows.schema, "scrape_date", path)
     rows.hint("rebalance", "scrape_date").write.insertInto(name)
     tables.drop_days(v.spark, name, "scrape_date", [DAY_BEFORE])
-    return facts(v.spark.table(name))
+    return facts(v.spark.read.schema(rows.schema).parquet(path))  # what storage holds, not the catalog
 
 
 @query("partition_stats", with_views("prices") + "SELECT scrape_date, COUNT(*) AS total_rows FROM prices GROUP BY 1")
@@ -297,8 +297,7 @@ def stream_dedup(v: Views) -> DataFrame:
     sales = auctions.sales(v.auctions, DAY, SINCE).withColumn("scraped_at", F.col("scraped_at").cast("timestamp"))
     sales.write.parquet(landing)
     stream = v.spark.readStream.schema(sales.schema).parquet(landing)
-    unique = ingest.drop_repeats(stream, list(dedup.SESSION_KEYS), "scraped_at", "2 hours")
-    ingest.write_stream(unique, f"{out}/table", f"{out}/checkpoint")
+    ingest.load_unique(stream, list(dedup.SESSION_KEYS), "scraped_at", f"{out}/table", f"{out}/checkpoint")
     return v.spark.read.parquet(f"{out}/table").groupBy("psa_level").agg(F.count("*").alias("n"))
 
 

@@ -23,8 +23,12 @@ def read_documents(spark: SparkSession, path: str, glob: str = "*.json", whole:
 
 
 def relative_path(path: Column | str, base: str) -> Column:
-    """``path`` below the folder ``base``; a path outside it stays whole."""
+    """``path`` below the folder ``base``; a path outside it stays whole.
+
+    Spark gives paths of files in URI encoding, so they are decoded first; a plus sign stands for itself there.
+    """
     p = F.col(path) if isinstance(path, str) else path
+    p = F.coalesce(F.try_url_decode(F.replace(p, F.lit("+"), F.lit("%2B"))), p)
     marker = base.rstrip("/").split(":", 1)[-1].replace("//", "/") + "/"
     return F.when(F.contains(p, F.lit(marker)), F.substring_index(p, marker, -1)).otherwise(p)
 

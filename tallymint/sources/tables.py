@@ -34,5 +34,4 @@ def limit_per_group(df: DataFrame, category: str, group: str, categories: int, g
         .filter(F.col("_n") <= groups)
         .select(category, group)
     )
-    # At most categories * groups pairs: the bound is given by the arguments.
-    return df.join(F.broadcast(wanted) if categories * groups <= 100_000 else wanted, [category, group], "left_semi")
+    return df.join(wanted, [category, group], "left_semi")

@@ -6,6 +6,7 @@ overwrite, so a batch that is run again after a failure leaves the same table.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -13,14 +14,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import date_from_name
 from ..functions.text import product_id_from_file
-from ..operators import tables
+from ..operators import dedup, tables
 from ..sources import documents
 from ..sources.files import relative_path
 
 
 def landing_stream(spark: SparkSession, landing: str, glob: str = "*.json", whole: bool = True,
                    files_per_batch: int = 1000) -> DataFrame:
-    """New text files below a folder as a stream of ``value`` and ``path``."""
+    """New text files below a folder as a stream of ``value``, ``path`` and ``modified``."""
     return (
         spark.readStream.schema("value STRING").format("text")
         .option("recursiveFileLookup", "true")
@@ -28,7 +29,8 @@ def landing_stream(spark: SparkSession, landing: str, glob: str = "*.json", whol
         .option("wholetext", str(whole).lower())
         .option("maxFilesPerTrigger", files_per_batch)
         .load(landing)
-        .select("value", F.col("_metadata.file_path").alias("path"))
+        .select("value", F.col("_metadata.file_path").alias("path"),
+                F.col("_metadata.file_modification_time").alias("modified"))
     )
 
 
@@ -44,11 +46,16 @@ def _finish(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoin
 
 
 def price_documents(stream: DataFrame, landing: str, product_id: Column | None = None) -> DataFrame:
-    """Landed price documents with product id, relative file name and the scrape date of their folder."""
+    """Landed price documents with product id, relative file name and scrape date.
+
+    The date is that in the name of the file's folder, else the day on which the file was last changed. File names
+    don't count, as a product id can look like a date.
+    """
     source_file = relative_path("path", landing)
+    folder = F.regexp_extract(source_file, "^(.*)/", 1)
     return stream.select(
         (product_id_from_file("path") if product_id is None else product_id).alias("product_id"),
-        date_from_name(source_file).alias("scrape_date"),
+        date_from_name(folder, F.col("modified")).alias("scrape_date"),
         source_file.alias("source_file"),
         "value",
     ).filter("product_id IS NOT NULL")
@@ -92,13 +99,27 @@ def load_with_quarantine(stream: DataFrame, good: Column, table: str, rejects: s
     return _finish(stream, load, checkpoint)
 
 
-def drop_repeats(stream: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
-    """The first arrival of each key; state is kept for ``delay`` of event time.
+def load_unique(stream: DataFrame, keys: list[str], order: str, table: str, checkpoint: str) -> StreamingQuery:
+    """Add the rows whose keys the table doesn't hold yet; of new rows with equal keys that of the smallest ``order``.
 
-    Repeats that arrive later than the delay pass through, so a table kept this way is cleaned by
-    the batch de-duplication now and then.
+    However late a row arrives, it is compared with all that was loaded, so no first arrival is lost and no repeat
+    passes. A null in a key equals a null. A batch that is run again overwrites its own folder and doesn't see it.
     """
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
+    # An empty folder with the layout, so that the first batch finds a table.
+    stream.sparkSession.createDataFrame([], stream.schema).write.mode("overwrite").parquet(f"{table}/batch=-1")
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        loaded = spark.read.schema(f"{_layout(batch)}, batch BIGINT").parquet(table).filter(F.col("batch") != batch_id)
+        fresh = dedup.keep_one(batch, keys, order, keep="earliest").alias("n")
+        same = functools.reduce(Column.__and__, (F.col(f"n.`{k}`").eqNullSafe(F.col(f"t.`{k}`")) for k in keys))
+        fresh.join(loaded.select(*keys).alias("t"), same, "left_anti").write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+
+    return _finish(stream, load, checkpoint)
+
+
+def _layout(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
 def write_stream(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:

@@ -94,15 +94,42 @@ def test_quarantine(spark, rows, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == [2, 3]
 
 
-def test_repeats_across_batches(spark, rows, tmp_path):
+def test_late_first_arrivals_are_kept_and_repeats_dropped(spark, rows, tmp_path):
     source, out, cp = (str(tmp_path / d) for d in ("in", "out", "cp"))
     schema = "k string, at timestamp"
 
-    def arrive(*keys):
-        rows([(k, dt.datetime(2025, 1, 10, 8)) for k in keys], schema).coalesce(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(schema).parquet(source)
-        ingest.write_stream(ingest.drop_repeats(stream, ["k"], "at", "1 day"), out, cp)
-
-    arrive("a", "a", "b")
-    arrive("b", "c")
-    assert sorted(r.k for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+    def arrive(*found):
+        rows([(k, dt.datetime(2025, 1, 10, h)) for k, h in found], schema).coalesce(1).write.mode("append").parquet(source)
+        ingest.load_unique(spark.readStream.schema(schema).parquet(source), ["k"], "at", out, cp)
+
+    arrive(("a", 10), ("a", 9), ("b", 20), (None, 10))
+    arrive(("c", 5), ("b", 1))
+    arrive(("d", 6), (None, 7), ("c", 23))
+    found = spark.read.parquet(out).collect()
+    assert sorted((r.k or "", r.at.hour) for r in found) == [("", 10), ("a", 9), ("b", 20), ("c", 5), ("d", 6)]
+
+
+def test_dropped_days_leave_storage(spark, rows, tmp_path):
+    path, name = str(tmp_path / "t"), f"drop_{tmp_path.name.replace('-', '_')}"
+    data = rows([(1, dt.date(2025, 1, 1)), (2, dt.date(2025, 1, 2)), (3, dt.date(2025, 3, 1))], "id int, day date")
+    tables.create_table(spark, name, data.schema, "day", path)
+    data.write.insertInto(name)
+    tables.drop_days(spark, name, "day", [dt.date(2025, 1, 2)])
+    read = lambda: sorted(r.id for r in spark.read.schema(data.schema).parquet(path).collect())
+    assert read() == [1, 3]
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    assert sorted(r.id for r in spark.table(name).collect()) == [1, 3]
+    assert tables.retire(spark, name, "day", 30, dt.date(2025, 3, 2)) == [dt.date(2025, 1, 1)]
+    assert read() == [3]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_scrape_date_and_name_of_odd_folders(spark, tmp_path):
+    landing = tmp_path / "my cards+é"
+    for name in ("drop1/20231105.json", "2024-02-03/77.json"):
+        (landing / name).parent.mkdir(parents=True, exist_ok=True)
+        (landing / name).write_text('{"result": []}')
+    table, manifest, cp = (str(tmp_path / d) for d in ("t", "m", "c"))
+    ingest.ingest_prices(spark, str(landing), table, manifest, cp)
+    found = {r.filepath: r.scrape_date for r in spark.read.parquet(manifest).collect()}
+    assert found == {"drop1/20231105.json": dt.datetime.now(dt.timezone.utc).date(), "2024-02-03/77.json": dt.date(2024, 2, 3)}
