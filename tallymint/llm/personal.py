@@ -125,9 +125,9 @@ def disclosures(docs: DataFrame, near: DataFrame, key: str, text: str) -> DataFr
     pairs = stored(pairs.where(F.col("contexts") >= LEAST_CONTEXTS), "term-pairs")
     if pairs.isEmpty():
         return pairs.select("entity", "term", F.lit(0.0).alias("share"))
-    terms = pairs.select("term").distinct()
     words = F.array_distinct(F.regexp_extract_all(F.lower(text_of(text)), F.lit(r"\p{L}{%d,}" % TERM_LETTERS), F.lit(0)))
-    seen = docs.select(F.explode(words).alias("term")).join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("with_term"))
+    # Summed in each task before anything is joined: the join meets one row per word, not one per occurrence.
+    seen = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
     entities = near.groupBy("entity").agg(F.count_distinct("_id", "_row").alias("with_entity"))
     total = float(docs.count())
     rows = pairs.join(seen, "term").join(entities, "entity")
