@@ -7,8 +7,10 @@ miss. The boundary between both is the size at which the subsets of the corpus's
 
 Sets that are equal become one representative. In a list, everything is first compared with one hub, then whole
 clusters with one another by their best members, and only pairs of different clusters are listed one by one: a large
-group of near copies costs about one comparison per member and list. Every candidate is verified on whole sets, so
-links are exact, but for collisions of 64-bit hashes of words and n-grams.
+group of near copies costs about one comparison per member and list. A sketch of each set, n-grams counted by CELLS
+ranges of their hashes, bounds the overlap of a pair from above; every candidate that may reach the threshold is verified
+on whole sets, which only the documents of such pairs are cut into again. Links are exact, but for collisions of 64-bit
+hashes of words and n-grams.
 
 Defined cases: null or empty texts and texts without words have an empty set, and are linked with nothing; null ids have
 no component and are linked with nothing; rows that share an id are one document with several sets; an empty table
@@ -39,7 +41,9 @@ LEAST_SEEN = 3
 LARGEST_LIGHT = 32
 #: Rows of two or three numbers that may be broadcast, after they have been counted; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
-SETS = "id long, n long, one long, two long, tokens array<long>"
+#: Cells of a sketch (a power of two), a byte each. It decides cost only.
+CELLS = 128
+SETS = "id long, n long, one long, two long, tokens array<long>, sketch binary"
 
 
 def ngrams(text: str, width: int) -> np.ndarray:
@@ -56,6 +60,12 @@ def ngrams(text: str, width: int) -> np.ndarray:
     return np.unique(found)
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """N-grams in each range of hashes, 255 at most."""
+    cell = (found >> np.uint64(65 - CELLS.bit_length())).astype(np.int64)
+    return np.minimum(np.bincount(cell, minlength=CELLS), 255).astype(np.uint8).tobytes()
+
+
 def needed(a: int, b: int, part: int, whole: int) -> int:
     """The least overlap o of sets of these sizes with whole * o >= part * (a + b - o)."""
     return -(-part * (a + b) // (whole + part))
@@ -87,17 +97,17 @@ def frequent_order(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def sets(docs: DataFrame, width: int, part: int, whole: int, order: np.ndarray, complete: bool = False) -> DataFrame:
-    """Each document's set: size, fingerprint in two numbers, and its first n-grams (all: if small, or ``complete``)."""
+    """Each document's set: size, fingerprint in two numbers, first n-grams (all: if small, or ``complete``), sketch."""
     place = np.argsort(order)
     known = order[place]
 
     def work(batches):
         for batch in batches:
             for rows, texts in slices(batch, "text"):
-                out = [[], [], [], []]
+                out = [[], [], [], [], []]
                 for text in texts:
                     found = ngrams(text, width)
-                    n = len(found)
+                    n, cells = len(found), sketch(found)
                     mark = xxhash.xxh3_128(found.tobytes()).digest()
                     keep = n
                     if not complete:
@@ -107,11 +117,12 @@ def sets(docs: DataFrame, width: int, part: int, whole: int, order: np.ndarray,
                         if n > LARGEST_LIGHT:
                             keep = n - -(-part * n // whole) + 1
                     one, two = np.frombuffer(mark, "<i8").tolist()
-                    for column, value in zip(out, (n, one, two, found[:keep].astype(np.int64))):
+                    for column, value in zip(out, (n, one, two, found[:keep].astype(np.int64), cells)):
                         column.append(value)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("id").cast(pa.int64()), *map(pa.array, out[:3]), pa.array(out[3], pa.list_(pa.int64()))],
-                    ["id", "n", "one", "two", "tokens"])
+                    [rows.column("id").cast(pa.int64()), *map(pa.array, out[:3]), pa.array(out[3], pa.list_(pa.int64())),
+                     pa.array(out[4], pa.binary())],
+                    ["id", "n", "one", "two", "tokens", "sketch"])
 
     return docs.select("id", "text").mapInArrow(work, SETS)
 
@@ -171,12 +182,34 @@ def light_links(reps: DataFrame, most: int, part: int, whole: int) -> DataFrame:
     return keys.join(hubs, ["sizes", "subset"]).where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, whole_sets: DataFrame, part: int, whole: int) -> DataFrame:
+def possible(pairs: DataFrame, reps: DataFrame, part: int, whole: int) -> DataFrame:
+    """The pairs (a, b) whose sketches don't rule out that their sets are similar.
+
+    What the counts of a cell differ by is in one of the sets only, so all differences are at most the sizes' sum less
+    twice the overlap.
+    """
+    def work(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int32) for c in ("x", "y"))
+            size = batch.column("nx").to_numpy() + batch.column("ny").to_numpy()
+            apart = np.abs(x - y).sum(axis=1)
+            near = pa.array((whole + part) * (size - apart) >= 2 * part * size)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(near), batch.column("b").filter(near)], ["a", "b"])
+
+    left = reps.select(F.col("rep").alias("a"), F.col("n").alias("nx"), F.col("sketch").alias("x"))
+    right = reps.select(F.col("rep").alias("b"), F.col("n").alias("ny"), F.col("sketch").alias("y"))
+    return pairs.join(left, "a").join(right, "b").mapInArrow(work, "a long, b long").distinct()
+
+
+def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, part: int, whole: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar, by their whole sets."""
+    pairs = counted(possible(pairs, reps, part, whole), "pairs")
+    members = counted(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "members")
+    whole_sets = stored(sets(docs.join(members, "id", "left_semi"), width, part, whole, np.zeros(0, np.uint64), complete=True)
+                        .select("id", "tokens"), "sets")
     left = whole_sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
     right = whole_sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-    pairs = counted(pairs, "pairs")
-    # Only sets that occur in pairs move.
+    # Only sets that stand on a pair's side move.
     right = right.join(pairs.select("b").distinct(), "b", "left_semi")
     found = left.join(pairs, "a").join(right, "b")
     both = F.size(F.array_intersect("x", "y"))
@@ -184,7 +217,8 @@ def verified(pairs: DataFrame, whole_sets: DataFrame, part: int, whole: int) ->
     return found.where(whole * F.col("both") >= part * (F.col("nx") + F.col("ny") - F.col("both"))).select("a", "b").distinct()
 
 
-def heavy_links(docs: DataFrame, postings: DataFrame, lists: DataFrame, light: int, width: int, part: int, whole: int) -> DataFrame:
+def heavy_links(docs: DataFrame, reps: DataFrame, postings: DataFrame, lists: DataFrame, light: int, width: int, part: int,
+                whole: int) -> DataFrame:
     """Links with at least one set larger than ``light``, by scanning inverted lists."""
     alike = lambda a, b: whole * F.least(a, b) >= part * F.greatest(a, b)
     # Lists without a large set are left to subsets.
@@ -192,8 +226,6 @@ def heavy_links(docs: DataFrame, postings: DataFrame, lists: DataFrame, light: i
     # How much of a set's lists is shared tells how central it is in its group of near copies.
     score = shared.groupBy("rep").agg(F.sum("len").alias("score"))
     shared = stored(shared.drop("len").join(score, "rep"), "postings")
-    whole_sets = stored(sets(docs.join(counted(score.select(F.col("rep").alias("id")), "members"), "id", "left_semi"), width, part, whole,
-                             np.zeros(0, np.uint64), complete=True).select("id", "tokens"), "sets")
     clusters = shared.select("rep", F.col("rep").alias("cluster")).distinct()
     links = None
     for _ in range(ROUNDS):
@@ -202,7 +234,7 @@ def heavy_links(docs: DataFrame, postings: DataFrame, lists: DataFrame, light: i
         hubs = best.groupBy("token").agg(F.max("m").alias("hub"), F.count("*").alias("clusters")).where("clusters > 1").drop("clusters")
         pairs = best.join(hubs, "token").where((F.col("m.rep") != F.col("hub.rep")) & alike(F.col("m.n"), F.col("hub.n")))
         pairs = pairs.select(F.col("m.rep").alias("a"), F.col("hub.rep").alias("b")).distinct()
-        found = verified(pairs, whole_sets, part, whole)
+        found = verified(pairs, reps, docs, width, part, whole)
         links = stored(found if links is None else found.union(links), "heavy-links")
         joined = components(links)
         clusters = stored(shared.select("rep").distinct().join(joined, F.col("rep") == F.col("node"), "left")
@@ -219,7 +251,7 @@ def heavy_links(docs: DataFrame, postings: DataFrame, lists: DataFrame, light: i
                    & (F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) * (whole + part)
                       >= part * (F.col("a.n") + F.col("b.n"))))
     pairs = pairs.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
-    return stored(verified(pairs, whole_sets, part, whole).union(links), "heavy-links")
+    return stored(verified(pairs, reps, docs, width, part, whole).union(links), "heavy-links")
 
 
 def similar(docs: DataFrame, width: int = 5, part: int = 80, whole: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -228,7 +260,8 @@ def similar(docs: DataFrame, width: int = 5, part: int = 80, whole: int = 100, k
     order = frequent_order(rows, width)
     found = stored(sets(rows, width, part, whole, order), "sets")
     real = found.where("n > 0 AND id IS NOT NULL")
-    reps = stored(real.groupBy("one", "two", "n").agg(F.min("id").alias("rep"), F.first("tokens").alias("tokens")), "representatives")
+    reps = stored(real.groupBy("one", "two", "n").agg(F.min("id").alias("rep"), F.first("tokens").alias("tokens"),
+                                                          F.first("sketch").alias("sketch")), "representatives")
     first = F.col("n") - F.ceil(1.0 * part * F.col("n") / whole) + 1
     postings = reps.select("rep", "n", F.posexplode(F.slice("tokens", F.lit(1), first.cast("int"))).alias("pos", "token"))
     lists = postings.groupBy("token").agg(F.count("*").alias("len"), F.max("n").alias("most")).where("len > 1")
@@ -236,7 +269,7 @@ def similar(docs: DataFrame, width: int = 5, part: int = 80, whole: int = 100, k
     light = boundary(reps, lists, part, whole)
     # Small sets are in the lists too as far as a large set can be similar to them.
     postings = postings.where(F.col("n") >= -(-part * (light + 1) // whole))
-    links = light_links(reps, light, part, whole).union(heavy_links(rows, postings, lists, light, width, part, whole))
+    links = light_links(reps, light, part, whole).union(heavy_links(rows, reps, postings, lists, light, width, part, whole))
     joined = components(links)
     member = real.select("id", "one", "two").distinct().join(reps.select("one", "two", "rep"), ["one", "two"])
     # Equal sets, and sets of one id, are links as well.
