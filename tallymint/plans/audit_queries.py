@@ -124,9 +124,11 @@ def category_status(v: Views) -> DataFrame:
     return audit.category_status(audit.group_status(group_events(v), order=AT))
 
 
-@query("retry_list", """SELECT s_nationkey || ':' || s_suppkey AS group_key, CAST(s_nationkey AS VARCHAR) AS category_id,
+@query("retry_list", """SELECT group_key, CAST(s_nationkey AS VARCHAR) AS category_id,
     CAST(s_suppkey AS VARCHAR) AS group_id, n_name AS category_name, s_name AS group_name
-    FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal < 0""")
+    FROM (SELECT c_nationkey || ':' || c_custkey AS group_key FROM customer
+      UNION SELECT s_nationkey || ':' || s_suppkey FROM supplier WHERE s_acctbal < 0)
+    JOIN supplier ON group_key = s_nationkey || ':' || s_suppkey JOIN nation ON s_nationkey = n_nationkey""")
 def retry_list(v: Views) -> DataFrame:
     failed = v.table("customer").select(
         F.concat(F.col("c_nationkey").cast("string"), F.lit(":"), F.col("c_custkey").cast("string")).alias("group_key")
@@ -135,7 +137,7 @@ def retry_list(v: Views) -> DataFrame:
     )).distinct()
     categories = v.table("nation").select(
         F.col("n_nationkey").cast("string").alias("category_id"), F.col("n_name").alias("category_name"))
-    known = v.table("supplier").filter("s_acctbal < 0").select(
+    known = v.table("supplier").select(
         F.col("s_nationkey").cast("string").alias("category_id"), F.col("s_suppkey").cast("string").alias("group_id"),
         F.col("s_name").alias("group_name"))
     return audit.retry_list(failed, categories, known)

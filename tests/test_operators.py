@@ -339,17 +339,17 @@ FAILURES = "date date, failure_type string, error_message string"
 
 
 def test_failures_of_four_kinds(rows):
-    df = rows([(D(2024, 12, 1), "download", "Connection timeout"), (D(2024, 12, 2), "extract", "7z error: corrupt archive"),
-               (D(2024, 12, 3), "download", "HTTP 404 Not Found"), (D(2024, 12, 4), "upload", "BigQuery quota exceeded")], FAILURES)
+    df = rows([(D(2023, 5, 9), "download", "Read timeout after 30 s"), (D(2023, 5, 11), "extract", "could not extract member 7"),
+               (D(2023, 5, 12), "download", "prices.zip: Not Found"), (D(2023, 6, 2), "upload", "GCP refused the job")], FAILURES)
     keys = [r[0] for r in df.select(audit.error_key(F.col("error_message"))).collect()]
     assert keys == ["connection_error", "extraction_error", "file_not_found", "bigquery_error"]
     got = audit.failures_by_type(df).collect()
     assert [(r.pattern_type, r.frequency, r.severity, r.common_error) for r in got] == [
-        ("download_failures", 2, "low", "Connection timeout")]
+        ("download_failures", 2, "low", "Read timeout after 30 s")]
     assert audit.failure_clusters(df).count() == 0 and audit.error_patterns(df).count() == 0
     report = audit.recovery_report(df).first()
     assert (report.total_failures, report.failed_dates) == (4, 4) and report.recommendation.endswith("Increase timeout values.")
-    assert [r.date for r in audit.failed_dates(df).collect()][0] == D(2024, 12, 1)
+    assert [r.date for r in audit.failed_dates(df).collect()][0] == D(2023, 5, 9)
 
 
 def test_clusters_and_other_messages(rows):

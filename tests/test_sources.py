@@ -49,6 +49,14 @@ def test_price_files(spark, tmp_path):
     assert {r.product_id for r in got.select("product_id").collect()} == {"481225", "88"}
 
 
+def test_file_names_in_odd_folders(spark, tmp_path):
+    base = tmp_path / "my cards + é"
+    write(base, "set 1/5.json", PRODUCT)
+    write(base, "50%25/6+.json", PRODUCT)
+    got = files.scan_price_documents(spark, str(base), F.lit(D(2025, 1, 10)), product_id=F.lit("1"))
+    assert {r.source_file for r in got.collect()} == {"set 1/5.json", "50%25/6+.json"}
+
+
 def test_daily_tree(spark, tmp_path):
     entry = {"productId": 1, "subTypeName": "Normal", "lowPrice": 1.0, "midPrice": 2.0, "highPrice": 3.0,
              "marketPrice": 2.5, "directLowPrice": None}
