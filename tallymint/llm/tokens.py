@@ -22,6 +22,10 @@ CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 CACHE_CHUNKS = 1_200_000
 #: New chunks that go to the library in one string.
 JOINED = 256
+#: Stands between chunks in such a string: white space and a word of one token, which comes from this character only.
+BAR = " |"
+#: Chunks that neither join with the bar before them nor with the white space behind them.
+APART = re.compile(f"(?:[\t-\r ][{WHITE}]*|[A-Za-z])[^{WHITE}]*[^{WHITE}|]")
 
 
 def text_encoder(path: str, end: int | None = None) -> "TextEncoder":
@@ -42,26 +46,31 @@ class TextEncoder:
         # Text between special tokens is encoded by itself: many chunks can go in one string with one between them.
         self.mark_id, self.mark = max(special.items(), default=(None, None))
         self.special = tuple(special.values())
+        bar = self.tokenizer.encode(BAR, add_special_tokens=False).ids
+        self.bar_id = bar[0] if len(bar) == 1 else None
+
+    def _joined(self, group: list[str], between: str, number: int) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of the chunks and how many each has, encoded as one string; None if they can't be told apart."""
+        found = np.array(self.tokenizer.encode_batch_fast([between.join(group)], add_special_tokens=False)[0].ids, np.int32)
+        ends = np.append(np.flatnonzero(found == number), len(found))
+        return (found[found != number], np.diff(np.append(-1, ends)) - 1) if len(ends) == len(group) else None
 
     def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, count = [], np.zeros(len(chunks), np.int64)
         for at in range(0, len(chunks), JOINED):
             group = chunks[at:at + JOINED]
-            joined = None
-            if self.mark is not None and not any(t in "\0".join(group) for t in self.special):
-                found = self.tokenizer.encode_batch_fast([self.mark.join(group)], add_special_tokens=False)[0].ids
-                joined = np.array(found, np.int32)
-                ends = np.append(np.flatnonzero(joined == self.mark_id), len(joined))
-                joined = joined[joined != self.mark_id]
-                size = np.diff(np.append(-1, ends)) - 1
-                if len(size) != len(group):
-                    joined = None
-            if joined is None:
-                found = [e.ids for e in self.tokenizer.encode_batch_fast(group, add_special_tokens=False)]
-                joined = np.fromiter(chain.from_iterable(found), np.int32)
-                size = np.fromiter(map(len, found), np.int64, len(found))
-            ids.append(joined)
-            count[at:at + len(group)] = size
+            text, found = "\0".join(group), None
+            if not any(t in text for t in self.special):
+                # The bar costs the library less than a special token.
+                if self.bar_id is not None and "|" not in text and all(map(APART.fullmatch, group)):
+                    found = self._joined(group, BAR, self.bar_id)
+                elif self.mark is not None:
+                    found = self._joined(group, self.mark, self.mark_id)
+            if found is None:
+                each = [e.ids for e in self.tokenizer.encode_batch_fast(group, add_special_tokens=False)]
+                found = np.fromiter(chain.from_iterable(each), np.int32), np.fromiter(map(len, each), np.int64, len(each))
+            ids.append(found[0])
+            count[at:at + len(group)] = found[1]
         return np.concatenate(ids), count
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
