@@ -96,6 +96,13 @@ def test_fenwick_chains_and_alignment():
         assert passages.common_words(x, y) == table[-1][-1]
 
 
+def test_chains_after_a_long_passage():
+    # 400 words, 100 unlike ones in either text, then 80: the end of the first outranks all that follows.
+    places = [*range(0, 395, 4), *range(500, 575, 4)]
+    found = sorted((places[c[0]], places[c[-1]]) for c in passages.chains(places, [p + 7 for p in places]))
+    assert found == [(0, 392), (500, 572)]
+
+
 def test_shared_passages(spark, table):
     rng = np.random.default_rng(9)
     word = lambda n: [f"w{v}" for v in rng.integers(0, 10**6, n)]
