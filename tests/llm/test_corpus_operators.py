@@ -117,6 +117,25 @@ def test_shared_passages(spark, table):
     assert passages.passages(table([])).count() == 0
 
 
+def random_words(rng, n):
+    return [f"w{v}" for v in rng.integers(0, 10**6, n)]
+
+
+def test_short_passages_are_found_to_their_ends(spark, table):
+    rng = np.random.default_rng(11)
+    texts, want = [], []
+    for n in [49, *range(50, 64)] * 4:
+        shared, (i, j, k, m) = random_words(rng, n), rng.integers(0, 90, 4).tolist()
+        want += [(len(texts) + 1, j, j + n, len(texts), i, i + n, 1.0)] if n >= 50 else []
+        texts += [" ".join(random_words(rng, i) + shared + random_words(rng, k)), " ".join(random_words(rng, j) + shared + random_words(rng, m))]
+    # 2,000 equal words of which a smaller id holds all but 60 in the middle, so that they are extended far.
+    shared = random_words(rng, 2000)
+    texts += [" ".join(shared[:970] + random_words(rng, 30)), " ".join(random_words(rng, 30) + shared[1030:]), " ".join(shared), " ".join(shared)]
+    rows = {tuple(r) for r in passages.passages(table(texts)).collect()}
+    assert set(want) == {r for r in rows if r[0] < len(texts) - 4}
+    assert (len(texts) - 1, 0, 2000, len(texts) - 2, 0, 2000, 1.0) in rows
+
+
 def test_archives(spark):
     html = ["<p>a</p>", "", None, "<p>a</p>", "é" * 4000, "<p>a</p>", "x"]
     pages = spark.createDataFrame([(i, None if i == 6 else f"http://x/{i} y", h, 1) for i, h in enumerate(html)], "page_id long, url string, html string, offset int")
