@@ -136,6 +136,14 @@ def test_short_passages_are_found_to_their_ends(spark, table):
     assert (len(texts) - 1, 0, 2000, len(texts) - 2, 0, 2000, 1.0) in rows
 
 
+def test_passages_joined_over_unlike_words_are_split(spark, table):
+    rng = np.random.default_rng(12)
+    p, q = random_words(rng, 50), random_words(rng, 50)
+    texts = [" ".join(p + random_words(rng, 40) + q), " ".join(p + random_words(rng, 40) + q)]
+    rows = {tuple(r) for r in passages.passages(table(texts)).collect()}
+    assert rows == {(1, 0, 50, 0, 0, 50, 1.0), (1, 90, 140, 0, 90, 140, 1.0)}
+
+
 def test_archives(spark):
     html = ["<p>a</p>", "", None, "<p>a</p>", "é" * 4000, "<p>a</p>", "x"]
     pages = spark.createDataFrame([(i, None if i == 6 else f"http://x/{i} y", h, 1) for i, h in enumerate(html)], "page_id long, url string, html string, offset int")
