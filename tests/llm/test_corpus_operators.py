@@ -144,6 +144,34 @@ def test_passages_joined_over_unlike_words_are_split(spark, table):
     assert rows == {(1, 0, 50, 0, 0, 50, 1.0), (1, 90, 140, 0, 90, 140, 1.0)}
 
 
+def test_partial_copies_hide_no_passage(spark, table):
+    rng = np.random.default_rng(13)
+    three, four, many = (random_words(rng, n) for n in (90, 90, 60))
+    parts = [three[:45], three, three, four[:45], four[45:], four, four, *[many[k:k + 40] for k in range(0, 21, 2)], many, many]
+    rows = {tuple(r) for r in passages.passages(table([" ".join(random_words(rng, 20) + w + random_words(rng, 20)) for w in parts])).collect()}
+    assert rows == {(i, 20, 20 + n, i - 1, 20, 20 + n, 1.0) for i, n in ((2, 90), (6, 90), (19, 60))}
+
+
+def test_exact_passages_equal_a_plain_version(spark, table):
+    rng = np.random.default_rng(14)
+    pool = random_words(rng, 300) + ["again"] * 70 + random_words(rng, 100)
+    texts = []
+    for _ in range(60):
+        cuts = [(s, s + n) for s, n in zip(rng.integers(0, 440, 3).tolist(), rng.integers(20, 75, 3).tolist())]
+        texts.append(" ".join(w for s, e in cuts for w in pool[s:e] + random_words(rng, 3)))
+    first, missing = {}, []
+    found = defaultdict(list)
+    for r in passages.passages(table(texts)).collect():
+        found[r.doc_id].append((r.start, r.end))
+    for i, t in enumerate(texts):
+        words = t.split()
+        own = [tuple(words[s:s + 50]) for s in range(len(words) - 49)]
+        missing += [(i, s) for s, w in enumerate(own) if w in first and len(set(w)) > 1 and not any(a <= s and s + 50 <= b for a, b in found[i])]
+        for w in own:
+            first.setdefault(w, i)
+    assert first and not missing
+
+
 def test_archives(spark):
     html = ["<p>a</p>", "", None, "<p>a</p>", "é" * 4000, "<p>a</p>", "x"]
     pages = spark.createDataFrame([(i, None if i == 6 else f"http://x/{i} y", h, 1) for i, h in enumerate(html)], "page_id long, url string, html string, offset int")
