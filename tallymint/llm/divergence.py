@@ -2,8 +2,8 @@
 
 Each language has two references, counted over all its documents: the shares of character classes among its characters,
 and the shares of its most frequent short words among its words. A document fails if the Jensen-Shannon distance (base
-2) of its own histogram from its language's is too large; histograms of short texts say little, so a guard on length
-leaves them out. Before that come plain rules: too few words, or too many words in repeated passages.
+2) of its own histogram from its language's is too large, for words also if it is nearly that of a text without any
+frequent word; histograms of short texts say little, so a guard on length leaves them out. Before that come plain rules: too few words, or too many words in repeated passages.
 
 Word counts of the references are summed in each task first, so a hot language is a few rows; only the references are
 joined to the documents, which never move.
@@ -35,6 +35,9 @@ TOP_WORDS, WORD_LENGTH = 20, 5
 LEAST_CHARS, LEAST_WORDS = 200, 50
 #: The largest distances that pass.
 CLASS_DISTANCE, WORD_DISTANCE = 0.20, 0.42
+#: A text without any of the frequent words has a distance that their share among all words sets, and which may be below
+#: WORD_DISTANCE. This part of it is too large as well, for a text long enough to expect so many frequent words in it.
+WITHOUT, EXPECTED = 0.9, 10
 PASSAGE = 5
 
 
@@ -109,7 +112,10 @@ def judge(docs: DataFrame, refs: DataFrame | None = None, text: str = "text", la
     outputs = [*BASE, "class_distance", "word_distance", "kept"]
     columns = [c for c in docs.columns if c not in outputs]
     refs = references(docs, text, lang) if refs is None else refs
-    refs = refs.select(F.col("lang").alias("_lang"), "class_share", "top_words", "word_share")
+    known = F.aggregate("word_share", F.lit(0.0), lambda a, x: a + x)
+    without = F.sqrt(known / 2 + js_term(F.lit(1.0), F.greatest(1 - known, F.lit(0.0))))
+    refs = refs.select(F.col("lang").alias("_lang"), "class_share", "top_words", "word_share", known.alias("_known"),
+                       F.least(F.lit(WORD_DISTANCE), WITHOUT * without).alias("_limit"))
     rows = base_rules(docs.select(*columns), text).withColumn("_key", F.coalesce(F.col(lang).cast("string"), F.lit("")))
     rows = rows.join(refs.withColumnsRenamed({c: f"_{c}" for c in ("class_share", "top_words", "word_share")}), F.col("_key") == F.col("_lang"), "left")
     rows = rows.withColumns({"_chars": F.octet_length("_text").cast("double"), "_padded": F.concat(F.lit(" "), F.lower(F.array_join("_words", "  ")), F.lit(" "))})
@@ -130,7 +136,8 @@ def judge(docs: DataFrame, refs: DataFrame | None = None, text: str = "text", la
     distance = lambda js: F.sqrt(F.greatest(js, F.lit(0.0)))
     rows = rows.withColumns({"class_distance": F.when(F.col("_chars") >= LEAST_CHARS, distance(F.col("_class_js"))),
                              "word_distance": distance(word_js)})
-    kept = ~F.col("base_failed") & (F.coalesce("class_distance", F.lit(0.0)) <= CLASS_DISTANCE) & (F.coalesce("word_distance", F.lit(0.0)) <= WORD_DISTANCE)
+    limit = F.when(F.col("n_words") * F.col("_known") >= EXPECTED, F.col("_limit")).otherwise(WORD_DISTANCE)
+    kept = ~F.col("base_failed") & (F.coalesce("class_distance", F.lit(0.0)) <= CLASS_DISTANCE) & (F.coalesce("word_distance", F.lit(0.0)) <= limit)
     rows = rows.withColumn("kept", kept)
     # A filter on the results must not be worked out anew from the text, so they pass through a generator.
     return (rows.select(*columns, F.explode(F.array(F.struct(*outputs))).alias("_result"))

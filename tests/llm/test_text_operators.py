@@ -131,6 +131,28 @@ def test_divergence_rejects_what_differs(spark, table):
     assert sum(rows[i] for i in range(60)) >= 55 and not rows[60]
 
 
+def test_divergence_rejects_texts_without_the_common_words(spark, table):
+    rng = np.random.default_rng(6)
+    tail = lambda letters: ["".join(rng.choice(list(letters), rng.integers(4, 10))) for _ in range(4000)]
+    short = {"en": ["the", "of", "and", "to", "a", "in", "is", "that", "it", "for", "was", "on", "with", "as", "be", "by", "are", "this", "at", "from"],
+             "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "sich", "mit", "des", "auf", "für", "ist", "im", "nicht", "dem", "ein", "eine", "als"]}
+    long_, share = {"en": tail("etaoinshrdlucm"), "de": tail("enisratdhulcgm")}, 1 / np.arange(2, 22)
+
+    def prose(lang, n):
+        common = rng.choice(short[lang], n, p=share / share.sum())
+        return " ".join(np.where(rng.random(n) < 0.23, common, rng.choice(long_[lang], n)))
+
+    texts = [(prose(lang, int(n)), lang) for lang in short for n in rng.integers(60, 400, 150)]
+    texts += [(" ".join(rng.choice(long_["en"], 120)), "en") for _ in range(3)] + [(prose("de", 150), "en") for _ in range(3)]
+    rows = divergence.judge(spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "doc_id long, text string, lang string")).collect()
+    kept = {r.doc_id: r.kept for r in rows}
+    assert not any(r.base_failed or r.class_distance > divergence.CLASS_DISTANCE for r in rows)
+    assert sum(kept[i] for i in range(300)) >= 297 and not any(kept[i] for i in range(300, 306))
+    # Where frequent words are rare, a text without them says nothing.
+    rare = [(i, " ".join(rng.choice(long_["en"], 80)), "en") for i in range(40)]
+    assert all(r.kept for r in divergence.judge(spark.createDataFrame(rare, "doc_id long, text string, lang string")).select("kept").collect())
+
+
 def plain_spans(t):
     found = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     found += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m.group().split("."))]
