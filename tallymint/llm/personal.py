@@ -1,10 +1,11 @@
 """Personal data: patterns, and terms that give protected values away, in DataFrame expressions only.
 
 Base spans are e-mail addresses, IP addresses, card numbers and phone numbers. Beyond them, the corpus tells how much a
-term beside a protected value reveals it: pointwise mutual information of term and value over the value's information
-content, from counts of documents over the whole corpus. It is 1 where the term occurs only beside that value. Terms
-from GENERALISE on are replaced by a class, from REMOVE on they are taken out. A term needs LEAST_CONTEXTS different
-surroundings of the value, so that copies of one document prove nothing.
+term in a document with a protected value reveals it: pointwise mutual information of term and value over the value's
+information content, from counts of documents over the whole corpus. It is 1 where the term occurs only together with that
+value. Terms from GENERALISE on are replaced by a class, from REMOVE on they are taken out, wherever they stand outside
+base spans, also in documents without the value. A term needs LEAST_CONTEXTS different surroundings of the value (REACH
+characters on either side), so that copies of one document prove nothing.
 
 Defined cases: a null or empty text has no spans; null ids are allowed; rows that repeat with the same id and text have
 the same spans and count as one document; an empty table gives no rows; output columns replace those of the same names.
@@ -25,6 +26,7 @@ KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 #: Characters on either side of a value that count as its surroundings, and the least letters of a term.
 REACH, TERM_LETTERS = 60, 4
+WORD = r"\p{L}{%d,}" % TERM_LETTERS
 LEAST_CONTEXTS = 3
 GENERALISE, REMOVE = 0.6, 0.8
 SPAN = "array<struct<kind:string,start:int,end:int>>"
@@ -93,63 +95,76 @@ def with_base(docs: DataFrame, text: str) -> DataFrame:
     return rows.withColumn("_spans", F.explode(F.array(base_spans(F.col("_text")))))
 
 
+def terms_of(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
+
+
 def surroundings(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Terms beside protected values: row (``_id``, ``_row``), value (``entity``), ``term``, its place, and ``context``."""
+    """Protected values: row (``_id``, ``_row``), value (``entity``), its ``context``, and at one value of each row the
+    ``terms`` of the whole text outside base spans."""
     rows = with_base(docs.select(F.col(key).alias("_id"), F.col(text)), text).where(F.size("_spans") > 0)
-    rows = rows.select("_id", F.xxhash64("_text").alias("_row"), "_text", F.length("_text").alias("_size"), F.explode("_spans").alias("s"))
-    lo, hi = F.greatest(F.col("s.start") - REACH, F.lit(0)), F.least(F.col("s.end") + REACH, F.col("_size"))
-    rows = rows.select(
-        "_id", "_row", "_size", F.concat_ws(":", "s.kind", F.lower(F.substring("_text", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")))).alias("entity"),
-        lo.alias("lo"), hi.alias("hi"), F.col("s.end").alias("end"),
-        F.explode(F.array(F.struct(F.substring("_text", lo + 1, F.col("s.start") - lo).alias("before"),
-                                   F.substring("_text", F.col("s.end") + 1, hi - F.col("s.end")).alias("after")))).alias("c"))
-    context = F.xxhash64("c.before", "c.after")
-    pattern = r"\p{L}{%d,}" % TERM_LETTERS
-
-    def side(name, base, cut):
-        part = F.col(f"c.{name}")
-        # Words that the window's outer edge may have cut are left out.
-        whole = F.filter(located(part, pattern, F.lit(True)), lambda t: ~cut(t))
-        return F.transform(whole, lambda t: F.struct(F.lower(t["match"]).alias("term"), (base + t["start"]).alias("start"), (base + t["start"] + F.length(t["match"])).alias("end")))
-
-    before = side("before", F.col("lo"), lambda t: (t["start"] == 0) & (F.col("lo") > 0))
-    after = side("after", F.col("end"), lambda t: (F.col("end") + t["start"] + F.length(t["match"]) == F.col("hi")) & (F.col("hi") < F.col("_size")))
-    rows = rows.select("_id", "_row", "entity", context.alias("context"), F.explode(F.concat(before, after)).alias("t"))
-    return rows.select("_id", "_row", "entity", "context", "t.term", "t.start", "t.end")
+    outside = F.aggregate("_spans", F.col("_text"), lambda t, s: F.overlay(t, F.repeat(F.lit("\n"), s["end"] - s["start"]), s["start"] + 1, s["end"] - s["start"]))
+    rows = rows.select("_id", F.xxhash64("_text").alias("_row"), "_text", outside.alias("_outside"), F.posexplode("_spans").alias("k", "s"))
+    lo = F.greatest(F.col("s.start") - REACH, F.lit(0))
+    return rows.select(
+        "_id", "_row", F.concat_ws(":", "s.kind", F.lower(F.substring("_text", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")))).alias("entity"),
+        F.xxhash64(F.substring("_text", lo + 1, F.col("s.start") - lo), F.substring("_text", F.col("s.end") + 1, F.lit(REACH))).alias("context"),
+        F.when(F.col("k") == 0, terms_of(F.col("_outside"))).alias("terms"))
 
 
 def disclosures(docs: DataFrame, near: DataFrame, key: str, text: str) -> DataFrame:
     """Terms that reveal a value: ``entity``, ``term`` and ``share``, the part of the value's information they give."""
-    pairs = near.groupBy("entity", "term").agg(
-        F.count_distinct("context").alias("contexts"), F.count_distinct("_id", "_row").alias("both"))
-    pairs = stored(pairs.where(F.col("contexts") >= LEAST_CONTEXTS), "term-pairs")
-    if pairs.isEmpty():
-        return pairs.select("entity", "term", F.lit(0.0).alias("share"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower(text_of(text)), F.lit(r"\p{L}{%d,}" % TERM_LETTERS), F.lit(0)))
+    entities = near.groupBy("entity").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("_id", "_row").alias("with_entity"))
+    entities = stored(entities.where(F.col("contexts") >= LEAST_CONTEXTS).drop("contexts"), "entities")
+    if entities.isEmpty():
+        return entities.select("entity", F.lit("").alias("term"), F.lit(0.0).alias("share"))
+    held = near.join(entities, "entity").select("_id", "_row", "entity", "context", "with_entity").distinct()
     # Summed in each task before anything is joined: the join meets one row per word, not one per occurrence.
-    seen = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
-    entities = near.groupBy("entity").agg(F.count_distinct("_id", "_row").alias("with_entity"))
+    seen = docs.select(F.explode(terms_of(text_of(text))).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
     total = float(docs.count())
-    rows = pairs.join(seen, "term").join(entities, "entity")
+    words = near.where("terms IS NOT NULL").join(held.select("_id", "_row").distinct().withColumnsRenamed({"_id": "_i", "_row": "_r"}),
+                                                 F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_row") == F.col("_r")), "left_semi")
+    words = words.select("_id", "_row", F.explode("terms").alias("term")).distinct().join(seen, "term")
+    # More documents with a term than this leave no share of GENERALISE, as no more than all of the value's can be among them.
+    most = F.pow(F.lit(total), F.lit(1 - GENERALISE)) * F.pow("with_entity", F.lit(GENERALISE)) * (1 + 1e-9)
+    same = F.col("h._id").eqNullSafe(F.col("w._id")) & (F.col("h._row") == F.col("w._row")) & (F.col("with_term") <= most)
+    pairs = held.alias("h").join(words.alias("w"), same).select("h._id", "h._row", "entity", "context", "with_entity", "term", "with_term")
+    pairs = pairs.groupBy("entity", "term", "with_entity", "with_term").agg(
+        F.count_distinct("context").alias("contexts"), F.count_distinct("_id", "_row").alias("both")).where(F.col("contexts") >= LEAST_CONTEXTS)
     information = F.log2(F.lit(total) / F.col("with_entity"))
     mutual = F.log2(F.lit(total) * F.col("both") / (F.col("with_term") * F.col("with_entity")))
-    return rows.where(information > 0).select("entity", "term", (mutual / information).alias("share")).where(F.col("share") >= GENERALISE)
+    return pairs.where(information > 0).select("entity", "term", (mutual / information).alias("share")).where(F.col("share") >= GENERALISE)
 
 
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows with ``base_spans``, and ``term_spans`` with the share that each term reveals."""
     columns = [c for c in docs.columns if c not in ("base_spans", "term_spans")]
-    # Few rows: only what stands beside protected values. Written, as three steps read it.
+    # Only documents with protected values. Written, as three steps read it.
     near = stored(surroundings(docs, key, text), "near")
-    flagged = disclosures(docs, near, key, text)
-    spans = near.join(flagged, ["entity", "term"]).groupBy("_id", "_row", "start", "end").agg(F.max("share").alias("share"))
-    spans = spans.groupBy("_id", "_row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "share"))).alias("_terms"))
-    spans = stored(spans, "term-spans")
+    flagged = stored(disclosures(docs, near, key, text).groupBy("term").agg(F.max("share").alias("share")), "flagged")
+    # All documents with a flagged term, whether or not they have the value.
+    with_terms = docs.select(F.col(key).alias("_id"), text_of(text).alias("_text"))
+    with_terms = with_terms.select("_id", F.xxhash64("_text").alias("_row"), F.explode(terms_of(F.col("_text"))).alias("term")).join(flagged, "term")
+    with_terms = with_terms.groupBy("_id", "_row").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("term", "share")))).alias("_wanted"))
+    with_terms = stored(with_terms, "term-rows")
     rows = with_base(docs.select(*columns), text).withColumn("_hash", F.xxhash64("_text"))
     same = F.col(f"d.`{key}`").eqNullSafe(F.col("s._id")) & (F.col("d._hash") == F.col("s._row"))
-    rows = rows.alias("d").join(spans.alias("s"), same, "left")
+    rows = rows.alias("d").join(with_terms.alias("s"), same, "left")
     none = F.array().cast("array<struct<start:int,end:int,share:double>>")
-    return rows.select(*[F.col(f"d.`{c}`") for c in columns], F.col("_spans").alias("base_spans"), F.coalesce("_terms", none).alias("term_spans"))
+    matches = F.regexp_extract_all("_text", F.lit(WORD), F.lit(0))
+    pairs = F.arrays_zip(F.slice(F.split("_text", WORD, -1), F.lit(1), F.size(matches)).alias("gap"), matches.alias("match"))
+
+    def step(a, z):
+        start = a["at"] + F.length(z["gap"])
+        end = start + F.length(z["match"])
+        share = F.try_element_at("_wanted", F.lower(z["match"]))
+        span = F.struct(start.alias("start"), end.alias("end"), share.alias("share"))
+        return F.struct(end.alias("at"), F.when(share.isNotNull(), F.array_append(a["out"], span)).otherwise(a["out"]).alias("out"))
+
+    terms = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"]
+    terms = F.filter(terms, lambda t: ~F.exists("_spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    return rows.select(*[F.col(f"d.`{c}`") for c in columns], F.col("_spans").alias("base_spans"),
+                       F.when(F.col("_wanted").isNotNull(), terms).otherwise(none).alias("term_spans"))
 
 
 def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

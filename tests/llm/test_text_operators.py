@@ -188,6 +188,19 @@ def test_terms_beside_a_value_are_found_and_masked(spark, table):
     assert personal.find(table([])).count() == 0
 
 
+def test_terms_are_masked_wherever_they_stand(spark, table):
+    fill = "people went home and wrote about other things " * 5
+    secret = [f"{w} zebulon wrote from z@home.org about {v} things {fill} Zebulon {fill} quillfeather" for w, v in zip(["monday", "tuesday", "friday", "sunday"], ["many", "some", "nine", "four"])]
+    other = [f"people wrote from home about other things, number {i}, and went" for i in range(60)] + ["news of zebulon: zebulonia"]
+    docs = table(secret + other)
+    rows = {r.doc_id: r for r in personal.find(docs).collect()}
+    # The second mention and a term over 200 characters away, and a document without the value.
+    assert [secret[0][s.start:s.end] for s in rows[0].term_spans] == ["zebulon", "Zebulon", "quillfeather"]
+    assert [other[60][s.start:s.end] for s in rows[64].term_spans] == ["zebulon"] and not rows[63].term_spans
+    clean = {r.doc_id: r.text for r in personal.sanitise(docs).collect()}
+    assert "zebulon" not in clean[0].lower() and "zebulon:" not in clean[64] and "zebulonia" in clean[64]
+
+
 def test_digest_columns(spark, tmp_path, table):
     table(TEXTS).write.parquet(str(tmp_path / "documents.parquet"))
     row = next(r for r in pieces.op1_sentencepiece(spark, str(tmp_path)).collect() if r.doc_id == 0)
