@@ -142,17 +142,20 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     sample = known.select(F.col(key).alias("_id"), F.col("_label").cast("int").alias("_label"))
     sample = sample.orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
     # At most sample_rows pairs of numbers.
-    rows = docs.select(F.col(key).alias("_id"), text_of(text).alias("_text")).join(F.broadcast(sample), "_id")
+    rows = docs.select(F.col(key).alias("_id"), text_of(text).alias("_text"), F.xxhash64(text_of(text)).alias("_hash")).join(F.broadcast(sample), "_id")
 
     def work(batches):
         for batch in batches:
             for part, texts in slices(batch, "_text"):
                 numbers = [statistics(t) for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_id").cast(pa.string()), part.column("_label"), pa.array(numbers, pa.list_(pa.float64()))],
-                    ["_id", "_label", "_values"])
+                    [part.column("_id").cast(pa.string()), part.column("_label"), part.column("_hash"), pa.array(numbers, pa.list_(pa.float64()))],
+                    ["_id", "_label", "_hash", "_values"])
 
-    found = rows.mapInArrow(work, "_id string, _label int, _values array<double>").collect()
+    # Of rows that share an id the one with the smallest hash of its text, so that sample_rows bounds what is collected.
+    found = rows.mapInArrow(work, "_id string, _label int, _hash long, _values array<double>")
+    found = found.groupBy("_id", "_label").agg(F.min(F.struct("_hash", "_values")).alias("_first"))
+    found = found.select("_id", "_label", F.col("_first._values").alias("_values")).collect()
     found.sort(key=lambda r: (r["_id"], r["_values"]))
     values = np.array([r["_values"] for r in found], float).reshape(len(found), len(STATISTICS))
     return fit(values, np.array([r["_label"] for r in found], float))

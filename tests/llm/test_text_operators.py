@@ -104,6 +104,18 @@ def test_quality_learns_and_defines_odd_labels(spark, table):
     assert quality.score(table([]), model).count() == 0
 
 
+def test_quality_takes_one_row_of_an_id(spark, table, monkeypatch):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    docs = table([f"text number {i} has some words" for i in range(40)])
+    more = spark.createDataFrame([(ids[0], f"another text {i} with this id") for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    sizes, fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda values, target: sizes.append(len(values)) or fit(values, target))
+    quality.train(docs.select("doc_id", "text").union(more), labels)
+    quality.train(docs.select("doc_id", "text").union(more).repartition(7), labels, sample_rows=5)
+    assert sizes == [len(ids), 5]
+
+
 def test_rules_equal_a_plain_version(spark, table):
     word = re.compile(r"[^\x20\x09-\x0D]+")
     texts = TEXTS + ["a b c d e f\na b c d e f\n \na b c d e x", "#$ %% | <>", "a a a a a a b b b b b"]
