@@ -1,6 +1,8 @@
 """Importing this module registers the queries of every operator."""
 
-from . import divergence, idfiles, packing, passages, personal, pieces, quality, quotient, similar, warc  # noqa: F401
+from . import (  # noqa: F401
+    divergence, idfiles, mixing, packing, passages, personal, pieces, quality, quotient, repair, similar, warc, whitening,
+)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
