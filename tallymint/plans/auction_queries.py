@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import auctions, dedup, filters, profile
 from ..schemas import GRADES
 from ..sources import documents
-from ..sources.tables import spread
 from .registry import query
-from .views import DAY, LINE_GRADES, SINCE, Views, case, sql_case, with_views
+from .views import DAY, LINE_GRADES, SINCE, Views, case, dealt, sql_case, dealt, with_views
 
 SALES = with_views("auctions", "sales")
 SESSION = with_views("auctions", "sales", "session")
@@ -62,7 +61,7 @@ def auction_union(v: Views) -> DataFrame:
         F.when(F.col("l_returnflag") != "N", summary).alias("historicalItemAuctionSummary"),
         F.when(F.col("l_returnflag") != "A", F.struct(sales.alias("highestDailySales"))).alias("historicalAuctionInfo")))
     item = F.col("l_partkey").cast("string")
-    docs = spread(v.table("lineitem")).select(
+    docs = dealt(v.table("lineitem")).select(
         item.alias("item_id"), case(F.col("l_linenumber"), LINE_GRADES).alias("grade"),
         F.concat(F.lit("Card "), item).alias("card_name"), doc.alias("value"))
     at = F.lit(dt.datetime(2001, 12, 2, 8)).cast("timestamp_ntz")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import audit
+from ..operators import audit, backfill, versions
+from ..session import workspace
 from ..streaming.ingest import not_loaded
 from .registry import query
 from .views import Views, with_views
@@ -83,6 +86,41 @@ def missing_weekdays(v: Views) -> DataFrame:
     return audit.missing_dates(spine(v, skip_weekends=True), audit.run_status(v.run_log, order=AT))
 
 
+# Days of the backfill below are months of the daily prices; one with more or fewer rows than this fails its check.
+MONTH_ROWS = {"least": 5, "most": 100_000}
+FIRST_RUN = 30
+
+
+@query("backfill_days", with_views("daily") + f""", by_month AS (SELECT CAST(date_trunc('month', price_date) AS DATE) AS day,
+      COUNT(*) AS n, COUNT(*) FILTER (WHERE market_price IS NULL AND category_id = 7) AS gaps FROM daily GROUP BY 1),
+    spine AS (SELECT CAST(unnest(range(DATE '1991-12-01', DATE '1998-12-31', INTERVAL 1 MONTH)) AS DATE) AS day),
+    judged AS (SELECT day, COALESCE(n, 0) AS n, row_number() OVER (ORDER BY day) AS place,
+      COALESCE(n BETWEEN {MONTH_ROWS['least']} AND {MONTH_ROWS['most']} AND gaps = 0, FALSE) AS ok
+      FROM spine LEFT JOIN by_month USING (day))
+    SELECT day, CASE WHEN ok THEN n ELSE 0 END AS rows_in_table, CASE WHEN ok THEN n ELSE 0 END AS rows_in_log,
+      CASE WHEN ok THEN 'completed' ELSE 'failed' END AS status,
+      CAST(CASE WHEN ok THEN 1 ELSE 0 END AS BIGINT) AS completed_runs,
+      CAST(CASE WHEN ok THEN 0 WHEN place <= {FIRST_RUN} THEN 3 ELSE 2 END AS BIGINT) AS failures,
+      CASE WHEN n = 0 THEN 'download' WHEN NOT ok THEN 'process' END AS failure_type FROM judged""")
+def backfill_days(v: Views) -> DataFrame:
+    """A backfill that stops after some days and is run again, twice: what table and logs hold of each day."""
+    out = workspace(v.spark, "backfill")
+    table, log = f"{out}/table", f"{out}/log"
+    # Prices of the last category are required, so months in which one is missing fail.
+    months = v.daily.withColumn("price_date", F.trunc("price_date", "month")) \
+        .withColumn("needed", F.coalesce("market_price", F.when(F.col("category_id") != 7, F.lit(0.0))))
+    spine = v.spark.createDataFrame([(dt.date(1991, 12, 1), dt.date(1998, 12, 31))], "first DATE, last DATE") \
+        .select(F.explode(F.expr("sequence(first, last, INTERVAL 1 MONTH)")).alias("date"))
+    for run, limit in (("a", FIRST_RUN), ("b", None), ("c", None)):
+        backfill.backfill(v.spark, months, spine, table, log, run, limit=limit, required=("needed",), high=1e9, **MONTH_ROWS)
+    status = audit.run_status(backfill.run_log(v.spark, log), order=("event_time", "run_id"))
+    failures = backfill.failure_log(v.spark, log).groupBy(F.col("date").alias("day")).agg(
+        F.count("*").alias("failures"), F.max("failure_type").alias("failure_type"))
+    rows = versions.read(v.spark, table).groupBy(F.col("price_date").alias("day")).agg(F.count("*").alias("rows_in_table"))
+    known = status.select(F.col("date").alias("day"), "status", F.col("record_count").alias("rows_in_log"), "completed_runs")
+    return known.join(rows, "day", "left").join(failures, "day", "left").fillna(0, ["rows_in_table", "failures"])
+
+
 @query("endpoint_health", with_views("ticks") + """, log AS (
       SELECT CAST(user_id AS VARCHAR) AS endpoint, ts, event_id, value,
              event_type NOT IN ('error', 'signup') AS ok, event_type = 'signup' AS limited FROM ticks),

@@ -13,13 +13,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import schemas
 from ..functions.money import money_total
 from ..functions.text import product_id_from_file
-from ..operators import auctions, dedup, tables
+from ..operators import auctions, dedup, tables, versions
 from ..session import workspace
 from ..sources import archives, documents, files
-from ..sources.tables import spread
 from ..streaming import ingest
 from .registry import query
-from .views import DAY, DAY_BEFORE, LINE_GRADES, SINCE, Views, case, sql_case, with_views
+from .views import DAY, DAY_BEFORE, LINE_GRADES, SINCE, Views, case, dealt, sql_case, with_views
 
 CLUSTER = ["product_id", "language", "condition"]
 
@@ -125,8 +124,9 @@ BUCKET_COLUMNS = ["product_id", "sku_id", "variant", "language", "condition", "s
                   "market_price", "quantity_sold", "low_sale_price", "transaction_count"]
 
 
-def price_documents(v: Views) -> DataFrame:
+def price_documents(v: Views, prices: DataFrame | None = None) -> DataFrame:
     """One price document per bucket; condition N comes without buckets."""
+    prices = dealt(v.prices) if prices is None else prices
     bucket = F.struct(
         F.date_format("bucket_start_date", "yyyy-MM-dd").alias("bucketStartDate"),
         F.col("market_price").cast("string").alias("marketPrice"),
@@ -139,8 +139,8 @@ def price_documents(v: Views) -> DataFrame:
         F.when(F.col("condition") != "N", F.array(bucket)).otherwise(F.array()).alias("buckets"),
     )
     doc = F.to_json(F.struct(F.col("product_id").alias("productId"), F.array(result).alias("result")))
-    return spread(v.prices).select("product_id", "scrape_date",
-                                   F.concat("product_id", F.lit(".json")).alias("source_file"), doc.alias("value"))
+    return prices.select("product_id", "scrape_date",
+                         F.concat("product_id", F.lit(".json")).alias("source_file"), doc.alias("value"))
 
 
 @query("flatten_price_json", with_views("prices") + BUCKETS_SQL)
@@ -171,7 +171,7 @@ def scan_daily_prices(v: Views) -> DataFrame:
     payload = F.when(F.col("l_linestatus") == "F", F.to_json(F.struct(entry.alias("results")))) \
         .otherwise(F.to_json(entry))
     parts = ["price_date", "category_id", "group_id"]
-    spread(v.table("lineitem")).select(
+    dealt(v.table("lineitem")).select(
         F.when(F.col("l_linestatus") == "F", F.lit(DAY_BEFORE)).otherwise(F.lit(DAY)).alias("price_date"),
         F.col("l_linenumber").alias("category_id"), case(F.col("l_returnflag"), {"A": 1, "N": 2, "R": 3}).alias("group_id"),
         payload.alias("value"),
@@ -189,7 +189,7 @@ def scan_auction_json(v: Views) -> DataFrame:
     sale = F.struct(F.date_format("l_shipdate", "MM/dd/yyyy").alias("dateOfSale"), F.col("l_extendedprice").alias("price"))
     doc = F.to_json(F.struct(F.struct(F.array(sale).alias("highestDailySales")).alias("historicalAuctionInfo")))
     item = F.col("l_partkey").cast("string")
-    docs = spread(v.table("lineitem")).select(
+    docs = dealt(v.table("lineitem")).select(
         F.concat(F.lit("cache/"), item, F.lit("_"), case(F.col("l_linenumber"), LINE_GRADES), F.lit(".json")).alias("path"),
         F.when(F.col("l_returnflag") == "N", "{}").otherwise(doc).alias("value"))
     cards = v.table("part").select(F.col("p_partkey").cast("string").alias("item_id"), F.col("p_name").alias("card_name"))
@@ -251,53 +251,141 @@ def write_report(v: Views) -> DataFrame:
 
 # --- streaming ---------------------------------------------------------------------------------
 
-def landed(v: Views, name: str) -> tuple[str, Column]:
+def landed(v: Views, name: str, prices: DataFrame | None = None) -> tuple[str, Column]:
     """A landing folder with one sub-folder of documents per scrape date."""
     landing = workspace(v.spark, name)
-    price_documents(v).select("scrape_date", "value").hint("rebalance", "scrape_date") \
-        .write.partitionBy("scrape_date").text(landing)
+    prices = (v.prices if prices is None else prices).hint("rebalance", "scrape_date")
+    price_documents(v, prices).select("scrape_date", "value").write.partitionBy("scrape_date").text(landing)
     return landing, F.get_json_object("value", "$.productId")
 
 
+def load_landed(v: Views, landing: str, ident: Column, out: str, **how) -> None:
+    ingest.ingest_prices(v.spark, landing, f"{out}/table", f"{out}/checkpoint", product_id=ident, glob="*.txt",
+                         whole=False, files_per_batch=how.pop("files_per_batch", 100_000), **how)
+
+
 @query("stream_file_ingest", with_views("prices") + BUCKETS_SQL)
 def stream_file_ingest(v: Views) -> DataFrame:
     landing, ident = landed(v, "landing")
     out = workspace(v.spark, "ingest")
     for _ in range(2):  # the second run finds nothing new
-        ingest.ingest_prices(v.spark, landing, f"{out}/table", f"{out}/manifest", f"{out}/checkpoint",
-                             product_id=ident, glob="*.txt", whole=False, files_per_batch=100_000)
-    return v.spark.read.parquet(f"{out}/table").select(*BUCKET_COLUMNS)
+        load_landed(v, landing, ident, out)
+    return ingest.read_prices(v.spark, f"{out}/table").select(*BUCKET_COLUMNS)
 
 
-@query("stream_manifest", with_views("prices") + """SELECT scrape_date, COUNT(*) AS record_count FROM prices GROUP BY 1""")
+@query("stream_manifest", with_views("prices") + """SELECT 'scrape_date=' || scrape_date AS folder, scrape_date,
+    COUNT(*) AS record_count, 0::BIGINT AS rejected_count FROM prices GROUP BY ALL""")
 def stream_manifest(v: Views) -> DataFrame:
     landing, ident = landed(v, "landing")
     out = workspace(v.spark, "ingest")
-    ingest.ingest_prices(v.spark, landing, f"{out}/table", f"{out}/manifest", f"{out}/checkpoint",
-                         product_id=ident, glob="*.txt", whole=False, files_per_batch=100_000)
-    return v.spark.read.parquet(f"{out}/manifest").groupBy("scrape_date").agg(F.sum("record_count").alias("record_count"))
+    load_landed(v, landing, ident, out)
+    return ingest.manifest(v.spark, f"{out}/table").groupBy(
+        F.substring_index("filepath", "/", 1).alias("folder"), "scrape_date",
+    ).agg(F.sum("record_count").alias("record_count"), F.sum("rejected_count").alias("rejected_count"))
+
+
+def with_fractions(v: Views) -> DataFrame:
+    """Prices as text documents, in which open lines of condition R have a fraction as quantity."""
+    bucket = F.struct(F.col("market_price").cast("string").alias("marketPrice"), F.concat(
+        F.col("quantity_sold").cast("string"),
+        F.when((F.col("condition") == "R") & (F.col("transaction_count") == 1), F.lit(".5")).otherwise(F.lit(".0")),
+    ).alias("quantitySold"))
+    doc = F.to_json(F.struct(F.col("product_id").alias("productId"), F.array(F.struct(
+        "condition", F.array(bucket).alias("buckets"))).alias("result")))
+    broken = F.col("transaction_count") == 7
+    return v.prices.select("scrape_date", F.when(broken, F.concat(F.lit("["), doc)).otherwise(doc).alias("value"))
+
+
+@query("ingest_rejects", with_views("prices") + """SELECT scrape_date, verdict, reason, COUNT(*) AS n,
+      CAST(SUM(quantity) AS BIGINT) AS quantity, CAST(SUM(CAST(market_price AS DECIMAL(24,6))) AS DOUBLE) AS value
+    FROM (SELECT scrape_date, market_price,
+        CASE WHEN condition = 'R' AND transaction_count = 1 THEN 'rejected' ELSE 'accepted' END AS verdict,
+        CASE WHEN condition = 'R' AND transaction_count = 1 THEN 'quantity_sold = ' || quantity_sold || '.5' END AS reason,
+        CASE WHEN NOT (condition = 'R' AND transaction_count = 1) THEN quantity_sold END AS quantity
+      FROM prices WHERE transaction_count <> 7) GROUP BY scrape_date, verdict, reason
+    UNION ALL SELECT scrape_date, 'empty', 'no list of results', COUNT(*), NULL, NULL FROM prices
+    WHERE transaction_count = 7 GROUP BY scrape_date""")
+def ingest_rejects(v: Views) -> DataFrame:
+    """Accepted and rejected rows and unreadable documents, from one pass over the documents."""
+    landing, out = workspace(v.spark, "landing"), workspace(v.spark, "ingest")
+    with_fractions(v).hint("rebalance", "scrape_date").write.partitionBy("scrape_date").text(landing)
+    load_landed(v, landing, F.coalesce(F.get_json_object("value", "$.productId"), F.lit("0")), out)
+    rows = versions.read(v.spark, f"{out}/table", verdict=None).filter("verdict <> 'file'")
+    return rows.groupBy("scrape_date", "verdict", "reason").agg(
+        F.count("*").alias("n"), F.sum("quantity_sold").alias("quantity"), money_total("market_price").alias("value"))
+
+
+@query("ingest_replace", with_views("prices") + FACTS_SQL.format(
+    "(SELECT * REPLACE (quantity_sold + 1 AS quantity_sold) FROM prices WHERE scrape_date = DATE '2001-12-02' "
+    "AND condition <> 'N')") + """
+    UNION ALL SELECT scrape_date, 'manifest', COUNT(*), NULL, NULL, NULL, NULL FROM prices
+    WHERE scrape_date = DATE '2001-12-02' GROUP BY scrape_date""")
+def ingest_replace(v: Views) -> DataFrame:
+    """All days are appended; then other documents of one day replace them, rows and manifest."""
+    landing, ident = landed(v, "landing")
+    out = workspace(v.spark, "ingest")
+    load_landed(v, landing, ident, out)
+    again = of_day(v.prices, DAY).withColumn("quantity_sold", F.col("quantity_sold") + 1)
+    other, ident = landed(v, "landing", again)
+    load_landed(v, other, ident, out, mode="replace", files_per_batch=2)
+    load_landed(v, other, ident, out)  # finds nothing new
+    rows = facts(ingest.read_prices(v.spark, f"{out}/table").filter("bucket_start_date IS NOT NULL"))
+    listed = ingest.manifest(v.spark, f"{out}/table").groupBy("scrape_date").agg(F.sum("record_count").alias("n")) \
+        .withColumn("condition", F.lit("manifest"))
+    return rows.unionByName(listed, allowMissingColumns=True)
+
 
+def file_count(v: Views, table: str) -> int:
+    """Files that hold the rows of a table's newest version."""
+    return versions.read(v.spark, table).select("_metadata.file_path").distinct().count()
 
-@query("stream_quarantine", with_views("daily") + """SELECT CASE WHEN market_price > 0 THEN 'table' ELSE 'rejects' END
-    AS target, COUNT(*) AS n FROM daily GROUP BY 1""")
+
+LANDED = """(SELECT * REPLACE (CASE WHEN condition <> 'N' THEN bucket_start_date END AS bucket_start_date,
+    CASE WHEN condition <> 'N' THEN market_price END AS market_price,
+    CASE WHEN condition <> 'N' THEN quantity_sold END AS quantity_sold) FROM prices)"""
+
+
+@query("compact_days", with_views("prices") + "SELECT *, TRUE AS fewer_files, TRUE AS same_again FROM ("
+       + FACTS_SQL.format(LANDED) + ")")
+def compact_days(v: Views) -> DataFrame:
+    """Days loaded in many small batches and then compacted: the same rows in fewer files, also after a second run."""
+    landing, out = workspace(v.spark, "landing"), workspace(v.spark, "ingest")
+    price_documents(v).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(4))).select("scrape_date", "part", "value") \
+        .hint("rebalance", "scrape_date", "part").write.partitionBy("scrape_date", "part").text(landing)
+    load_landed(v, landing, F.get_json_object("value", "$.productId"), out, files_per_batch=3)
+    table = f"{out}/table"
+    scattered = file_count(v, table)
+    closed = DAY + dt.timedelta(days=1)
+    first = versions.compact(v.spark, table, closed, tuple(CLUSTER))
+    second = versions.compact(v.spark, table, closed, tuple(CLUSTER))
+    return facts(ingest.read_prices(v.spark, table)).withColumn("fewer_files", F.lit(file_count(v, table) < scattered)) \
+        .withColumn("same_again", F.lit(first == second))
+
+
+@query("stream_quarantine", with_views("daily") + """SELECT
+    CASE WHEN market_price > 0 THEN 'accepted' ELSE 'rejected' END AS verdict,
+    CASE WHEN market_price > 0 THEN NULL WHEN market_price IS NULL THEN 'no price' ELSE 'no positive price' END AS reason,
+    COUNT(*) AS n FROM daily GROUP BY ALL""")
 def stream_quarantine(v: Views) -> DataFrame:
     landing, out = workspace(v.spark, "landing"), workspace(v.spark, "quarantine")
     v.daily.write.parquet(landing)
     stream = v.spark.readStream.schema(v.daily.schema).parquet(landing)
-    ingest.load_with_quarantine(stream, F.col("market_price") > 0, f"{out}/table", f"{out}/rejects", f"{out}/checkpoint")
-    parts = [v.spark.read.parquet(f"{out}/{name}").agg(F.count("*").alias("n")).select(F.lit(name).alias("target"), "n")
-             for name in ("table", "rejects")]
-    return parts[0].unionByName(parts[1])
+    why = F.when(F.col("market_price").isNull(), F.lit("no price")).otherwise(F.lit("no positive price"))
+    ingest.load_with_quarantine(stream, F.col("market_price") > 0, f"{out}/table", f"{out}/checkpoint", why)
+    return v.spark.read.parquet(f"{out}/table").groupBy("verdict", "reason").agg(F.count("*").alias("n"))
 
 
 @query("stream_dedup", with_views("auctions", "sales") + """SELECT psa_level, COUNT(*) AS n
     FROM (SELECT DISTINCT card_name, psa_level, auction_date, auction_price FROM sales) GROUP BY psa_level""")
 def stream_dedup(v: Views) -> DataFrame:
+    """Sales that land in three batches, most of them out of order."""
     landing, out = workspace(v.spark, "landing"), workspace(v.spark, "repeats")
     sales = auctions.sales(v.auctions, DAY, SINCE).withColumn("scraped_at", F.col("scraped_at").cast("timestamp"))
-    sales.write.parquet(landing)
-    stream = v.spark.readStream.schema(sales.schema).parquet(landing)
-    ingest.load_unique(stream, list(dedup.SESSION_KEYS), "scraped_at", f"{out}/table", f"{out}/checkpoint")
+    part = F.pmod(F.xxhash64("card_name", "psa_level", "scraped_at"), F.lit(3))
+    for arrived in (2, 0, 1):
+        sales.filter(part == arrived).write.mode("append").parquet(landing)
+        stream = v.spark.readStream.schema(sales.schema).parquet(landing)
+        ingest.load_unique(stream, list(dedup.SESSION_KEYS), "scraped_at", f"{out}/table", f"{out}/checkpoint", "auction_date")
     return v.spark.read.parquet(f"{out}/table").groupBy("psa_level").agg(F.count("*").alias("n"))
 
 

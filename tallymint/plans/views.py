@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..operators.tables import conform
-from ..sources.tables import spread, table
+from ..sources.tables import table
 
 DAY = dt.date(2001, 12, 2)
 DAY_BEFORE = dt.date(2001, 12, 1)
@@ -42,6 +42,11 @@ def case(c: Column, values: dict) -> Column:
     return out
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows in pieces of even size: the test tables come in one piece, and texts made from them are costly to read."""
+    return df.hint("rebalance")
+
+
 def sql_case(column: str, values: dict) -> str:
     """The same lookup as SQL."""
     def lit(v):
@@ -151,7 +156,7 @@ class Views:
             F.date_format("l_shipdate", "MM/dd/yyyy").alias("sale_date"),
             F.concat(F.lit("Card "), F.col("l_partkey").cast("string")).alias("card_name"),
         ))
-        rows = spread(self.table("lineitem")).select(
+        rows = self.table("lineitem").select(
             F.col("l_partkey").cast("string").alias("item_id"),
             case(F.col("l_linenumber"), LINE_GRADES).alias("grade"),
             F.lit("sale").alias("record_type"),
@@ -192,7 +197,7 @@ class Views:
         """Documents as submissions: the first line is the title, the rest the text."""
         first_break = F.instr("text", "\n")
         body = F.when(first_break > 0, F.expr(r"substr(text, instr(text, '\n') + 1)"))
-        rows = spread(self.table("documents")).select(
+        rows = dealt(self.table("documents")).select(
             F.col("doc_id").cast("string").alias("id"),
             F.when(F.col("source") == "src0", "[deleted]").otherwise(F.col("source")).alias("author"),
             F.date_add(F.lit(dt.date(2009, 6, 1)), (F.col("n_chars") % 5000).cast("int"))
@@ -208,7 +213,7 @@ class Views:
     def comments(self) -> DataFrame:
         """Conversation turns as comments."""
         conv = F.col("conv_id").cast("string")
-        rows = spread(self.table("conversations")).select(
+        rows = dealt(self.table("conversations")).select(
             F.concat(conv, F.lit("-"), F.col("turn").cast("string")).alias("id"),
             F.when(F.col("role") == "system", "[deleted]").otherwise(F.col("role")).alias("author"),
             F.date_add(F.lit(dt.date(2009, 6, 1)), (F.col("conv_id") % 4000).cast("int"))
@@ -240,7 +245,7 @@ class Views:
                          F.array(F.array(ms, F.col("k").cast("double"))).alias("data")),
             ).alias("series"),
         ))
-        return spread(self.table("events")).withColumn("k", _k()).select(
+        return dealt(self.table("events")).withColumn("k", _k()).select(
             F.concat(F.lit("kw_"), F.col("user_id").cast("string")).alias("keyword"),
             F.col("event_id").alias("line_no"),
             F.when(F.col("event_type") == "error", '{"_type": "Other"}')
@@ -257,7 +262,7 @@ class Views:
         at = case(F.col("event_type"), EVENT_SERIES)
         csv = F.transform(F.sequence(F.lit(0), F.lit(10)), lambda i: F.when(i == at, packed))
         doc = F.to_json(F.struct(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("asin"), csv.alias("csv")))
-        return spread(self.table("events")).select("event_id", doc.alias("value"))
+        return dealt(self.table("events")).select("event_id", doc.alias("value"))
 
     @cached_property
     def run_log(self) -> DataFrame:

@@ -92,7 +92,10 @@ TREND_LINE = _nested("_type STRING, series ARRAY<STRUCT<id: STRING, data: ARRAY<
 
 PACKED_PRODUCT = _nested("asin STRING, csv ARRAY<ARRAY<BIGINT>>")
 
-MANIFEST = _flat("filepath STRING, scrape_date DATE, upload_timestamp TIMESTAMP_NTZ, record_count BIGINT")
+MANIFEST = _flat("""
+    filepath STRING, scrape_date DATE, upload_timestamp TIMESTAMP_NTZ, record_count BIGINT,
+    rejected_count BIGINT, reason STRING
+""")
 
 FAILURE = _flat("""
     date DATE, timestamp STRING, failure_type STRING, error_message STRING, error_code STRING,

@@ -48,6 +48,22 @@ BUCKET_FIELDS = {
 }
 
 
+def _buckets(rows: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """Text fields of a result ``r`` and its bucket ``b`` as columns of the price table."""
+    return rows.select(
+        "product_id",
+        *[F.col(f"r.{name}").alias(column) for name, column in RESULT_FIELDS.items()],
+        *[F.col(f"b.{name}").alias(column) for name, column in BUCKET_FIELDS.items()],
+        *[c for c in keep if c != "product_id"],
+    )
+
+
+DOUBLES = ("market_price", "low_sale_price", "low_sale_price_with_shipping",
+           "high_sale_price", "high_sale_price_with_shipping")
+WHOLES = ("quantity_sold", "transaction_count")
+DAYS = ("bucket_start_date",)
+
+
 def price_rows(docs: DataFrame, text: str = "value", flag: str | None = None) -> DataFrame:
     """Price documents to price-bucket rows.
 
@@ -62,20 +78,26 @@ def price_rows(docs: DataFrame, text: str = "value", flag: str | None = None) ->
     per_bucket = per_result.select(
         *keep, "r", F.explode_outer("r.buckets").alias("b")
     )
-    flat = per_bucket.select(
-        "product_id",
-        *[F.col(f"r.{name}").alias(column) for name, column in RESULT_FIELDS.items()],
-        *[F.col(f"b.{name}").alias(column) for name, column in BUCKET_FIELDS.items()],
-        "scrape_date", "source_file",
-    )
-    return cleaning.coerce(
-        flat,
-        doubles=("market_price", "low_sale_price", "low_sale_price_with_shipping",
-                 "high_sale_price", "high_sale_price_with_shipping"),
-        wholes=("quantity_sold", "transaction_count"),
-        days=("bucket_start_date",),
-        flag=flag,
-    )
+    return cleaning.coerce(_buckets(per_bucket, keep), doubles=DOUBLES, wholes=WHOLES, days=DAYS, flag=flag)
+
+
+def price_verdicts(docs: DataFrame, text: str = "value") -> DataFrame:
+    """Price documents to rows with a ``verdict`` and its ``reason``, all from one parse of each document.
+
+    Rows are ``accepted``, or ``rejected`` where a whole-number field holds a fraction; the reason gives the text. A
+    document without results leaves one row, ``empty``, whose reason tells whether it had a list of them.
+    """
+    keep = ("product_id", "scrape_date", "source_file")
+    per_result = parsed(docs, keep, F.from_json(text, schemas.PRICE_DOCUMENT)).select(
+        *keep, F.array_size("d.result").alias("results"), F.explode_outer("d.result").alias("r"))
+    per_bucket = per_result.select(*keep, "results", "r", F.explode_outer("r.buckets").alias("b"))
+    flat = _buckets(per_bucket, (*keep, "results"))
+    odd = F.concat_ws("; ", *[F.when(cleaning.is_fractional(c), F.concat(F.lit(f"{c} = "), c)) for c in WHOLES])
+    reason = F.when(F.col("results").isNull(), F.lit("no list of results")).otherwise(F.nullif(odd, F.lit("")))
+    typed = cleaning.coerce(flat.withColumn("reason", reason), doubles=DOUBLES, wholes=WHOLES, days=DAYS)
+    verdict = F.when(F.coalesce("results", F.lit(0)) == 0, F.lit("empty")) \
+        .when(F.col("reason").isNotNull(), F.lit("rejected")).otherwise(F.lit("accepted"))
+    return typed.withColumn("verdict", verdict).drop("results")
 
 
 # --- daily price lists -------------------------------------------------------------------------

@@ -10,16 +10,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan dealt out to all cores when it comes in fewer pieces than there are cores.
-
-    Meant for small tables before costly work per row; a large table is read in many pieces and is
-    returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def limit_per_group(df: DataFrame, category: str, group: str, categories: int, groups: int) -> DataFrame:
     """Rows of the first ``categories`` categories and, in each, the first ``groups`` groups, by id.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallymint.operators.series import trend_grid, trend_values
 from tallymint.sources import archives, documents, files
-from tallymint.sources.tables import limit_per_group, spread
+from tallymint.sources.tables import limit_per_group
 
 D = dt.date
 
@@ -157,8 +157,7 @@ def test_latest_folder(rows):
     assert files.latest_folder(paths).first().stamp == "250301"
 
 
-def test_limits_and_spread(rows):
+def test_limits(rows):
     df = rows([(c, g) for c in (1, 2, 3) for g in (1, 2, 3) for _ in range(4)], "c int, g int")
     got = limit_per_group(df, "c", "g", 2, 1)
     assert {tuple(r) for r in got.collect()} == {(1, 1), (2, 1)} and got.count() == 8
-    assert spread(df.coalesce(1)).count() == df.count()
