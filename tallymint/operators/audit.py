@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.money import money_mean, money_total, percentage
+from ..functions.money import money_sum, money_total, percentage
 
 # Advice by kind of failure and by error key.
 TYPE_ADVICE = {
@@ -259,34 +259,47 @@ def retry_list(failed: DataFrame, categories: DataFrame, groups: DataFrame, key:
     return wanted.join(categories, "category_id").join(groups, ["category_id", "group_id"])
 
 
-def endpoint_health(requests: DataFrame, order: tuple[str, ...] = ("event_time",), unhealthy: int = 3) -> DataFrame:
+def endpoint_health(requests: DataFrame, order: tuple[str, ...] = ("event_time",), unhealthy: int = 3,
+                    slot: Column | None = None) -> DataFrame:
     """Per endpoint: rates, mean response time, failures since the last success, health and rank key.
 
-    Failures since the last success come from a count against one time per endpoint, so no endpoint's
-    log has to be put in order.
+    The log is read once. Each endpoint's requests of an hour (or another ``slot`` of the order) become one small state:
+    its counts, the last success and the failures after it. States are then folded: the failures that count are those
+    of all slots after the one with the last success, and those after it within that slot. So a hot endpoint is many
+    small states, and nobody puts its whole log in order.
     """
+    if slot is None:
+        timed = dict(requests.dtypes)[order[0]].startswith(("timestamp", "date"))
+        slot = F.date_trunc("hour", order[0]) if timed else F.floor(F.col(order[0]) / 3600)
     at, ok = F.struct(*order), F.col("status") == "success"
-    totals = requests.groupBy("endpoint").agg(
-        F.count("*").alias("total_requests"),
-        F.count_if(ok).alias("success_count"),
-        F.count_if(F.col("status") == "rate_limited").alias("rate_limited_count"),
-        F.coalesce(money_mean(F.when(ok, F.col("response_time"))), F.lit(0.0)).alias("avg_response_time"),
-        F.max(F.when(ok, F.col(order[0]))).alias("last_success"),
-        F.max(F.when(~ok, F.col(order[0]))).alias("last_failure"),
+    within = Window.partitionBy("endpoint", "slot")
+    marked = requests.withColumn("slot", slot).select(
+        "endpoint", "slot", "status", "response_time", at.alias("at"), ok.alias("ok"), F.col(order[0]).alias("moment")
+    ).withColumn("ok_at", F.max(F.when(F.col("ok"), F.col("at"))).over(within))
+    failed = ~F.col("ok")
+    states = marked.groupBy("endpoint", "slot").agg(
+        F.count("*").alias("requests"), F.count_if("ok").alias("good"), F.count_if(failed).alias("bad"),
+        F.count_if(F.col("status") == "rate_limited").alias("limited"),
+        money_sum(F.when(F.col("ok"), F.col("response_time"))).alias("time"),
+        F.count(F.when(F.col("ok"), F.col("response_time"))).alias("timed"),
+        F.max("ok_at").alias("ok_at"), F.max(F.when(F.col("ok"), F.col("moment"))).alias("last_success"),
+        F.max(F.when(failed, F.col("moment"))).alias("last_failure"),
+        F.count_if(failed & (F.col("ok_at").isNull() | (F.col("at") > F.col("ok_at")))).alias("since"),
     )
-    since = requests.groupBy("endpoint").agg(F.max(F.when(ok, at)).alias("last_ok"))
-    trailing = (
-        requests.filter(~ok).select("endpoint", at.alias("at")).join(since, "endpoint")
-        .filter(F.col("last_ok").isNull() | (F.col("at") > F.col("last_ok")))
-        .groupBy("endpoint").agg(F.count("*").alias("consecutive_failures"))
+    last = F.max("ok_at").over(Window.partitionBy("endpoint"))
+    last_slot = F.max(F.when(F.col("good") > 0, F.col("slot"))).over(Window.partitionBy("endpoint"))
+    trailing = F.when(last.isNull() | (F.col("slot") > last_slot), F.col("bad")) \
+        .when(F.col("ok_at") == last, F.col("since")).otherwise(F.lit(0))
+    folded = states.withColumn("trailing", trailing).groupBy("endpoint").agg(
+        F.sum("requests").alias("total_requests"), F.sum("good").alias("success_count"),
+        F.sum("limited").alias("rate_limited_count"),
+        F.coalesce(F.sum("time").cast("double") / F.nullif(F.sum("timed"), F.lit(0)), F.lit(0.0)).alias("avg_response_time"),
+        F.sum("trailing").alias("consecutive_failures"),
+        F.max("last_success").alias("last_success"), F.max("last_failure").alias("last_failure"),
     )
-    return totals.join(trailing, "endpoint", "left").select(
+    return folded.select(
         "endpoint", "total_requests", "success_count", "rate_limited_count",
         percentage(F.col("success_count"), F.col("total_requests")).alias("success_rate"),
-        "avg_response_time",
-        F.coalesce("consecutive_failures", F.lit(0)).alias("consecutive_failures"),
-        (F.coalesce("consecutive_failures", F.lit(0)) < unhealthy).alias("is_healthy"),
-        "last_success", "last_failure",
+        "avg_response_time", "consecutive_failures",
+        (F.col("consecutive_failures") < unhealthy).alias("is_healthy"), "last_success", "last_failure",
     ).orderBy(F.desc("success_rate"), "avg_response_time", "rate_limited_count", "endpoint")
-
-

@@ -30,25 +30,15 @@ def keep_one(df: DataFrame, keys, order: str, keep: str = "newest", tie_break=No
 
 
 def duplicate_groups(df: DataFrame, keys, day: Column, limit: int = 20) -> DataFrame:
-    """The largest groups of rows equal in ``keys``, with their count and ordered distinct days.
+    """The largest groups of rows equal in ``keys``, largest first, with their count and ordered distinct days.
 
-    Counting comes first and needs only a count per key; days are then collected for the few
-    reported groups alone.
+    The table is read once: rows shrink to one per key and day in each task, and a group's days are bounded by the
+    calendar.
     """
-    top = (
-        df.groupBy(*keys).agg(F.count("*").alias("duplicate_count"))
-        .filter("duplicate_count > 1")
-        .orderBy(F.desc("duplicate_count"), *keys)
-        .limit(limit)
-    )
-    same_key = [F.col(f"d.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
-    # `top` has at most `limit` rows, and days per group are bounded by the calendar.
-    return (
-        df.withColumn("_day", day).alias("d")
-        .join(F.broadcast(top.alias("t")), same_key)
-        .groupBy(*[F.col(f"t.{k}") for k in keys], "t.duplicate_count")
-        .agg(F.array_sort(F.collect_set("_day")).alias("scrape_dates"))
-    )
+    per_day = df.groupBy(*keys, day.alias("_day")).agg(F.count("*").alias("_rows"))
+    groups = per_day.groupBy(*keys).agg(
+        F.sum("_rows").alias("duplicate_count"), F.array_sort(F.collect_set("_day")).alias("scrape_dates"))
+    return groups.filter("duplicate_count > 1").orderBy(F.desc("duplicate_count"), *keys).limit(limit)
 
 
 def duplication_rate(df: DataFrame, keys) -> DataFrame:

@@ -4,28 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# A list of at most this many short ids is broadcast.
-BROADCAST_ROWS = 500_000
 
-
-def fits_broadcast(listed: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a list has at most ``rows`` rows. Counting stops there, so the check itself stays small."""
-    return listed.limit(rows + 1).count() <= rows
-
-
-def rollup_listed(rows: DataFrame, listed: DataFrame, on: str, keys: list[str], measures: dict, how: str = "left_semi",
-                  limit: int = BROADCAST_ROWS) -> DataFrame:
+def rollup_listed(rows: DataFrame, listed: DataFrame, on: str, keys: list[str], measures: dict,
+                  how: str = "left_semi") -> DataFrame:
     """Sums by ``keys`` of the rows whose ``on`` value is in a list.
 
-    A list of checked size is broadcast, so the large table is filtered where it is read and only the
-    sums are shuffled. A longer list is joined after the rows have been summed by ``on`` and ``keys``:
-    then even a value that holds a third of all rows arrives as a few rows per task.
+    The rows are summed by ``on`` and ``keys`` first, within each task before anything moves: then even a value that holds
+    a third of all rows arrives as a few rows per task, and the join with the list sees one row per group. Whether the
+    list is broadcast is left to the planner, which knows its size by then. No job runs while the plan is built.
 
     ``measures`` maps a name to the aggregate that feeds it; each must be a sum or a count, so that
     partial results add up.
     """
-    parts = [expr.alias(name) for name, expr in measures.items()]
-    if fits_broadcast(listed, limit):
-        return rows.join(F.broadcast(listed), on, how).groupBy(*keys).agg(*parts)
-    small = rows.groupBy(on, *keys).agg(*parts)
+    small = rows.groupBy(on, *keys).agg(*[expr.alias(name) for name, expr in measures.items()])
     return small.join(listed, on, how).groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures])

@@ -45,11 +45,43 @@ def replace_days(df: DataFrame, path: str, partition: str, cluster: list[str] |
         .option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def create_table(spark: SparkSession, name: str, schema: StructType, partition: str, path: str | None = None) -> None:
-    """A catalog table over Parquet, partitioned by day, unless it exists."""
+#: Property of a catalog table that names its cluster columns.
+CLUSTER_PROPERTY = "cluster.columns"
+
+
+def create_table(spark: SparkSession, name: str, schema: StructType, partition: str, path: str | None = None,
+                 cluster: tuple[str, ...] = ()) -> None:
+    """A catalog table over Parquet, partitioned by day, unless it exists; it keeps its cluster columns as a property."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     where = f"LOCATION '{path}'" if path else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (`{partition}`) {where}")
+    kept = f"TBLPROPERTIES ('{CLUSTER_PROPERTY}' = '{','.join(cluster)}')" if cluster else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (`{partition}`) {where} {kept}")
+
+
+def layout(spark: SparkSession, name: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """Partition and cluster columns of a table, as the catalog has them."""
+    partition = tuple(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return partition, tuple(c for c in properties.get(CLUSTER_PROPERTY, "").split(",") if c)
+
+
+def insert(df: DataFrame, name: str, replace_days: bool = False) -> None:
+    """Write rows to a catalog table in its own layout: dealt by its partition, sorted by its cluster columns.
+
+    ``replace_days`` replaces the days that occur in the rows and leaves all others.
+    """
+    spark = df.sparkSession
+    partition, cluster = layout(spark, name)
+    rows = conform(df, spark.table(name).schema).hint("rebalance", *partition).sortWithinPartitions(*partition, *cluster)
+    before = spark.conf.get(OVERWRITE)
+    try:
+        spark.conf.set(OVERWRITE, "dynamic")
+        rows.write.insertInto(name, overwrite=replace_days)
+    finally:
+        spark.conf.set(OVERWRITE, before)
+
+
+OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def drop_days(spark: SparkSession, name: str, partition: str, days: list[dt.date]) -> None:
@@ -110,8 +142,10 @@ def partition_stats(table: DataFrame, partition: str) -> DataFrame:
     ).orderBy(F.desc(partition))
 
 
-def table_facts(table: DataFrame, partition: str | None = None, cluster: tuple[str, ...] = ()) -> DataFrame:
-    """Rows, bytes, columns and layout of a table that reads files directly (one row)."""
+def table_facts(spark: SparkSession, name: str) -> DataFrame:
+    """Rows, files, bytes, columns and layout of a catalog table (one row); the layout is that of the catalog."""
+    table = spark.table(name)
+    partition, cluster = layout(spark, name)
     per_file = table.groupBy(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")
     ).agg(F.count("*").alias("n"))
@@ -121,6 +155,6 @@ def table_facts(table: DataFrame, partition: str | None = None, cluster: tuple[s
         F.coalesce(F.sum("size"), F.lit(0)).alias("num_bytes"),
     ).withColumns({
         "num_columns": F.lit(len(table.columns)),
-        "partitioned_by": F.lit(partition),
+        "partitioned_by": F.lit(", ".join(partition)),
         "clustered_by": F.lit(", ".join(cluster)),
     })

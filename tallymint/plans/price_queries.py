@@ -11,8 +11,9 @@ from ..functions.dates import calendar_weeks
 from ..operators import audit, catalog, filters, profile, weekly
 from ..sources import documents
 from ..sources.tables import limit_per_group
+from ..session import workspace
 from .registry import query
-from .views import CATEGORIES, DAY, SINCE, Views, with_views
+from .views import CATEGORIES, DAY, DAY_BEFORE, SINCE, Views, with_views
 
 WEEKS = calendar_weeks(SINCE, dt.date(2001, 12, 31))
 IN_CATEGORIES = f"category_id IN ({', '.join(map(str, CATEGORIES))})"
@@ -61,9 +62,19 @@ query("weekly_volume", with_views("prices", "catalog", "newest") + VOLUME_SQL)(v
 query("weekly_unique", with_views("prices", "catalog", "newest") + UNIQUE_SQL)(unique)
 
 
-@query("weekly_unique_approx")
+@query("weekly_unique_approx", with_views("prices", "catalog", "newest") + f"""
+    SELECT 'Products with sales' AS metric, week_start, COUNT(DISTINCT product_id) AS exact, TRUE AS close
+    FROM prices WHERE bucket_start_date >= DATE '1995-01-01' AND quantity_sold > 0 AND {LISTED} GROUP BY week_start""")
 def weekly_unique_approx(v: Views) -> DataFrame:
-    return weekly.weekly_unique(v.prices, v.catalog, CATEGORIES, DAY, SINCE, approximate=True)
+    """Weekly figures of all days of load from stored sketches: within 5 % of the exact ones."""
+    path = workspace(v.spark, "sketches")
+    for day in (DAY_BEFORE, DAY):  # each load adds its own sketches
+        weekly.unique_sketches(v.prices, v.catalog, CATEGORIES, day, SINCE).write.mode("append").parquet(path)
+    stored = weekly.weekly_unique_stored(v.spark.read.parquet(path))
+    exact = weekly.weekly_unique(v.prices, v.catalog, CATEGORIES, None, SINCE)
+    near = F.abs(F.col("unique_products") - F.col("exact")) <= 0.05 * F.col("exact")
+    return stored.join(exact.select("week_start", F.col("unique_products").alias("exact")), "week_start", "full_outer") \
+        .select("metric", "week_start", "exact", F.coalesce(near, F.lit(False)).alias("close"))
 
 
 @query("weekly_asp_raw_catalog", with_views("prices", "catalog") + f"""
@@ -144,6 +155,34 @@ def pivot_product_week(v: Views) -> DataFrame:
     return weekly.pivot_product_week(long, "weighted_asp", WEEKS, price=True)
 
 
+VOLUME_CELL = "CAST(SUM(quantity_sold) AS BIGINT)"
+
+
+@query("pivot_product_week_volume", with_views("prices", "catalog", "newest")[:-1] + f""",
+    sellers AS (SELECT product_id, ROW_NUMBER() OVER (ORDER BY pos, product_id) AS pos FROM ({SELLERS_SQL})),
+    long AS (SELECT product_id, MAX(product_clean_name) AS product_name, week_start, {VOLUME_CELL} AS total_volume
+             FROM prices JOIN sellers USING (product_id) LEFT JOIN newest USING (product_id)
+             WHERE {SNAPSHOT} AND market_price > 0 AND quantity_sold IS NOT NULL GROUP BY product_id, week_start),
+    wide AS (SELECT product_id, product_name, {wide('total_volume', '0')} FROM long
+             WHERE product_name IS NOT NULL GROUP BY product_id, product_name)
+    SELECT CAST(ROW_NUMBER() OVER (ORDER BY s.pos) AS INTEGER) AS rank,
+      CASE WHEN length(product_name) > 40 THEN substr(product_name, 1, 40) || '...' ELSE product_name END
+        || ' (' || product_id || ')' AS product, product_id, """ + ", ".join(f'"{w}"' for w in WEEKS)
+       + " FROM wide JOIN sellers s USING (product_id)")
+def pivot_product_week_volume(v: Views) -> DataFrame:
+    """Volumes by product and week, in the order of the list, with display names."""
+    listing = best_seller_list(v)
+    long = weekly.weekly_asp_weighted(v.prices, v.catalog, listing, DAY, SINCE)
+    return weekly.pivot_product_week(long, "total_volume", WEEKS, price=False, listing=listing)
+
+
+def best_seller_list(v: Views) -> DataFrame:
+    """The best sellers as they stand in a list of addresses."""
+    text = best_sellers(v).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("pos", "product_id", "url"))), lambda s: s["url"]), "\n").alias("value"))
+    return documents.url_ids(text)
+
+
 @query("custom_order", with_views("prices", "catalog", "newest")[:-1] + f""",
     sellers AS ({SELLERS_SQL}), life AS ({LIFETIME_SQL})
     SELECT l.*, CAST(ROW_NUMBER() OVER (ORDER BY s.pos, l.product_id) AS INTEGER) AS rank,
@@ -152,10 +191,7 @@ def pivot_product_week(v: Views) -> DataFrame:
     FROM life l JOIN (SELECT product_id, ROW_NUMBER() OVER (ORDER BY pos, product_id) AS pos FROM sellers) s
          USING (product_id)""")
 def custom_order(v: Views) -> DataFrame:
-    sellers = best_sellers(v)
-    text = sellers.agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("pos", "product_id", "url"))), lambda s: s["url"]), "\n").alias("value"))
-    listing = documents.url_ids(text)
+    listing = best_seller_list(v)
     return weekly.custom_order(
         weekly.product_lifetime(v.prices, v.catalog, listing, DAY, SINCE), listing)
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import cleaning, dates, text
 from ..operators import filters, series
+from ..session import workspace
 from ..sources import documents, files
 from .registry import query
 from .views import SERIES_NAMES, Views, with_views
@@ -79,6 +80,29 @@ def trend_series_explode(v: Views) -> DataFrame:
     return trend_points(v).drop("pos")
 
 
+KEYWORDS = 40
+
+
+def trend_files(v: Views) -> DataFrame:
+    """Trend lines of files: one file for each of some keywords, its lines in the order of the events."""
+    path = workspace(v.spark, "trends")
+    keyword = F.pmod(F.regexp_extract("keyword", r"(\d+)$", 1).cast("bigint"), F.lit(KEYWORDS)).cast("string")
+    lines = v.trend_lines.select("value", "line_no", F.concat(F.lpad(keyword, 4, "0"), F.lit("_kw_"), keyword).alias("stem"))
+    lines.repartition("stem").sortWithinPartitions("stem", "line_no").select("value", "stem").write.partitionBy("stem").text(path)
+    return files.scan_trend_lines(v.spark, path, "*.txt", F.regexp_extract("path", "/stem=([^/]+)/", 1))
+
+
+@query("trend_files", with_views("ticks") + f"""
+    SELECT 'kw_' || (user_id % {KEYWORDS}) AS keyword, CAST(ts AS DATE) AS date,
+      arg_max(value, event_id) AS price, arg_max(CAST(k AS DOUBLE), event_id) AS quantity, COUNT(*) AS lines
+    FROM ticks WHERE event_type NOT IN ('error', 'signup') GROUP BY ALL""")
+def last_of_trend_files(v: Views) -> DataFrame:
+    """Written files, read line by line: of several points on a date the last line counts."""
+    points = documents.trend_points(trend_files(v))
+    found = points.filter("series = 'quantity'").groupBy("keyword", "date").agg(F.count("*").alias("lines"))
+    return series.trend_values(points).join(found, ["keyword", "date"])
+
+
 @query("trend_grid", with_views("ticks", "trend_values") + """SELECT keyword, date, price, quantity
     FROM (SELECT DISTINCT 'kw_' || user_id AS keyword FROM ticks) CROSS JOIN (SELECT DISTINCT date FROM trend_values)
     LEFT JOIN trend_values USING (keyword, date)""")

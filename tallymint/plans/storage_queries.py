@@ -5,14 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import io
 import zipfile
-from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import schemas
 from ..functions.money import money_total
-from ..functions.text import product_id_from_file
 from ..operators import auctions, dedup, tables, versions
 from ..session import workspace
 from ..sources import archives, documents, files
@@ -83,14 +82,10 @@ def retention_filter(v: Views) -> DataFrame:
 
 @query("delete_day", with_views("prices") + FACTS_SQL.format("(SELECT * FROM prices WHERE scrape_date <> DATE '2001-12-01')"))
 def delete_day(v: Views) -> DataFrame:
-    path = workspace(v.spark, "catalog")
-    name = "prices_" + path.rsplit("-", 1)[-1]
-    last = [c for c in v.prices.columns if c != "scrape_date"] + ["scrape_date"]
-    rows = v.prices.select(*last)
-    tables.create_table(v.spark, name, rows.schema, "scrape_date", path)
-    rows.hint("rebalance", "scrape_date").write.insertInto(name)
+    name, path = catalog_table(v)
+    schema = v.spark.table(name).schema
     tables.drop_days(v.spark, name, "scrape_date", [DAY_BEFORE])
-    return facts(v.spark.read.schema(rows.schema).parquet(path))  # what storage holds, not the catalog
+    return facts(v.spark.read.schema(schema).parquet(path))  # what storage holds, not the catalog
 
 
 @query("partition_stats", with_views("prices") + "SELECT scrape_date, COUNT(*) AS total_rows FROM prices GROUP BY 1")
@@ -100,9 +95,44 @@ def partition_stats(v: Views) -> DataFrame:
     return tables.partition_stats(v.spark.read.parquet(path), "scrape_date").select("scrape_date", "total_rows")
 
 
-@query("table_facts", "SELECT COUNT(*) AS num_rows, 11 AS num_columns FROM lineitem")
+def catalog_table(v: Views) -> tuple[str, str]:
+    """A catalog table with all prices, in its own layout: its name and folder."""
+    path = workspace(v.spark, "catalog")
+    name = "prices_" + path.rsplit("-", 1)[-1]
+    last = [c for c in v.prices.columns if c != "scrape_date"] + ["scrape_date"]
+    tables.create_table(v.spark, name, v.prices.select(*last).schema, "scrape_date", path, tuple(CLUSTER))
+    tables.insert(v.prices, name)
+    return name, path
+
+
+@query("table_facts", with_views("prices") + """SELECT COUNT(*) AS num_rows, 12 AS num_columns,
+    COUNT(DISTINCT scrape_date) AS days, TRUE AS same_bytes, TRUE AS sorted_files, 'scrape_date' AS partitioned_by,
+    'product_id, language, condition' AS clustered_by FROM prices""")
 def table_facts(v: Views) -> DataFrame:
-    return tables.table_facts(v.table("lineitem")).select("num_rows", "num_columns")
+    """Facts of a catalog table: its layout is read back from the catalog, its files are sorted as it says."""
+    name, path = catalog_table(v)
+    stored = v.spark.read.parquet(path)
+    listed = tables.partition_stats(stored, "scrape_date").agg(
+        F.count("*").alias("days"), F.sum("total_bytes").alias("all_bytes"), F.sum("files").alias("all_files"))
+    numbered = stored.select("product_id", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    before = F.lag("product_id").over(Window.partitionBy("file").orderBy("at"))
+    unsorted = numbered.withColumn("before", before).agg(F.count_if(F.col("before") > F.col("product_id")).alias("unsorted"))
+    return tables.table_facts(v.spark, name).crossJoin(listed).crossJoin(unsorted).select(
+        "num_rows", "num_columns", "days",
+        ((F.col("num_bytes") == F.col("all_bytes")) & (F.col("files") == F.col("all_files"))).alias("same_bytes"),
+        (F.col("unsorted") == 0).alias("sorted_files"), "partitioned_by", "clustered_by")
+
+
+@query("catalog_replace_days", with_views("prices") + FACTS_SQL.format(
+    "(SELECT * REPLACE (CASE WHEN scrape_date = DATE '2001-12-02' THEN quantity_sold + 1 ELSE quantity_sold END "
+    "AS quantity_sold) FROM prices)"))
+def catalog_replace_days(v: Views) -> DataFrame:
+    """One day of a catalog table replaced, twice, in the table's own layout."""
+    name, _ = catalog_table(v)
+    again = of_day(v.prices, DAY).withColumn("quantity_sold", F.col("quantity_sold") + 1)
+    for _ in range(2):
+        tables.insert(again, name, replace_days=True)
+    return facts(v.spark.table(name))
 
 
 @query("scan_csv_roundtrip", with_views("prices") + FACTS_SQL.format("prices"))
@@ -198,12 +228,15 @@ def scan_auction_json(v: Views) -> DataFrame:
         "item_id", "grade", "card_name", "record_type", "sale_date", "sale_price")
 
 
-# Members per archive in the query below.
+# Members per archive in the queries below.
 MEMBERS = 500
 
 
-def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents into ZIP archives; the second half of each archive sits in an archive of its own inside."""
+def write_archives(docs: DataFrame, folder: str) -> DataFrame:
+    """Documents into ZIP archives, one for each ``part``, and a broken one after each; returns their paths.
+
+    The second half of an archive's members sits in an archive of its own inside.
+    """
     def zipped(entries: list[tuple[str, bytes | str]]) -> bytes:
         buffer = io.BytesIO()
         with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as out:
@@ -211,32 +244,67 @@ def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 out.writestr(name, data)
         return buffer.getvalue()
 
-    for batch in batches:
-        for start in range(0, len(batch), MEMBERS):
-            part = batch.iloc[start:start + MEMBERS]
-            names = [f"{i}/{p}.json" for i, p in enumerate(part["product_id"])]
-            entries = list(zip(names, part["value"]))
-            half = len(entries) // 2
-            content = zipped([*entries[:half], ("more/rest.zip", zipped(entries[half:])), ("readme.txt", "x")])
-            yield pd.DataFrame({"path": ["cards_2001-12-02.zip"], "content": [content]})
-
-
-@query("scan_zip_members", with_views("prices") + BUCKETS_SQL.replace("scrape_date,", "DATE '2001-12-02' AS scrape_date,"))
+    def write(group: pd.DataFrame) -> pd.DataFrame:
+        day, part = group["scrape_date"].iloc[0], group["part"].iloc[0]
+        entries = [(f"{i}/{p}.json", value) for i, (p, value) in enumerate(zip(group["product_id"], group["value"]))]
+        half = len(entries) // 2
+        whole = zipped([*entries[:half], ("more/rest.zip", zipped(entries[half:])), ("readme.txt", "x")])
+        system, base = fs.FileSystem.from_uri(folder if ":" in folder.split("/")[0] else f"file://{folder}")
+        system.create_dir(base, recursive=True)
+        names = []
+        for name, content in ((f"cards_{day}_{part}.zip", whole), (f"broken_{day}_{part}.zip", whole[:len(whole) // 2])):
+            with system.open_output_stream(f"{base}/{name}") as out:
+                out.write(content)
+            names.append(f"{folder}/{name}")
+        return pd.DataFrame({"path": names})
+
+    return docs.groupBy("scrape_date", "part").applyInPandas(write, "path string")
+
+
+def archived(v: Views) -> str:
+    """A folder of archives with all price documents, by day and supplier."""
+    folder = workspace(v.spark, "archives")
+    # About MEMBERS rows each, however many there are.
+    parts = -(-v.table("lineitem").count() // MEMBERS)
+    docs = price_documents(v).withColumn("part", F.pmod(F.xxhash64("product_id"), F.lit(parts)))
+    write_archives(docs.select("scrape_date", "part", "product_id", "value"), folder).write.format("noop").mode("overwrite").save()
+    return folder
+
+
+@query("scan_zip_members", with_views("prices") + BUCKETS_SQL)
 def scan_zip_members(v: Views) -> DataFrame:
-    packed = price_documents(v).select("product_id", "value").mapInPandas(_pack, "path string, content binary")
-    members = archives.json_members(packed)
-    docs = members.select(product_id_from_file("member").alias("product_id"), F.lit(DAY).alias("scrape_date"),
-                          F.col("member").alias("source_file"), "value")
-    return documents.price_rows(docs).select(*BUCKET_COLUMNS)
-
-
-@query("latest_archive")
+    """Archives written by tasks and read again member by member; the dates are those of the archives' names."""
+    members = archives.json_members(archives.read_archives(v.spark, archived(v)))
+    return documents.price_rows(archives.archive_prices(members)).select(*BUCKET_COLUMNS)
+
+
+@query("broken_archives", with_views("prices") + """SELECT scrape_date, TRUE AS one_row_each, TRUE AS with_error FROM prices
+    GROUP BY scrape_date""")
+def broken_archives(v: Views) -> DataFrame:
+    """Each archive that can't be read is a row with its error."""
+    found = archives.read_archives(v.spark, archived(v))
+    broken = archives.json_members(found).filter("value IS NULL").groupBy("archive").agg(
+        F.count("*").alias("n"), F.max("error").alias("error"))
+    listed = found.filter(F.col("path").contains("/broken_")).select(F.col("path").alias("archive"))
+    return listed.join(broken, "archive", "full_outer").groupBy(
+        F.regexp_extract("archive", r"_(\d{4}-\d{2}-\d{2})_", 1).cast("date").alias("scrape_date"),
+    ).agg(F.bool_and(F.coalesce(F.col("n") == 1, F.lit(False))).alias("one_row_each"),
+          F.bool_and(F.coalesce(F.col("error").contains("BadZipFile"), F.lit(False))).alias("with_error"))
+
+
+@query("latest_archive", with_views("prices") + """SELECT scrape_date, condition, COUNT(*) AS n FROM prices
+    WHERE scrape_date = DATE '2001-12-02' GROUP BY ALL""")
 def latest_archive(v: Views) -> DataFrame:
-    path = workspace(v.spark, "archives")
-    v.table("orders").select(F.to_json(F.struct("*")).alias("value"), "o_orderstatus") \
-        .write.partitionBy("o_orderstatus").text(path)
-    return archives.latest_archive(archives.read_archives(v.spark, path, "*.txt")).select(
-        F.col("modificationTime").cast("timestamp_ntz").alias("modified"), "length")
+    """Two archives, the newer one with the newer day: newest archive, members, rows."""
+    folder = workspace(v.spark, "archives")
+    for day in (DAY_BEFORE, DAY):
+        docs = price_documents(v, of_day(v.prices, day)).groupBy("product_id", "scrape_date").agg(
+            F.lit(0).alias("part"), F.concat(F.lit('{"result": ['), F.array_join(F.collect_list(
+                F.regexp_extract("value", r'"result":\[(.*)\]\}$', 1)), ","), F.lit("]}")).alias("value"))
+        write_archives(docs.select("scrape_date", "part", "product_id", "value"), f"{folder}/{day}") \
+            .write.format("noop").mode("overwrite").save()
+    rows, _ = archives.load_latest(v.spark, folder, "cards_*.zip")
+    return rows.groupBy("scrape_date", "condition").agg(F.count("*").alias("n"))
 
 
 @query("write_report", with_views("prices") + """SELECT condition, COUNT(*) AS n FROM prices GROUP BY condition

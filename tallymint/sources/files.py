@@ -7,7 +7,6 @@ from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..functions import text as txt
-from ..operators.joins import fits_broadcast
 from . import documents
 
 # Fixed value: the tail of a daily price path, {date}/{category}/{group}/prices. Folders written by
@@ -79,9 +78,8 @@ def graded_documents(docs: DataFrame, cards: DataFrame) -> DataFrame:
         txt.extract(name, txt.GRADED_FILE, 2).alias("grade"),
         "value",
     ).filter("item_id IS NOT NULL")
-    names = cards.select("item_id", "card_name")
-    # A list of checked size is broadcast, so that the documents themselves are not shuffled.
-    return keyed.join(F.broadcast(names) if fits_broadcast(names) else names, "item_id", "left")
+    # A short list is broadcast by its known size; beside a long one the documents are dealt by item, hot ones split.
+    return keyed.join(cards.select("item_id", "card_name"), "item_id", "left")
 
 
 def scan_auction_json(spark: SparkSession, path: str, cards: DataFrame, scraped_at: Column) -> DataFrame:
@@ -89,18 +87,19 @@ def scan_auction_json(spark: SparkSession, path: str, cards: DataFrame, scraped_
     return documents.auction_rows(graded_documents(read_documents(spark, path), cards), scraped_at)
 
 
-def scan_trend_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of trend files with their keyword, one row per line.
+def scan_trend_lines(spark: SparkSession, path: str, glob: str = "*.json", stem: Column | None = None) -> DataFrame:
+    """Lines of trend files with their keyword, one row per line; large files are read in several pieces.
 
-    The running number in the file name orders files of one keyword; it is dropped from the keyword.
+    ``line_no`` orders the lines of a keyword: by the running number that begins the file name and is dropped from the
+    keyword, then by the piece's place in the file, then as they are read within it. ``stem`` takes number and keyword
+    from another part of the ``path`` than the file name.
     """
-    lines = read_documents(spark, path, whole=True)
-    stem = F.regexp_replace(txt.file_name("path"), r"\.json$", "")
-    return lines.select(
-        txt.keyword_of(stem).alias("keyword"),
-        F.posexplode(F.split("value", r"\r?\n")).alias("line_at", "line"),
-        stem.alias("stem"),
-    ).select("keyword", F.struct("stem", "line_at").alias("line_no"), F.col("line").alias("value"))
+    found = spark.read.text(path, pathGlobFilter=glob, recursiveFileLookup=True)
+    lines = found.select("value", F.col("_metadata.file_path").alias("path"),
+                         F.col("_metadata.file_block_start").alias("piece"), F.monotonically_increasing_id().alias("at"))
+    stem = F.regexp_replace(txt.file_name("path"), r"\.[a-z]+$", "") if stem is None else stem
+    named = lines.select(F.explode(F.array(stem)).alias("stem"), "piece", "at", "value")
+    return named.select(txt.keyword_of(F.col("stem")).alias("keyword"), F.struct("stem", "piece", "at").alias("line_no"), "value")
 
 
 def latest_folder(paths: DataFrame, path: str = "path") -> DataFrame:

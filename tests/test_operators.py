@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -104,24 +105,49 @@ def test_weekly_price_counts_a_product_once(prices, listing):
     assert raw.first().simple_asp == (2.0 * 2 + 4.0 * 2 + 6.0) / 5
 
 
-def test_long_lists_give_the_same_weeks(prices, listing):
-    for raw in (False, True):
-        for report in (weekly.weekly_asp_simple, weekly.weekly_volume):
-            few = report(prices, listing, [3, 85], DAY, raw_catalog=raw)
-            many = report(prices, listing, [3, 85], DAY, raw_catalog=raw, broadcast_rows=0)
-            assert sorted(tuples(few)) == sorted(tuples(many))
+def jobs(spark, build):
+    """How many jobs run while ``build`` makes a DataFrame."""
+    group = str(uuid.uuid4())
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
 
 
-def test_size_check(rows):
-    df = rows([(i,) for i in range(5)], "i int")
-    assert joins.fits_broadcast(df, 5) and not joins.fits_broadcast(df, 4)
+def test_weekly_reports_run_no_job_before_they_are_asked(spark, prices, listing):
+    assert jobs(spark, lambda: prices.count()) > 0
+    for report in (weekly.weekly_asp_simple, weekly.weekly_volume, weekly.weekly_unique, weekly.unique_sketches):
+        assert jobs(spark, lambda: report(prices, listing, [3, 85], DAY)) == 0
+
+
+def test_reports_come_in_order(prices, listing):
+    asp = tuples(weekly.weekly_asp_simple(prices, listing, [3, 85], DAY))
+    assert asp == sorted(asp)
+    life = [r.lifecycle_quantity_sold for r in weekly.product_lifetime(prices, listing, None, DAY, D(2024, 1, 1)).collect()]
+    assert life == sorted(life, reverse=True)
+
+
+def test_stored_sketches(spark, prices, listing, tmp_path):
+    path = str(tmp_path / "sketches")
+    for day in (DAY, D(2025, 1, 9)):
+        weekly.unique_sketches(prices, listing, [3, 85], day).write.mode("append").parquet(path)
+    stored = weekly.weekly_unique_stored(spark.read.parquet(path), "m")
+    assert tuples(stored) == tuples(weekly.weekly_unique(prices, listing, [3, 85], None, metric="m"))
+
+
+def test_list_ranks(spark):
+    listing = spark.range(5000).select((F.col("id") * F.col("id")).alias("pos"), F.col("id").cast("string").alias("product_id"))
+    got = weekly.list_ranks(listing).collect()
+    assert len(got) == 5000 and all(int(r.product_id) + 1 == r["rank"] for r in got)
+    assert weekly.list_ranks(listing.limit(0)).count() == 0
 
 
 def test_volume_and_unique(prices, listing):
     assert sorted(tuples(weekly.weekly_volume(prices, listing, [3, 85], DAY))) == [
         ("NM", D(2025, 1, 6), 10), ("NM", D(2025, 1, 13), 0)]
     assert tuples(weekly.weekly_unique(prices, listing, [3, 85], DAY, metric="m")) == [("m", D(2025, 1, 6), 3)]
-    assert tuples(weekly.weekly_unique(prices, listing, [3], DAY, metric="m", approximate=True)) == [("m", D(2025, 1, 6), 2)]
 
 
 def test_weighted_price(prices, listing, rows):
@@ -409,6 +435,23 @@ def test_endpoint_health(rows):
     assert (got["c"].consecutive_failures, got["c"].avg_response_time) == (1, 0.0)
 
 
+def test_endpoint_health_over_many_hours(spark):
+    import random
+
+    rng = random.Random(8)
+    log = [(rng.choice("abc"), rng.choice(["success", "failed", "rate_limited", "failed"]), 1.0, rng.randrange(90_000), i)
+           for i in range(400)] + [("d", "failed", 1.0, t, t) for t in range(0, 40_000, 900)]
+    log += [("e", "success", 1.0, 3600, 1), ("e", "failed", 1.0, 3599, 9), ("e", "failed", 1.0, 3600, 2), ("e", "failed", 1.0, 9999, 3)]
+    df = spark.createDataFrame(log, "endpoint string, status string, response_time double, event_time int, event_id int")
+    health = audit.endpoint_health(df, order=("event_time", "event_id"))
+    expected = {}
+    for name in "abcde":
+        mine = sorted((t, i, s) for e, s, _, t, i in log if e == name)
+        expected[name] = next((k for k, m in enumerate(reversed(mine)) if m[2] == "success"), len(mine))
+    assert {r.endpoint: r.consecutive_failures for r in health.collect()} == expected
+    assert health._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
 # --- filters -----------------------------------------------------------------------------------
 
 def test_snapshot_prunes_folders(rows, spark, tmp_path):

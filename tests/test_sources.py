@@ -103,6 +103,25 @@ def test_trend_files(spark, tmp_path):
         ("blue_card", D(2025, 9, 4), 13.0, 3.0), ("unseen", D(2025, 9, 4), None, None)]
 
 
+def test_trend_lines_keep_their_order_in_split_files(spark, tmp_path):
+    lines = [json.dumps({"_type": "MetricsTrendsModule", "series": [
+        {"id": "averageSold", "data": [[1756965437056, float(i)]]}]}) for i in range(3000)]
+    write(tmp_path, "0001_red_card.json", "\n".join(lines))
+    write(tmp_path, "0000_red_card.json", "\n".join(lines[:3]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+        found = files.scan_trend_lines(spark, str(tmp_path))
+        assert found.select(F.spark_partition_id()).distinct().count() > 4
+        points = documents.trend_points(found)
+        values = [r.value for r in points.orderBy("line_no").collect()]
+        last = trend_values(points).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert values == [float(i) for i in (*range(3), *range(3000))]
+    assert [(r.keyword, r.price) for r in last] == [("red_card", 2999.0)]
+
+
 def test_packed_histories(rows):
     doc = json.dumps({"asin": "B1", "csv": [[7000000, 1999, 7000060, -1, 7000120, 2099, 7000180], None,
                                             [7000000, 1500], [7000000, 42], []]})
@@ -127,20 +146,35 @@ def test_archives(spark, tmp_path):
     with zipfile.ZipFile(inner, "w") as z:
         z.writestr("7.json", "{}")
         z.writestr("deep.zip", b"not opened")
-    old, new = tmp_path / "cards_2025-01-01.zip", tmp_path / "cards_2025-01-02.zip"
-    for path in (old, new):
-        with zipfile.ZipFile(path, "w") as z:
-            z.writestr("a/5.json", '{"result": []}')
+    folder = tmp_path / "drop+é 1"
+    folder.mkdir()
+    old, new = folder / "cards_2025-01-01.zip", folder / "cards.zip"
+    for path, how in ((old, zipfile.ZIP_STORED), (new, zipfile.ZIP_DEFLATED)):
+        with zipfile.ZipFile(path, "w", how) as z:
+            z.writestr("a/5.json", '{"result": [{"skuId": "1"}]}')
             z.writestr("a/notes.txt", "x")
             z.write(inner, "b/inner.zip")
-    (tmp_path / "bad.zip").write_bytes(b"no archive")
-    os.utime(old, (1, 1)), os.utime(tmp_path / "bad.zip", (2, 2))
-    inner.unlink()
-    found = archives.read_archives(spark, str(tmp_path))
-    assert archives.latest_archive(found).first().path.endswith("cards_2025-01-02.zip")
-    got = archives.json_members(found)
-    assert sorted({(r.member, r.value) for r in got.collect()}) == [("a/5.json", '{"result": []}'), ("b/7.json", "{}")]
-    assert got.count() == 4
+            z.writestr("c/bad.zip", b"no archive")
+    (folder / "bad.zip").write_bytes(b"no archive" * 9)
+    damaged = bytearray(old.read_bytes())
+    damaged[damaged.index(b'{"result"') + 3] ^= 1  # the checksum of this member doesn't fit any more
+    (folder / "damaged.zip").write_bytes(bytes(damaged))
+    for at, path in enumerate(("bad.zip", "damaged.zip", "cards_2025-01-01.zip", "cards.zip")):
+        os.utime(folder / path, (1735900000 + at, 1735900000 + at))
+    found = archives.read_archives(spark, str(folder))
+    assert archives.latest_archive(found).first().path.endswith("cards.zip")
+    got = [(r.archive.rsplit("/", 1)[1], r.member, r.value, (r.error or "").split(":")[0]) for r in
+           archives.json_members(found, task_bytes=200).collect()]
+    whole = [("a/5.json", '{"result": [{"skuId": "1"}]}', ""), ("b/7.json", "{}", ""), ("c/bad.zip", None, "BadZipFile")]
+    expected = [(name, *row) for name in ("cards.zip", "cards_2025-01-01.zip") for row in whole]
+    expected += [("damaged.zip", "a/5.json", None, "BadZipFile"), ("damaged.zip", *whole[1]), ("damaged.zip", *whole[2])]
+    assert sorted(got, key=repr) == sorted(expected + [("bad.zip", None, None, "BadZipFile")], key=repr)
+    rows, broken = archives.load_latest(spark, str(folder))
+    assert [(r.product_id, r.sku_id, r.scrape_date, r.source_file) for r in rows.collect()] == [
+        ("5", "1", D(2025, 1, 3), "a/5.json")]
+    assert [(r.member, r.error.split(":")[0]) for r in broken.collect()] == [("c/bad.zip", "BadZipFile")]
+    rows, _ = archives.load_latest(spark, str(folder), "cards_*.zip")
+    assert rows.first().scrape_date == D(2025, 1, 1)
 
 
 def test_lists(spark, tmp_path):

@@ -40,9 +40,25 @@ def test_facts(spark, rows, tmp_path):
     stats = tables.partition_stats(table, "day").collect()
     assert [(r.day, r.total_rows) for r in stats] == [(D(2025, 1, 2), 2), (D(2025, 1, 1), 1)]
     assert all(r.total_bytes > 0 for r in stats)
-    facts = tables.table_facts(table, "day", ("product",)).first()
-    assert (facts.num_rows, facts.num_columns, facts.partitioned_by, facts.clustered_by) == (3, 3, "day", "product")
-    assert facts.num_bytes == sum(r.total_bytes for r in stats)
+
+
+def test_catalog_keeps_the_layout(spark, rows, tmp_path):
+    path, name = str(tmp_path / "t"), f"layout_{tmp_path.name.replace('-', '_')}"
+    data = rows([(D(2025, 1, 1 + i % 2), f"p{i}", i) for i in reversed(range(9))], SCHEMA)
+    tables.create_table(spark, name, data.select("product", "n", "day").schema, "day", path, ("product", "n"))
+    tables.insert(data, name)
+    assert tables.layout(spark, name) == (("day",), ("product", "n"))
+    facts = tables.table_facts(spark, name).first()
+    assert (facts.num_rows, facts.num_columns, facts.partitioned_by, facts.clustered_by) == (9, 3, "day", "product, n")
+    stored = spark.read.parquet(path)
+    assert facts.num_bytes == sum(r.total_bytes for r in tables.partition_stats(stored, "day").collect())
+    for file in stored.inputFiles():
+        found = [r.product for r in spark.read.parquet(file).collect()]
+        assert found == sorted(found)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    tables.insert(rows([(D(2025, 1, 2), "new", 1)], SCHEMA), name, replace_days=True)
+    assert spark.table(name).count() == 6 and spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    spark.sql(f"DROP TABLE {name}")
 
 
 def test_retention(rows):
