@@ -75,3 +75,9 @@ def mentions(c: Column | str, needle: str) -> Column:
 def content_text(title: Column | str, body: Column | str, sep: str = " | ") -> Column:
     """Title, separator and body (or nothing) as one text."""
     return F.concat(_col(title), F.lit(sep), F.coalesce(_col(body), F.lit("")))
+
+
+def json_get(text: Column | str, *path: str, default: Column | str | None = None) -> Column:
+    """A nested field of JSON text, as text; the default where the text, the field or one above it is missing or null."""
+    found = F.get_json_object(_col(text), "$" + "".join(f"['{name}']" for name in path))
+    return found if default is None else F.coalesce(found, default if isinstance(default, Column) else F.lit(default))

@@ -51,24 +51,28 @@ def sales_with_summary(auctions: DataFrame, day: dt.date, since: dt.date = SINCE
 
 
 def session_sales(auctions: DataFrame, day: dt.date, since: dt.date = SINCE,
-                  partition: str | None = None) -> DataFrame:
+                  partition: str | None = None, cards: DataFrame | None = None) -> DataFrame:
     """Sales of a day without repeats: the earliest scrape of each card, grade, date and price.
 
     The week follows from the date; naming it as a key too leaves the rows in the order that weekly
-    sums need, so they are not sorted a second time.
+    sums need, so they are not sorted a second time. ``cards`` limits the sales before repeats are looked for.
     """
     keys = ["card_name", "psa_level", "week_start", "auction_date", "auction_price"]
-    return keep_one(sales(auctions, day, since, partition), keys, "scraped_at", keep="earliest")
+    found = sales(auctions, day, since, partition)
+    if cards is not None:
+        found = found.join(cards.select("card_name"), "card_name", "left_semi")
+    return keep_one(found, keys, "scraped_at", keep="earliest")
 
 
-def weekly(auctions: DataFrame, day: dt.date, since: dt.date = SINCE, partition: str | None = None) -> DataFrame:
-    """Mean price, sales, total and url per card, grade and week.
+def weekly(auctions: DataFrame, day: dt.date, since: dt.date = SINCE, partition: str | None = None,
+           cards: DataFrame | None = None) -> DataFrame:
+    """Mean price, sales, total and url per card, grade and week; of the listed ``cards`` only, if given.
 
     Sales become weeks before they meet the summaries, so the join sees one row per group. The url is
     the first one present when sales are read by date and price, each falling back to the summary's.
     """
     position = F.struct("auction_date", "auction_price", "scraped_at")
-    weeks = session_sales(auctions, day, since, partition).groupBy("card_name", "psa_level", "week_start").agg(
+    weeks = session_sales(auctions, day, since, partition, cards).groupBy("card_name", "psa_level", "week_start").agg(
         cents(money_mean("auction_price")).alias("avg_price"),
         F.count("*").alias("transaction_count"),
         F.min_by("psa_url", position).alias("first_url"),
@@ -113,14 +117,40 @@ def top_cards(weeks: DataFrame, limit: int = 10, rank: str = "first_grade") -> D
     return best.withColumn("card_order", F.row_number().over(order) - 1)
 
 
+def ranked_cards(auctions: DataFrame, day: dt.date, since: dt.date = SINCE, limit: int = 10,
+                 rank: str = "first_grade", partition: str | None = None) -> DataFrame:
+    """The cards that ``top_cards`` finds in the weekly report, without that report.
+
+    Which cards and grades have sales doesn't depend on repeats, so the ranking needs neither their removal nor weeks.
+    """
+    pairs = sales(auctions, day, since, partition).select("card_name", "psa_level").distinct()
+    totals = summaries(auctions, day, partition).select("card_name", "psa_level", "total_sales_count")
+    known = pairs.join(totals, ["card_name", "psa_level"], "left").select(
+        "card_name", "psa_level", F.coalesce("total_sales_count", F.lit(0)).alias("total_sales_count"),
+        F.lit(None).cast("date").alias("week_start"))
+    return top_cards(known, limit, rank)
+
+
 def psa_numeric(grade="psa_level"):
     """Grade as a number for ordering; 0 when it is none."""
     return F.coalesce(F.col(grade).try_cast("double"), F.lit(0.0))
 
 
-def top_cards_weekly(weeks: DataFrame, limit: int = 10, rank: str = "first_grade") -> DataFrame:
-    """Weekly prices of the top cards with price points, lifecycle sales and url, one row per week."""
-    best = top_cards(weeks, limit, rank).withColumnRenamed("total_sales_count", "lifecycle_sales")
+def top_cards_report(auctions: DataFrame, day: dt.date, since: dt.date = SINCE, limit: int = 10,
+                     rank: str = "first_grade", partition: str | None = None) -> DataFrame:
+    """The weekly report of the top cards: cards are ranked first, and only their sales are freed of repeats."""
+    best = ranked_cards(auctions, day, since, limit, rank, partition)
+    weeks = weekly(auctions, day, since, partition, cards=F.broadcast(best))  # at most `limit` rows
+    return top_cards_weekly(weeks, limit, rank, best)
+
+
+def top_cards_weekly(weeks: DataFrame, limit: int = 10, rank: str = "first_grade",
+                     best: DataFrame | None = None) -> DataFrame:
+    """Weekly prices of the top cards with price points, lifecycle sales and url, one row per week.
+
+    ``best`` gives the cards, if they are ranked already.
+    """
+    best = (top_cards(weeks, limit, rank) if best is None else best).withColumnRenamed("total_sales_count", "lifecycle_sales")
     # At most `limit` cards are broadcast, and a window sees the weeks of one card and grade.
     chosen = weeks.join(F.broadcast(best), "card_name")
     one = Window.partitionBy("card_name", "psa_level")

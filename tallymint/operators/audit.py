@@ -100,6 +100,16 @@ def failures_by_type(failures: DataFrame, least: int = 2) -> DataFrame:
     )
 
 
+def failure_counts(failures: DataFrame) -> DataFrame:
+    """Failures per kind, the most frequent first, beside all failures and failed days."""
+    counted = count_failures(failures)
+    kinds = counted.groupBy("failure_type").agg(F.sum("n").alias("failures"))
+    days = counted.groupBy("date").agg(F.sum("n").alias("n"))
+    return kinds.withColumns({
+        "total_failures": days.agg(F.sum("n")).scalar(), "failed_dates": days.agg(F.count("date")).scalar(),
+    }).orderBy(F.desc("failures"), "failure_type")
+
+
 def failure_clusters(failures: DataFrame) -> DataFrame:
     """Days with more than two failures, reported when there are at least two such days."""
     bad = count_failures(failures).groupBy("date").agg(F.sum("n").alias("n")).filter("n > 2")

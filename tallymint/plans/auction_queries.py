@@ -6,11 +6,12 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.dates import calendar_weeks
 from ..operators import auctions, dedup, filters, profile
 from ..schemas import GRADES
 from ..sources import documents
 from .registry import query
-from .views import DAY, LINE_GRADES, SINCE, Views, case, dealt, sql_case, dealt, with_views
+from .views import DAY, LINE_GRADES, SINCE, Views, case, dealt, sql_case, with_views
 
 SALES = with_views("auctions", "sales")
 SESSION = with_views("auctions", "sales", "session")
@@ -28,7 +29,7 @@ def weeks(v: Views) -> DataFrame:
 
 
 def top_weekly(v: Views) -> DataFrame:
-    return auctions.top_cards_weekly(weeks(v))
+    return auctions.top_cards_report(v.auctions, DAY, SINCE)
 
 
 def dates_text(c: str):
@@ -234,6 +235,23 @@ def top_cards_by_sum(v: Views) -> DataFrame:
 query("top_cards_weekly", TOP + "SELECT * FROM top_weekly")(top_weekly)
 
 
+WEEKS = calendar_weeks(SINCE, dt.date(2001, 12, 31))
+
+
+@query("top_cards_pivot", TOP + "SELECT psa_level, card_name, price_points, lifecycle_sales, psa_url, " + ", ".join(
+    f"MAX(CASE WHEN week_start = DATE '{w}' THEN avg_price END) AS \"{w}\"" for w in WEEKS)
+    + " FROM top_weekly GROUP BY psa_level, card_name, price_points, lifecycle_sales, psa_url")
+def top_cards_pivot(v: Views) -> DataFrame:
+    return auctions.top_cards_pivot(top_weekly(v), WEEKS)
+
+
+@query("ranked_cards", with_views("auctions", "sales", "totals", "session", "weekly", "best")
+       + """SELECT card_name, lifecycle_sales AS total_sales_count,
+            CAST(ROW_NUMBER() OVER (ORDER BY lifecycle_sales DESC, card_name) - 1 AS INTEGER) AS card_order FROM best""")
+def ranked_cards(v: Views) -> DataFrame:
+    return auctions.ranked_cards(v.auctions, DAY, SINCE)
+
+
 @query("single_grade_weekly", TOP + "SELECT * EXCLUDE (psa_level) FROM top_weekly WHERE psa_level = '9'")
 def single_grade_weekly(v: Views) -> DataFrame:
     return auctions.single_grade(top_weekly(v), "9")

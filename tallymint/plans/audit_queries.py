@@ -10,7 +10,7 @@ from ..operators import audit, backfill, versions
 from ..session import workspace
 from ..streaming.ingest import not_loaded
 from .registry import query
-from .views import Views, with_views
+from .views import Views, sql_case, with_views
 
 FAILURES = with_views("ticks", "failures")
 RUNS = with_views("ticks", "run_log", "run_status")
@@ -37,15 +37,29 @@ def failed_dates(v: Views) -> DataFrame:
     return audit.failed_dates(v.failures)
 
 
-@query("recovery_report", with_views("ticks", "failures", "by_type", "error_groups", "clusters") + """
-    SELECT pattern_type, severity, frequency, dates_affected, common_error,
+@query("failure_counts", FAILURES + """SELECT failure_type, COUNT(*) AS failures,
+    (SELECT COUNT(*) FROM failures) AS total_failures, (SELECT COUNT(DISTINCT date) FROM failures) AS failed_dates
+    FROM failures GROUP BY failure_type""")
+def failure_counts(v: Views) -> DataFrame:
+    return audit.failure_counts(v.failures)
+
+
+WORDS_SQL = "CASE " + " ".join(
+    f"WHEN contains(lower(common_error), '{word}') THEN '{text}'" for word, text in audit.WORD_ADVICE.items()) + " ELSE '' END"
+KIND_SQL = f"COALESCE({sql_case('failure_type', audit.TYPE_ADVICE)}, '{audit.OTHER_TYPE_ADVICE}') || {WORDS_SQL}"
+ERROR_SQL = f"COALESCE({sql_case('error_key', audit.ERROR_ADVICE)}, '{audit.OTHER_ERROR_ADVICE}')"
+
+
+@query("recovery_report", with_views("ticks", "failures", "by_type", "error_groups", "clusters") + f"""
+    SELECT pattern_type, severity, frequency, dates_affected, common_error, recommendation,
       CASE severity WHEN 'critical' THEN 4 WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 1 END AS severity_rank,
       (SELECT COUNT(*) FROM failures) AS total_failures, (SELECT COUNT(DISTINCT date) FROM failures) AS failed_dates
-    FROM (SELECT pattern_type, severity, frequency, dates_affected, common_error FROM by_type
-      UNION ALL SELECT pattern_type, severity, frequency, dates_affected, 'Multiple failures on same dates' FROM clusters
-      UNION ALL SELECT 'error_pattern', severity, frequency, dates_affected, error_key FROM error_groups)""")
+    FROM (SELECT pattern_type, severity, frequency, dates_affected, common_error, {KIND_SQL} AS recommendation FROM by_type
+      UNION ALL SELECT pattern_type, severity, frequency, dates_affected, '{audit.CLUSTER_ERROR}', '{audit.CLUSTER_ADVICE}'
+        FROM clusters
+      UNION ALL SELECT 'error_pattern', severity, frequency, dates_affected, error_key, {ERROR_SQL} FROM error_groups)""")
 def recovery_report(v: Views) -> DataFrame:
-    return audit.recovery_report(v.failures).drop("recommendation")
+    return audit.recovery_report(v.failures)
 
 
 @query("run_status", RUNS + "SELECT * FROM run_status")

@@ -72,27 +72,46 @@ def mentioning(v: Views) -> DataFrame:
     return mentions.content_union(*mentions.mentioning(v.submissions, v.comments, "apache"))
 
 
-@query("sample_mentions")
-def sample_mentions(v: Views) -> DataFrame:
-    return mentions.sample(mentions.content_union(*mentions.mentioning(v.submissions, v.comments, "the")), 100, seed=7)
+def checked_sample(content: DataFrame, seed: int | None) -> DataFrame:
+    """What can be said of a sample: its size, that its rows are different rows of the content, and whether it repeats."""
+    one, two = (mentions.sample(content, 100, seed=seed).select("content_type", "id") for _ in range(2))
+    members = one.join(content.select("content_type", "id").distinct(), ["content_type", "id"], "left_semi")
+    found = one.agg(F.count("*").alias("n"), F.count_distinct("content_type", "id").alias("different"))
+    found = found.crossJoin(members.agg(F.count("*").alias("members")))
+    if seed is not None:
+        found = found.crossJoin(one.join(two, ["content_type", "id"], "left_semi").agg(F.count("*").alias("again")))
+    return found
 
 
-@query("sample_market_and_cards")
-def sample_market_and_cards(v: Views) -> DataFrame:
-    wanted = mentions.market_and_cards(v.submissions, v.comments, TERMS, POSTS_SINCE)
-    return mentions.sample(mentions.content_union(*wanted), 100, seed=7)
+def sample_sql(content: str, seed: bool = True) -> str:
+    columns = ["n", "different", "members"] + ["again"] * seed
+    return f"SELECT {', '.join(f'least(100, COUNT(*)) AS {c}' for c in columns)} FROM ({content})"
+
+
+@query("sample_mentions", with_views("submissions", "comments") + sample_sql(CONTENT.format(
+    "AND lower(body) LIKE '%the%'", "AND (lower(title) LIKE '%the%' OR lower(selftext) LIKE '%the%')")))
+def sample_mentions(v: Views) -> DataFrame:
+    return checked_sample(mentions.content_union(*mentions.mentioning(v.submissions, v.comments, "the")), seed=7)
 
 
-@query("market_and_cards", with_views("submissions", "comments") + CONTENT.format(
+MARKET_SQL = CONTENT.format(
     "AND created_utc >= DATE '2010-01-01' AND regexp_matches(lower(body), 'apache') "
     "AND (regexp_matches(lower(body), 'licen[cs]e[s]?') OR regexp_matches(lower(body), '[eé]ou'))",
     f"AND created_utc >= DATE '2010-01-01' AND {M.replace('body', 'selftext')} "
-    f"AND ({A.replace('body', 'selftext')} OR {B.replace('body', 'selftext')})"))
+    f"AND ({A.replace('body', 'selftext')} OR {B.replace('body', 'selftext')})")
+
+
+@query("sample_market_and_cards", with_views("submissions", "comments") + sample_sql(MARKET_SQL))
+def sample_market_and_cards(v: Views) -> DataFrame:
+    wanted = mentions.market_and_cards(v.submissions, v.comments, TERMS, POSTS_SINCE)
+    return checked_sample(mentions.content_union(*wanted), seed=7)
+
+
+@query("market_and_cards", with_views("submissions", "comments") + MARKET_SQL)
 def market_and_cards(v: Views) -> DataFrame:
     return mentions.content_union(*mentions.market_and_cards(v.submissions, v.comments, TERMS, POSTS_SINCE))
 
 
-@query("sample_random")
+@query("sample_random", with_views("submissions", "comments") + sample_sql(CONTENT.format("", ""), seed=False))
 def sample_random(v: Views) -> DataFrame:
-    return mentions.sample(mentions.content_union(v.submissions, v.comments), 100, seed=None) \
-        .select("content_type", "id", F.length("content").alias("chars"))
+    return checked_sample(mentions.content_union(v.submissions, v.comments), seed=None)

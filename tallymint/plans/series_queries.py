@@ -125,9 +125,26 @@ def latest_folder(v: Views) -> DataFrame:
         F.concat(F.lit("data/"), F.date_format("ts", "yyMMdd"), F.lit("_raw_jsons/0001_x.json")).alias("path")))
 
 
-@query("json_field", "SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k FROM events")
+@query("json_field", """SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k, COALESCE(props->>'$.k.deep', 'none') AS deep,
+    CASE WHEN event_type = 'view' THEN 'nothing' ELSE CAST(props->>'$.k' AS VARCHAR) END AS nested FROM events""")
 def json_field(v: Views) -> DataFrame:
-    return v.ticks.select("event_id", "k")
+    """Fields of JSON text with defaults; a nested one is written as JSON first."""
+    k = text.json_get("props", "k")
+    whole = F.to_json(F.struct(F.struct(F.struct(F.when(F.col("event_type") != "view", k).alias("c")).alias("b")).alias("a")))
+    return v.table("events").select("event_id", k.cast("bigint").alias("k"),
+                                    text.json_get("props", "k", "deep", default="none").alias("deep"),
+                                    text.json_get(whole, "a", "b", "c", default="nothing").alias("nested"))
+
+
+@query("keyword_grid", with_views("ticks", "trend_values") + """SELECT keyword, date, price, quantity
+    FROM (SELECT DISTINCT 'kw_' || user_id AS keyword FROM ticks UNION SELECT 'kw_unseen')
+    CROSS JOIN (SELECT DISTINCT date FROM trend_values) LEFT JOIN trend_values USING (keyword, date)""")
+def keyword_grid(v: Views) -> DataFrame:
+    """The grid of the keywords of a list file, which has blank lines, stray white space and a keyword without points."""
+    path = workspace(v.spark, "keywords")
+    listed = v.trend_lines.select("keyword").distinct().unionByName(v.spark.createDataFrame([("kw_unseen",)], "keyword STRING"))
+    listed.select(F.concat(F.lit("  "), "keyword", F.lit(" \n\n   "))).write.text(path)
+    return series.trend_grid(trend_points(v), files.read_keywords(v.spark, path))
 
 
 # --- names and values --------------------------------------------------------------------------

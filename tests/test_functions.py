@@ -95,3 +95,12 @@ def test_cents_and_percentages(rows):
     df = rows([(1.005, 1, 0), (2.675, 1, 4)], "p double, a int, b int")
     got = df.select(money.cents("p"), money.percentage(F.col("a"), F.col("b"))).collect()
     assert [tuple(r) for r in got] == [(1.01, None), (2.68, 25.0)]
+
+
+def test_json_get(rows):
+    df = rows([('{"a": {"b": 1, "c": null, "d e": [2]}}',), ("broken",), (None,)], "j string")
+    from tallymint.functions.text import json_get
+
+    got = df.select(json_get("j", "a", "b"), json_get("j", "a", "c", default="x"), json_get("j", "a", "d e", default="x"),
+                    json_get("j", "z", "y", default=F.lit("w"))).collect()
+    assert [tuple(r) for r in got] == [("1", "x", "[2]", "w"), (None, "x", "x", "w"), (None, "x", "x", "w")]

@@ -269,6 +269,14 @@ def test_top_cards_rank(auction_data):
     assert tuples(auctions.top_cards(weeks)) == [("A", 7, 0), ("B", 0, 1)]
     assert tuples(auctions.top_cards(weeks, rank="sum")) == [("A", 27, 0), ("B", 0, 1)]
     long = auctions.top_cards_weekly(weeks)
+    for rank in ("first_grade", "sum"):
+        assert tuples(auctions.ranked_cards(auction_data, DAY, rank=rank)) == tuples(auctions.top_cards(weeks, rank=rank))
+        assert tuples(auctions.top_cards_report(auction_data, DAY, rank=rank)) == tuples(auctions.top_cards_weekly(weeks, rank=rank))
+    assert tuples(auctions.top_cards_report(auction_data, DAY, limit=1)) == [t for t in tuples(long) if t[0] == 0]
+    # Repeats of sales are looked for once, among the sales of the chosen cards.
+    plan = auctions.top_cards_report(auction_data, DAY)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "row_number()" in line and "auction_price" in line and "WindowGroupLimit" not in line]
+    assert len(windows) == 1
     assert [(r.card_name, r.psa_level, r.price_points, r.psa_url) for r in long.collect()] == [
         ("A", "10", 1, "u"), ("A", "8.5", 1, ""), ("B", "9", 1, "b")]
     assert [r.combo for r in auctions.top_latest_week(long, 2).collect()] == ["PSA 10 - A", "PSA 9 - B"]
