@@ -33,27 +33,61 @@ def count_values(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.filter(F.col(value).isNotNull()).groupBy(key, F.col(value).alias(value)).agg(F.count("*").alias("n"))
 
 
-def median_of_counts(counted: DataFrame, key: str, value: str, pieces: int = 64) -> DataFrame:
-    """Exact median per key from counted values, for groups of any size.
+#: Values of a key that one task may put in order for a median.
+ORDERED_VALUES = 100_000
+
+
+def middle_range(counted: DataFrame, key: str, value: str, pieces: int = 64, rounds: int = 2,
+                 bound: int = ORDERED_VALUES) -> DataFrame:
+    """For each key the range of values that holds its middle rows: ``low`` (outside it) and ``high``, null where open.
 
-    Quantiles of the distinct values cut each group into pieces of about equal size; the counts per
-    piece tell which ones hold the middle ranks, and only the values of those are put in order.
+    Beside it stand all rows (``total``), the rows below the range (``before``) and its distinct values (``held``). A round
+    cuts the range at quantiles of its values into about equal pieces and keeps those with the middle ranks; ranges of
+    at most ``bound`` values are left as they are. So what is kept has at most ``bound`` values, or the key's values
+    divided by ``pieces`` for each round.
     """
+    ranges = counted.groupBy(key).agg(
+        F.sum("n").alias("total"), F.lit(0).cast("bigint").alias("before"), F.count("*").alias("held"),
+        *[F.lit(None).cast(counted.schema[value].dataType).alias(c) for c in ("low", "high")])
     cuts = [i / pieces for i in range(1, pieces)]
-    shape = counted.groupBy(key).agg(F.sum("n").alias("total"), F.percentile_approx(value, cuts).alias("edges"))
-    placed = counted.join(shape, key).select(
-        key, value, "n", "total", F.size(F.filter("edges", lambda e: e < F.col(value))).alias("piece")
-    )
     lower, upper = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
-    by_piece = Window.partitionBy(key).orderBy("piece")
-    middle = (
-        placed.groupBy(key, "total", "piece").agg(F.sum("n").alias("m"))
-        .withColumn("upto", F.sum("m").over(by_piece))
-        .filter((F.col("upto") > lower) & (F.col("upto") - F.col("m") <= upper))
-        .select(key, "piece", (F.col("upto") - F.col("m")).alias("before"))
-    )
-    by_value = Window.partitionBy(key, "piece").orderBy(value)
-    ranked = placed.join(middle, [key, "piece"]).withColumn("upto", F.col("before") + F.sum("n").over(by_value))
+    for _ in range(rounds):
+        inside = within(counted, ranges, key, value)
+        state = [F.first(c).alias(c) for c in ("total", "before", "low", "high")]
+        # No edges where the range is small enough: all of it is one piece.
+        edges = inside.groupBy(key).agg(
+            *state, F.percentile_approx(F.when(F.col("held") > bound, F.col(value)), cuts).alias("edges"))
+        placed = inside.select(key, value, "n").join(edges, key).withColumn(
+            "piece", F.coalesce(F.size(F.filter("edges", lambda e: e < F.col(value))), F.lit(0)))
+        sums = placed.groupBy(key, "piece").agg(
+            *state, F.first("edges").alias("edges"), F.sum("n").alias("m"), F.count("*").alias("values"))
+        # At most `pieces` rows of a key.
+        upto = F.col("before") + F.sum("m").over(Window.partitionBy(key).orderBy("piece"))
+        middle = sums.withColumn("upto", upto).filter((F.col("upto") > lower) & (F.col("upto") - F.col("m") <= upper))
+        first, last = F.min("piece"), F.max("piece")
+        ranges = middle.groupBy(key).agg(
+            F.first("total").alias("total"), F.min(F.col("upto") - F.col("m")).alias("before"), F.sum("values").alias("held"),
+            F.coalesce(F.get(F.first("edges"), first - 1), F.first("low")).alias("low"),
+            F.coalesce(F.get(F.first("edges"), last), F.first("high")).alias("high"))
+    return ranges
+
+
+def within(counted: DataFrame, ranges: DataFrame, key: str, value: str) -> DataFrame:
+    """Counted values of each key inside its range."""
+    v = F.col(value)
+    return counted.join(ranges, key).filter(
+        (F.col("low").isNull() | (v > F.col("low"))) & (F.col("high").isNull() | (v <= F.col("high"))))
+
+
+def median_of_counts(counted: DataFrame, key: str, value: str, pieces: int = 64, rounds: int = 2,
+                     bound: int = ORDERED_VALUES) -> DataFrame:
+    """Exact median per key from counted values, for groups of any size.
+
+    The range that holds the middle ranks is narrowed first, and only its values are put in order.
+    """
+    lower, upper = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
+    held = within(counted, middle_range(counted, key, value, pieces, rounds, bound), key, value)
+    ranked = held.withColumn("upto", F.col("before") + F.sum("n").over(Window.partitionBy(key).orderBy(value)))
 
     def at(rank):
         holds = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
@@ -62,9 +96,10 @@ def median_of_counts(counted: DataFrame, key: str, value: str, pieces: int = 64)
     return ranked.groupBy(key).agg(((at(lower) + at(upper)) / 2).alias("median"))
 
 
-def exact_median(df: DataFrame, key: str, value: str, pieces: int = 64) -> DataFrame:
+def exact_median(df: DataFrame, key: str, value: str, pieces: int = 64, rounds: int = 2,
+                 bound: int = ORDERED_VALUES) -> DataFrame:
     """Exact median per key over non-null values."""
-    return median_of_counts(count_values(df, key, value), key, value, pieces)
+    return median_of_counts(count_values(df, key, value), key, value, pieces, rounds, bound)
 
 
 def series_stats(points: DataFrame, key: str = "price_type", value: str = "price") -> DataFrame:

@@ -135,6 +135,21 @@ def catalog_replace_days(v: Views) -> DataFrame:
     return facts(v.spark.table(name))
 
 
+@query("dedup_copy", with_views("auctions") + f"""SELECT CAST(scraped_at AS DATE) AS scrape_date, grade, COUNT(*) AS n,
+      'scrape_date' AS partitioned_by, 'item_id, grade' AS clustered_by
+    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {', '.join(dedup.HISTORY_KEYS)} ORDER BY scraped_at DESC) AS rn
+          FROM auctions) WHERE rn = 1 GROUP BY ALL""")
+def dedup_copy(v: Views) -> DataFrame:
+    """The newest rows of each key as a partitioned, clustered table of their own."""
+    path = workspace(v.spark, "copy")
+    name = "auctions_" + path.rsplit("-", 1)[-1]
+    rows = dedup.keep_one(v.auctions, dedup.HISTORY_KEYS, "scraped_at").withColumn("scrape_date", F.to_date("scraped_at"))
+    tables.create_table(v.spark, name, rows.schema, "scrape_date", path, ("item_id", "grade"))
+    tables.insert(rows, name)
+    layout = tables.table_facts(v.spark, name).select("partitioned_by", "clustered_by")
+    return v.spark.table(name).groupBy("scrape_date", "grade").agg(F.count("*").alias("n")).crossJoin(F.broadcast(layout))
+
+
 @query("scan_csv_roundtrip", with_views("prices") + FACTS_SQL.format("prices"))
 def scan_csv_roundtrip(v: Views) -> DataFrame:
     path = workspace(v.spark, "csv")

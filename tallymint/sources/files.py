@@ -118,6 +118,13 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", "true").csv(path)
 
 
+def newest_file(spark: SparkSession, path: str, glob: str) -> str | None:
+    """The last changed file below a folder whose name fits (equal times: largest name). No file is opened."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+    last = found.select("path", "modificationTime").orderBy(F.desc("modificationTime"), F.desc("path")).first()
+    return None if last is None else last["path"]
+
+
 def card_list(spark: SparkSession, path: str) -> DataFrame:
     """The list of cards to follow; ids are text."""
     return read_csv(spark, path, schemas.CARD_LIST)

@@ -338,13 +338,20 @@ def test_exact_median(spark, data):
     from statistics import median
 
     df = spark.createDataFrame([(k, float(v)) for k, v in data], "k string, v double")
-    got = {r.k: r["median"] for r in series.exact_median(df, "k", "v", pieces=4).collect()}
+    got = {r.k: r["median"] for r in series.exact_median(df, "k", "v", pieces=4, bound=2).collect()}
     assert got == {k: median(float(v) for kk, v in data if kk == k) for k in {k for k, _ in data}}
 
 
 def test_median_of_a_large_skewed_group(spark):
     df = spark.range(100_001).select(F.lit("k").alias("k"), (F.col("id") * F.col("id")).cast("double").alias("v"))
     assert series.exact_median(df, "k", "v", pieces=16).first()["median"] == float(50_000 ** 2)
+    # No range over the bound is left to be ordered, beside a key that is small from the start.
+    both = df.unionByName(spark.createDataFrame([("s", float(v)) for v in (1, 5, 5, 9)], "k string, v double"))
+    counted = series.count_values(both, "k", "v")
+    ranges = {r.k: r for r in series.middle_range(counted, "k", "v", pieces=16, rounds=3, bound=100).collect()}
+    assert ranges["k"].held <= 100 and ranges["s"].held == 3 and ranges["k"].total == 100_001
+    medians = series.exact_median(both, "k", "v", pieces=16, rounds=3, bound=100).collect()
+    assert {r.k: r["median"] for r in medians} == {"k": float(50_000 ** 2), "s": 5.0}
 
 
 def test_histogram(rows):

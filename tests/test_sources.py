@@ -186,6 +186,14 @@ def test_lists(spark, tmp_path):
     assert [r.keyword for r in files.read_keywords(spark, str(tmp_path / "words.txt")).collect()] == ["blue card", "red"]
 
 
+def test_newest_file(spark, tmp_path):
+    for at, name in enumerate(("wide_b.csv", "wide_a.csv", "other.csv")):
+        write(tmp_path, name, f"n\n{at}\n")
+        os.utime(tmp_path / name, (1735900000 + at // 2 * 60, 1735900000 + at // 2 * 60))
+    newest = files.newest_file(spark, str(tmp_path), "wide_*.csv")
+    assert newest.endswith("wide_b.csv") and files.newest_file(spark, str(tmp_path), "none*") is None
+
+
 def test_latest_folder(rows):
     paths = rows([("x/250101_raw_jsons/a.json",), ("x/250301_raw_jsons/a.json",), ("x/old/a.json",)], "path string")
     assert files.latest_folder(paths).first().stamp == "250301"
