@@ -4,8 +4,14 @@ Base spans are e-mail addresses, IP addresses, card numbers and phone numbers. B
 term in a document with a protected value reveals it: pointwise mutual information of term and value over the value's
 information content, from counts of documents over the whole corpus. It is 1 where the term occurs only together with that
 value. Terms from GENERALISE on are replaced by a class, from REMOVE on they are taken out, wherever they stand outside
-base spans, also in documents without the value. A term needs LEAST_CONTEXTS different surroundings of the value (REACH
-characters on either side), so that copies of one document prove nothing.
+base spans, also in documents without the value.
+
+Ordinary words stay, as a term needs evidence. It must stand with the value in LEAST_SUPPORT documents that aren't near
+copies of one another (Jaccard similarity of their words below LIKE), most documents with the term must have the value,
+and so many of them by chance must be so unlikely that of all pairs of value and term tried CHANCE would be found. The
+share is lowered by its support, so little evidence doesn't remove a word. Near copies of a value's documents are set
+apart by LEADERS rounds: each takes a document as leader, and those like it are its class; what then is left counts by
+its least word hash, which near copies nearly always share. So no two documents are compared but with a leader.
 
 Defined cases: a null or empty text has no spans; null ids are allowed; rows that repeat with the same id and text have
 the same spans and count as one document; an empty table gives no rows; output columns replace those of the same names.
@@ -24,10 +30,10 @@ from .registry import query
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-#: Characters on either side of a value that count as its surroundings, and the least letters of a term.
-REACH, TERM_LETTERS = 60, 4
+#: The least letters of a term.
+TERM_LETTERS = 4
 WORD = r"\p{L}{%d,}" % TERM_LETTERS
-LEAST_CONTEXTS = 3
+LEAST_SUPPORT, LIKE, LEADERS, CHANCE = 3, 0.8, 4, 0.01
 GENERALISE, REMOVE = 0.6, 0.8
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 
@@ -99,56 +105,79 @@ def terms_of(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
 
 
-def surroundings(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Protected values: row (``_id``, ``_row``), value (``entity``), its ``context``, and at one value of each row the
-    ``terms`` of the whole text outside base spans."""
+def protected(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Protected values: row (``_id``, ``_row``), value (``entity``), and at one value of each row the ``terms`` of the
+    whole text outside base spans."""
     rows = with_base(docs.select(F.col(key).alias("_id"), F.col(text)), text).where(F.size("_spans") > 0)
     outside = F.aggregate("_spans", F.col("_text"), lambda t, s: F.overlay(t, F.repeat(F.lit("\n"), s["end"] - s["start"]), s["start"] + 1, s["end"] - s["start"]))
     rows = rows.select("_id", F.xxhash64("_text").alias("_row"), "_text", outside.alias("_outside"), F.posexplode("_spans").alias("k", "s"))
-    lo = F.greatest(F.col("s.start") - REACH, F.lit(0))
     return rows.select(
         "_id", "_row", F.concat_ws(":", "s.kind", F.lower(F.substring("_text", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")))).alias("entity"),
-        F.xxhash64(F.substring("_text", lo + 1, F.col("s.start") - lo), F.substring("_text", F.col("s.end") + 1, F.lit(REACH))).alias("context"),
         F.when(F.col("k") == 0, terms_of(F.col("_outside"))).alias("terms"))
 
 
-def disclosures(docs: DataFrame, near: DataFrame, key: str, text: str) -> DataFrame:
+def in_classes(members: DataFrame) -> DataFrame:
+    """Documents of each value (``entity``, ``_id``, ``_row``, ``terms``) with a ``class`` that near copies share."""
+    members = stored(members.withColumn("class", F.lit(None).cast("string")), "members")
+    for leader in range(LEADERS):
+        free = members.where("class IS NULL")
+        if free.isEmpty():
+            break
+        leaders = free.groupBy("entity").agg(F.min_by("terms", F.struct("_row", "_id")).alias("_leader"))
+        both = F.size(F.array_intersect("terms", "_leader"))
+        either = F.size("terms") + F.size("_leader") - both
+        like = (either == 0) | (both >= LIKE * either)
+        named = F.coalesce("class", F.when(like, F.lit(f"leader {leader}")))
+        members = stored(members.join(leaders, "entity", "left").withColumn("class", named).drop("_leader"), "members")
+    least = F.array_min(F.transform("terms", lambda t: F.xxhash64(t))).cast("string")
+    return members.withColumn("class", F.coalesce("class", least, F.lit("")))
+
+
+def disclosures(docs: DataFrame, near: DataFrame, text: str) -> DataFrame:
     """Terms that reveal a value: ``entity``, ``term`` and ``share``, the part of the value's information they give."""
-    entities = near.groupBy("entity").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("_id", "_row").alias("with_entity"))
-    entities = stored(entities.where(F.col("contexts") >= LEAST_CONTEXTS).drop("contexts"), "entities")
+    held = near.select("entity", "_id", "_row").distinct()
+    entities = held.groupBy("entity").agg(F.count("*").alias("with_entity"))
+    entities = stored(entities.where(F.col("with_entity") >= LEAST_SUPPORT), "entities")
     if entities.isEmpty():
         return entities.select("entity", F.lit("").alias("term"), F.lit(0.0).alias("share"))
-    held = near.join(entities, "entity").select("_id", "_row", "entity", "context", "with_entity").distinct()
+    texts = near.where("terms IS NOT NULL").dropDuplicates(["_id", "_row"]).select(F.col("_id").alias("_i"), F.col("_row").alias("_r"), "terms")
+    same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_row") == F.col("_r"))
+    members = in_classes(held.join(entities, "entity").join(texts, same).drop("_i", "_r"))
+    pairs = members.select("entity", "with_entity", "class", F.explode("terms").alias("term")).groupBy(
+        "entity", "with_entity", "term").agg(F.count("*").alias("both"), F.count_distinct("class").alias("support"))
+    pairs = stored(pairs, "pairs")
+    tried, total = pairs.count(), float(docs.count())
+    enough = pairs.where(F.col("support") >= LEAST_SUPPORT)
     # Summed in each task before anything is joined: the join meets one row per word, not one per occurrence.
     seen = docs.select(F.explode(terms_of(text_of(text))).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
-    total = float(docs.count())
-    words = near.where("terms IS NOT NULL").join(held.select("_id", "_row").distinct().withColumnsRenamed({"_id": "_i", "_row": "_r"}),
-                                                 F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_row") == F.col("_r")), "left_semi")
-    words = words.select("_id", "_row", F.explode("terms").alias("term")).distinct().join(seen, "term")
-    # More documents with a term than this leave no share of GENERALISE, as no more than all of the value's can be among them.
-    most = F.pow(F.lit(total), F.lit(1 - GENERALISE)) * F.pow("with_entity", F.lit(GENERALISE)) * (1 + 1e-9)
-    same = F.col("h._id").eqNullSafe(F.col("w._id")) & (F.col("h._row") == F.col("w._row")) & (F.col("with_term") <= most)
-    pairs = held.alias("h").join(words.alias("w"), same).select("h._id", "h._row", "entity", "context", "with_entity", "term", "with_term")
-    pairs = pairs.groupBy("entity", "term", "with_entity", "with_term").agg(
-        F.count_distinct("context").alias("contexts"), F.count_distinct("_id", "_row").alias("both")).where(F.col("contexts") >= LEAST_CONTEXTS)
+    part = F.col("both") / F.col("with_term")
+    found = enough.join(seen, "term").withColumn("part", F.least(part, F.lit(1.0))).where(F.col("part") >= 0.5)
     information = F.log2(F.lit(total) / F.col("with_entity"))
     mutual = F.log2(F.lit(total) * F.col("both") / (F.col("with_term") * F.col("with_entity")))
-    return pairs.where(information > 0).select("entity", "term", (mutual / information).alias("share")).where(F.col("share") >= GENERALISE)
+    # Bits of evidence: as many unlike documents, chosen by chance among those with the term, all having the value.
+    rest = 1 - F.col("part")
+    entropy = -F.col("part") * F.log2("part") - F.when(rest > 0, rest * F.log2(rest)).otherwise(F.lit(0.0))
+    bits = F.col("support") * (information - entropy / F.col("part"))
+    share = mutual / information * F.col("support") / (F.col("support") + 1)
+    sure = found.where((information > 0) & (bits >= F.log2(F.lit(max(1, tried) / CHANCE))))
+    return sure.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
 
 
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows with ``base_spans``, and ``term_spans`` with the share that each term reveals."""
     columns = [c for c in docs.columns if c not in ("base_spans", "term_spans")]
     # Only documents with protected values. Written, as three steps read it.
-    near = stored(surroundings(docs, key, text), "near")
-    flagged = stored(disclosures(docs, near, key, text).groupBy("term").agg(F.max("share").alias("share")), "flagged")
+    near = stored(protected(docs, key, text), "near")
+    flagged = stored(disclosures(docs, near, text).groupBy("term").agg(F.max("share").alias("share")), "flagged")
     # All documents with a flagged term, whether or not they have the value.
     with_terms = docs.select(F.col(key).alias("_id"), text_of(text).alias("_text"))
     with_terms = with_terms.select("_id", F.xxhash64("_text").alias("_row"), F.explode(terms_of(F.col("_text"))).alias("term")).join(flagged, "term")
     with_terms = with_terms.groupBy("_id", "_row").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("term", "share")))).alias("_wanted"))
     with_terms = stored(with_terms, "term-rows")
-    rows = with_base(docs.select(*columns), text).withColumn("_hash", F.xxhash64("_text"))
-    same = F.col(f"d.`{key}`").eqNullSafe(F.col("s._id")) & (F.col("d._hash") == F.col("s._row"))
+    # The input travels in one column, so its names can't clash with those used here.
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(key).alias("_key"), F.col(text).alias("_value"))
+    rows = with_base(packed, "_value").withColumn("_hash", F.xxhash64("_text"))
+    same = F.col("d._key").eqNullSafe(F.col("s._id")) & (F.col("d._hash") == F.col("s._row"))
     rows = rows.alias("d").join(with_terms.alias("s"), same, "left")
     none = F.array().cast("array<struct<start:int,end:int,share:double>>")
     matches = F.regexp_extract_all("_text", F.lit(WORD), F.lit(0))
@@ -163,14 +192,16 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     terms = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"]
     terms = F.filter(terms, lambda t: ~F.exists("_spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    return rows.select(*[F.col(f"d.`{c}`") for c in columns], F.col("_spans").alias("base_spans"),
-                       F.when(F.col("_wanted").isNotNull(), terms).otherwise(none).alias("term_spans"))
+    found = rows.select("_doc", F.struct(
+        F.col("_spans").alias("base"), F.when(F.col("_wanted").isNotNull(), terms).otherwise(none).alias("terms")).alias("_found"))
+    return found.select(*[found["_doc"][c].alias(c) for c in columns],
+                        found["_found"]["base"].alias("base_spans"), found["_found"]["terms"].alias("term_spans"))
 
 
 def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows with protected values masked by their kind, revealing terms generalised or removed."""
-    columns = docs.columns
-    rows = find(docs, key, text)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = find(packed, "key", "text")
     base = F.transform("base_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("mask")))
     terms = F.transform("term_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["share"] >= REMOVE, F.lit("")).otherwise(F.lit("[TERM]")).alias("mask")))
     kind = "array<struct<start:int,end:int,mask:string>>"
@@ -181,13 +212,14 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
             F.greatest(a["end"], s["start"]).alias("start"), F.greatest(a["end"], s["end"]).alias("end"),
             F.when(s["start"] >= a["end"], s["mask"]).otherwise(F.lit("")).alias("mask"))).alias("out")))["out"]
     rows = rows.withColumn("_apart", F.explode(F.array(apart)))
-    body, spans = text_of(text), F.col("_apart")
+    body, spans = text_of("text"), F.col("_apart")
     ends = F.transform(spans, lambda s: s["end"])
     parts = F.transform(spans, lambda s, i: F.concat(
         F.substring(body, F.when(i > 0, F.get(ends, i - 1)).otherwise(F.lit(0)) + 1, s["start"] - F.when(i > 0, F.get(ends, i - 1)).otherwise(F.lit(0))), s["mask"]))
     rest = F.substring(body, F.element_at(ends, -1) + 1, F.length(body))
-    clean = F.when(F.size(spans) > 0, F.concat(F.array_join(parts, ""), rest)).otherwise(F.col(text))
-    return rows.withColumn(text, clean).select(*columns)
+    clean = F.when(F.size(spans) > 0, F.concat(F.array_join(parts, ""), rest)).otherwise(F.col("text"))
+    done = rows.select("doc", clean.alias("clean"))
+    return done.select(*[done["clean"].alias(c) if c == text else done["doc"][c].alias(c) for c in docs.columns])
 
 
 def listed(spans: Column) -> Column:

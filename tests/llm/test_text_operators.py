@@ -200,6 +200,62 @@ def test_terms_beside_a_value_are_found_and_masked(spark, table):
     assert personal.find(table([])).count() == 0
 
 
+def test_ordinary_words_are_left_alone(spark, table):
+    """One document that names a value often, near copies and a value with many documents prove nothing of their words."""
+    rng = np.random.default_rng(9)
+    vocabulary = [f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(2000)]
+    text = lambda n: " ".join(rng.choice(vocabulary, n))
+    often = "write to a@b.org or call a@b.org and ask a@b.org about the velvet curtains"
+    base = text(60).split()
+    near = [" ".join(base[:k] + ["changed"] + base[k + 1:]) + " rareword c@d.org" for k in range(6)]
+    hot = [f"{text(40)} help@site.org" for _ in range(120)]
+    plain = [f"{text(30)} velvet curtains" for _ in range(4)] + [text(50) for _ in range(160)]
+    planted = [f"{text(25)} marigold fetherstone {text(10)} e@f.org" for _ in range(5)] + [f"{text(20)} fetherstone {text(9)}"]
+    docs = table([often, *near, *hot, *plain, *planted])
+    found = {(t, s) for r in personal.find(docs).collect() for s in r.term_spans for t in [r.text[s.start:s.end]]}
+    assert {t for t, _ in found} == {"marigold", "fetherstone"}
+    clean = [r.text for r in personal.sanitise(docs.where("doc_id < 7")).orderBy("doc_id").collect()]
+    assert "velvet curtains" in clean[0] and all("rareword" in c for c in clean[1:])
+
+
+def test_shares_equal_a_plain_version(spark, table):
+    rng = np.random.default_rng(4)
+    names = ["ana@x.org", "bob@x.org", "cyn@x.org"]
+    words = [f"term{chr(97 + i)}{chr(97 + i)}" for i in range(18)]
+    texts = [" ".join(rng.choice(words[k * 4:k * 4 + 9], 7)) + f" filler{'abcdefgh'[i % 8]} {names[k]}" for i, k in enumerate(rng.integers(0, 3, 40))]
+    texts += [" ".join(rng.choice(words, 2)) for _ in range(400)]
+    docs = table(texts)
+    near = personal.protected(docs, "doc_id", "text")
+    got = {(r.entity, r.term): r.share for r in personal.disclosures(docs, near, "text").collect()}
+    sets = [set(re.findall(r"[^\W\d_]{4,}", re.sub(r"\S+@\S+", "\n", t))) for t in texts]
+    like = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    held = {n: [i for i, t in enumerate(texts) if n in t] for n in names}
+    tried = sum(len(set().union(*(sets[i] for i in rows))) for rows in held.values())
+    for (entity, term), share in got.items():
+        rows = [i for i in held[entity.split(":", 1)[1]] if term in sets[i]]
+        all_rows = [i for i, s in enumerate(sets) if term in s]
+        entity_rows = held[entity.split(":", 1)[1]]
+        unlike = []
+        for i in rows:
+            unlike += [i] if not any(like(sets[i], sets[k]) for k in unlike) else []
+        information = np.log2(len(texts) / len(entity_rows))
+        plain = np.log2(len(texts) * len(rows) / (len(all_rows) * len(entity_rows))) / information
+        assert 3 <= len(unlike) and 2 * len(rows) >= len(all_rows) and 0.6 <= share <= plain
+        assert abs(share - plain * len(rows) / (len(rows) + 1)) < 1e-9 or len(unlike) < len(rows)
+        assert information * len(unlike) >= np.log2(tried / 0.01) - 2 * len(rows)
+    assert got
+
+
+def test_inner_names_of_personal_data(spark, table):
+    docs = table(["mail a@b.org now", None, ""])
+    for name in ("_text", "_spans", "_doc", "_key", "_hash", "_wanted", "_apart", "base_spans", "term_spans", "key", "doc", "class", "d", "s"):
+        docs = docs.withColumn(name, F.lit(name))
+    rows = personal.sanitise(docs).orderBy("doc_id").collect()
+    assert rows[0].text == "mail [EMAIL] now" and all(r[n] == n for r in rows for n in docs.columns[5:])
+    found = personal.find(docs).orderBy("doc_id").first()
+    assert found["_text"] == "_text" and found["_doc"] == "_doc" and found.base_spans[0].start == 5
+
+
 def test_terms_are_masked_wherever_they_stand(spark, table):
     fill = "people went home and wrote about other things " * 5
     secret = [f"{w} zebulon wrote from z@home.org about {v} things {fill} Zebulon {fill} quillfeather" for w, v in zip(["monday", "tuesday", "friday", "sunday"], ["many", "some", "nine", "four"])]
