@@ -35,7 +35,9 @@ HEADER = 16
 #: Expected keys in a part of the index, and in a bucket of its hash function.
 PART_KEYS, BUCKET_KEYS = 50_000, 4
 #: Reads of a shard join ranges that lie no further apart, up to a size.
-GAP_BYTES, RANGE_BYTES = 1 << 16, 1 << 23
+GAP_IDS, RANGE_IDS = 1 << 14, 1 << 21
+#: Ids that one task reads, about.
+TASK_IDS = 1 << 23
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -136,6 +138,8 @@ def write(docs: DataFrame, tokenizer: str, end: int, folder: str, key: str = "do
                         out = system.open_output_stream(f"{path}/{file}")
                         out.write(MAGIC + struct.pack("<II", id_bytes, 0))
                     flat, bounds = encoder.encode(texts)
+                    if len(flat) and int(flat.max()) >= 256 ** id_bytes:
+                        raise ValueError(f"id {int(flat.max())} doesn't fit {id_bytes} bytes")
                     out.write(flat.astype(kind).tobytes())
                     rows = []
                     for name, a, b in zip(part.column(key).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
@@ -204,8 +208,8 @@ def lookup(keys: DataFrame, store: Store, key: str = "doc_id") -> DataFrame:
     rows = keys.select(key, "nth", first.alias("first"), second.alias("second"))
     rows = rows.withColumn("part", F.pmod(F.shiftrightunsigned("first", 32), F.lit(store.n_parts)))
     rows = rows.join(store.parts.select("part", "index_file"), "part")
-    # Keys of a part come together, in stretches, so that a task opens few files.
-    rows = rows.sortWithinPartitions("part")
+    # Keys are dealt by part, so each part is opened by one task (or by the few that a large one is split into).
+    rows = rows.repartition("part").sortWithinPartitions("part")
     schema = T.StructType([keys.schema[key], *(T.StructField(n, T.LongType()) for n in ("nth", "shard", "at", "n_tokens"))])
     folder = store.folder
 
@@ -231,43 +235,51 @@ def lookup(keys: DataFrame, store: Store, key: str = "doc_id") -> DataFrame:
     return rows.mapInArrow(find, schema)
 
 
-def read(places: DataFrame, store: Store, key: str = "doc_id", id_bytes: int = 4) -> DataFrame:
+def id_type(header: bytes, name: str) -> np.dtype:
+    """The type of a shard's ids, from its header."""
+    if header[:len(MAGIC)] != MAGIC:
+        raise ValueError(f"{name} is no shard of ids")
+    return np.dtype(f"<u{struct.unpack_from('<I', header, len(MAGIC))[0]}")
+
+
+def read(places: DataFrame, store: Store, key: str = "doc_id") -> DataFrame:
     """The ids at places from ``lookup``, with ``start`` (ids of all documents before); ranges are read in order, joined.
 
-    ``ids`` holds little-endian unsigned 32-bit integers.
+    ``ids`` holds little-endian unsigned 32-bit integers. The bytes of an id are those that a shard's header gives; the
+    number of tasks comes from the size of the shards.
     """
     located = places.join(store.shards.select("shard", "file", "base"), "shard")
-    located = located.repartitionByRange("shard", "at").sortWithinPartitions("shard", "at")
+    tasks = max(1, -(-(store.shards.agg(F.sum("ids")).first()[0] or 0) // TASK_IDS))
+    located = located.repartitionByRange(tasks, "shard", "at").sortWithinPartitions("shard", "at")
     schema = T.StructType([places.schema[key], T.StructField("nth", T.LongType()), T.StructField("start", T.LongType()),
                            T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
-    folder, kind = store.folder, np.dtype(f"<u{id_bytes}")
+    folder = store.folder
 
     def ranges(files, at, size):
-        """Stretches of rows whose bytes are read at once."""
+        """Stretches of rows whose ids are read at once."""
         lo = 0
         for i in range(1, len(files) + 1):
-            if i == len(files) or files[i] != files[lo] or at[i] - (at[i - 1] + size[i - 1]) > GAP_BYTES \
-                    or at[i] + size[i] - at[lo] > RANGE_BYTES:
+            if i == len(files) or files[i] != files[lo] or at[i] - (at[i - 1] + size[i - 1]) > GAP_IDS \
+                    or at[i] + size[i] - at[lo] > RANGE_IDS:
                 yield lo, i
                 lo = i
 
     def fetch(batches):
         system, path = file_system(folder)
-        name, source = None, None
+        name, source, kind = None, None, None
         try:
             for batch in batches:
                 files = batch.column("file").to_pylist()
-                at = (batch.column("at").to_numpy() * id_bytes + HEADER).tolist()
-                size = (batch.column("n_tokens").to_numpy() * id_bytes).tolist()
+                at, size = (batch.column(c).to_pylist() for c in ("at", "n_tokens"))
                 for lo, hi in ranges(files, at, size):
                     if files[lo] != name:
                         if source is not None:
                             source.close()
                         name, source = files[lo], system.open_input_file(f"{path}/{files[lo]}")
-                    source.seek(at[lo])
-                    data = source.read(at[hi - 1] + size[hi - 1] - at[lo])
-                    ids = [np.frombuffer(data, kind, size[i] // id_bytes, at[i] - at[lo]).astype("<u4").tobytes()
-                           for i in range(lo, hi)]
+                        kind = id_type(source.read(HEADER), name)
+                    source.seek(HEADER + at[lo] * kind.itemsize)
+                    flat = np.frombuffer(source.read((at[hi - 1] + size[hi - 1] - at[lo]) * kind.itemsize), kind).astype("<u4")
+                    ids = [flat[at[i] - at[lo]:at[i] - at[lo] + size[i]].tobytes() for i in range(lo, hi)]
                     part = batch.slice(lo, hi - lo)
                     start = part.column("base").to_numpy() + part.column("at").to_numpy()
                     yield pa.RecordBatch.from_arrays(
@@ -292,5 +304,5 @@ def op8_id_files(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", text_of().alias("text"))
     store = write(docs, public_tokenizers.path("word_bpe_49k.json"), 2, workspace(spark, "id-files"), id_bytes=2)
     found = lookup(keys_of(documents(spark, folder)), store)
-    back = read(stored(found, "found"), store, id_bytes=2)
+    back = read(stored(found, "found"), store)
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .common import documents, slices, text_of
 from .registry import query
-from .tokens import text_encoder
+from .tokens import CACHE_CHUNKS, text_encoder
 
 #: Context sizes, longest first; all are powers of two.
 TIERS = (2048, 1024, 512, 256)
@@ -118,16 +118,17 @@ def step_groups(sequences: list[tuple[list, int]], budget: int = GROUP_TOKENS) -
 
 
 def pack(docs: DataFrame, tokenizer: str, end: int, tiers: tuple[int, ...] = TIERS, group_tokens: int = GROUP_TOKENS,
-         key: str = "doc_id", text: str = "text") -> DataFrame:
+         key: str = "doc_id", text: str = "text", remembered: int = CACHE_CHUNKS) -> DataFrame:
     """One row per piece: its document, place and ids there, and its sequence, place in it, tier and step group.
 
-    ``ids`` holds little-endian unsigned 32-bit integers.
+    ``ids`` holds little-endian unsigned 32-bit integers. A worker remembers the ids of so many words, at about 150 bytes
+    each; fewer make it slower, but give the same ids.
     """
     schema = T.StructType([docs.schema[key]] + T._parse_datatype_string(SCHEMA).fields)
     names = schema.names
 
     def work(batches):
-        encoder, packer = text_encoder(tokenizer, end), Packer(tiers)
+        encoder, packer = text_encoder(tokenizer, end, remembered), Packer(tiers)
         base = TaskContext.get().partitionId() << LOCAL_BITS
         counter, groups = base, base
         held: dict[int, tuple] = {}  # by row: key, ids, length

@@ -282,9 +282,9 @@ def similar(docs: DataFrame, width: int = 5, part: int = 80, whole: int = 100, k
 
 def drop_similar(docs: DataFrame, width: int = 5, part: int = 80, whole: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without those of which a similar one with a smaller id stays; all columns as they were."""
-    gone = similar(docs, width, part, whole, key, text).where(F.col("component_id") < F.col(key)).select(F.col(key).alias("_gone")).distinct()
+    gone = similar(docs, width, part, whole, key, text).where(F.col("component_id") < F.col(key)).select(F.col(key).alias("gone")).distinct()
     gone = stored(gone, "similar")
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[f"`{key}`"] == gone["gone"], "left_anti")
 
 
 @query("op6_ngram_jaccard")

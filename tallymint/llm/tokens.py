@@ -28,9 +28,9 @@ BAR = " |"
 APART = re.compile(f"(?:[\t-\r ][{WHITE}]*|[A-Za-z])[^{WHITE}]*[^{WHITE}|]")
 
 
-def text_encoder(path: str, end: int | None = None) -> "TextEncoder":
-    """The worker's encoder for a tokenizer file."""
-    return kept(f"tokens:{path}:{end}", lambda: TextEncoder(path, end))
+def text_encoder(path: str, end: int | None = None, limit: int = CACHE_CHUNKS) -> "TextEncoder":
+    """The worker's encoder for a tokenizer file, which remembers ``limit`` chunks."""
+    return kept(f"tokens:{path}:{end}:{limit}", lambda: TextEncoder(path, end, limit))
 
 
 class TextEncoder:

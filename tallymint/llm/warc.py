@@ -30,6 +30,8 @@ from .registry import query
 FILE_BYTES = 1 << 28
 #: Ranges no further apart are read together, up to a size.
 GAP_BYTES, RANGE_BYTES = 1 << 16, 1 << 23
+#: Bytes of archives that one task reads, about.
+TASK_BYTES = 8 << 20
 INDEX = ("file string, offset long, length long, url string, payload_digest string, record_type string, "
          "page_id string, payload_bytes long")
 RECORD = "record_id string, record_type string, url string, payload_digest string, refers_to string, payload_bytes long, payload binary"
@@ -66,17 +68,23 @@ def record(name: str | None, url: str | None, payload: bytes, origin: str | None
     return data, mark
 
 
+def headers(head: bytes) -> dict[str, str]:
+    """Names and values of header lines after the first; white space around a value doesn't belong to it."""
+    lines = (line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:])
+    return {name: value.strip() for name, _, value in lines}
+
+
 def parse(member: bytes) -> tuple:
     """The fields of RECORD from a gzip member; the digest of a response's payload is checked."""
     data = zlib.decompress(member, 31)
     head, _, rest = data.partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
+    fields = headers(head)
     block = rest[:int(fields["Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
     kind, mark = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
     if kind == "response" and digest(payload) != mark:
         raise ValueError(f"damaged record {fields['WARC-Record-ID']}")
-    size = int(dict(line.split(": ", 1) for line in http.decode().split("\r\n")[1:])["Content-Length"])
+    size = int(headers(http)["Content-Length"])
     name = fields["WARC-Record-ID"].strip("<>").removeprefix("urn:page:")
     origin = fields["WARC-Refers-To"].strip("<>").removeprefix("urn:page:") if kind == "revisit" else None
     return name, kind, fields.get("WARC-Target-URI"), mark, origin, size, None if kind == "revisit" else payload
@@ -137,8 +145,13 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
 
 
 def read(index: DataFrame, folder: str) -> DataFrame:
-    """The records of the given index rows; rows are read in file order, neighbouring ranges at once."""
-    ordered = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    """The records of the given index rows; rows are read in file order, neighbouring ranges at once.
+
+    The index is small beside the archives, so the number of tasks comes from the bytes that it lists.
+    """
+    wanted = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-wanted // TASK_BYTES))
+    ordered = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     names = [f.split()[0] for f in RECORD.split(", ")]
     types = [pa.string()] * 5 + [pa.int64(), pa.binary()]
 

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tallymint.session import workspace
 from tallymint.llm import components, passages, quotient, similar, warc
 
 
@@ -76,6 +77,32 @@ def test_similar_edges(spark, table):
     assert [r.doc_id for r in similar.drop_similar(table(["a b c d e f g"] * 3)).collect()] == [0]
 
 
+def test_inner_names_of_similar_texts(spark, table):
+    docs = table(["a b c d e f g"] * 3 + [None])
+    for name in ("_gone", "gone", "id", "n", "component"):
+        docs = docs.withColumn(name, F.lit(name))
+    left = similar.drop_similar(docs).orderBy("doc_id").collect()
+    assert [r.doc_id for r in left] == [0, 3] and all(r[n] == n for r in left for n in docs.columns[5:])
+
+
+def test_header_lines_of_other_writers():
+    head = b"WARC/1.1\r\nWARC-Type:response\r\nContent-Length:   12 \r\nX-Empty:\r\nWARC-Target-URI: http://a.b/c:d"
+    assert warc.headers(head) == {"WARC-Type": "response", "Content-Length": "12", "X-Empty": "", "WARC-Target-URI": "http://a.b/c:d"}
+
+
+def test_archives_are_read_by_as_many_tasks_as_their_bytes_need(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    pages = [(i, f"http://a/{i}", rng.bytes(4000).hex()) for i in range(60)] + [(None, None, "x"), (None, None, None)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    place = workspace(spark, "warc-test")
+    index = warc.write(frame, place)
+    monkeypatch.setattr(warc, "TASK_BYTES", 40_000)
+    records = warc.read(index, place)
+    assert records.rdd.getNumPartitions() > 3
+    rows = {r.record_id: r.payload_bytes for r in records.collect()}
+    assert len(rows) >= 61 and rows["5"] == 8000 and records.count() == 62
+
+
 def test_connected_components(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(30)] + [(50, 40), (40, 60), (7, 7)], "a long, b long")
     found = {r.node: r.component for r in components.components(links).collect()}

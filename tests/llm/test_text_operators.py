@@ -49,7 +49,7 @@ def test_id_files_round_trip(spark, table):
     plain = Tokenizer.from_file(path)
     docs = table(TEXTS).union(table(["again"], start=3)).repartition(3)
     store = idfiles.write(docs, path, 2, tempfile.mkdtemp(prefix="ids-"), id_bytes=2)
-    back = idfiles.read(idfiles.lookup(idfiles.keys_of(docs), store), store, id_bytes=2).collect()
+    back = idfiles.read(idfiles.lookup(idfiles.keys_of(docs), store), store).collect()
     assert len(back) == len(TEXTS) + 1
     start = 0
     for r in sorted(back, key=lambda r: r.start):
@@ -69,6 +69,33 @@ def test_perfect_hash_is_minimal_and_perfect():
     assert sorted(function.slots(*keys).tolist()) == list(range(5000))
 
 
+def test_id_files_with_several_parts_and_tasks(spark, monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.range(400).select((F.col("id") * 7).alias("doc_id"), F.concat(F.lit("some words "), F.col("id").cast("string")).alias("text"))
+    monkeypatch.setattr(idfiles, "PART_KEYS", 60)
+    monkeypatch.setattr(idfiles, "TASK_IDS", 300)
+    store = idfiles.write(docs.repartition(3), path, 2, tempfile.mkdtemp(prefix="ids-"))
+    assert store.n_parts > 3
+    back = idfiles.read(idfiles.lookup(idfiles.keys_of(docs), store), store)
+    assert back.rdd.getNumPartitions() > 3
+    rows = sorted((r.doc_id, r.start, r.n_tokens, r.ids) for r in back.collect())
+    plain = Tokenizer.from_file(path)
+    at = 0
+    for (key, start, n, ids), i in zip(rows, range(400)):
+        expected = plain.encode(f"some words {i}", add_special_tokens=False).ids + [2]
+        assert (key, start, n, list(np.frombuffer(ids, "<u4"))) == (7 * i, at, len(expected), expected)
+        at += n
+    assert len(rows) == 400
+
+
+def test_ids_that_do_not_fit_are_refused(spark, table):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with pytest.raises(Exception, match="doesn't fit 1 bytes"):
+        idfiles.write(table(["unusual words"]), path, 2, tempfile.mkdtemp(prefix="ids-"), id_bytes=1)
+    with pytest.raises(ValueError, match="no shard of ids"):
+        idfiles.id_type(b"x" * 16, "file")
+
+
 def test_packing_covers_each_id_once(spark, table):
     path = public_tokenizers.path("byte_bpe_50k.json")
     plain = Tokenizer.from_file(path)
