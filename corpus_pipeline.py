@@ -38,8 +38,11 @@ def personal_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The pieces of all documents, with their ids and sequences."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end=1)
+    """The pieces of all documents, with their ids and sequences.
+
+    The executors' heaps have grown in the stages before, so the workers remember fewer words than in packing alone.
+    """
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end=1, remembered=250_000)
 
 
 STAGES = [
