@@ -3,7 +3,9 @@
 A document's set has its distinct n-grams of words. Small (light) sets list, for each size of a possible partner, all
 subsets of the overlap that the threshold asks for; equal subsets link without further work. Large (heavy) sets scan
 inverted lists: those of the first n-grams of each set in one global order, rarest first, which no similar pair can
-miss. The boundary between both is the size at which the subsets of the corpus's sets cost more than their lists.
+miss. Every n-gram of the corpus is counted for that order, in an array of fixed size: n-grams that share a counter look
+more frequent than they are, which decides cost only. The boundary between both is the size at which the subsets of the
+corpus's sets cost more than their lists.
 
 Sets that are equal become one representative. In a list, everything is first compared with one hub, then whole
 clusters with one another by their best members, and only pairs of different clusters are listed one by one: a large
@@ -31,19 +33,23 @@ from .common import documents, slices, stored
 from .components import components
 from .registry import query
 
-#: Frequent n-grams that get places at the end of the global order. The order decides cost only.
-FREQUENT = 1 << 16
+#: Counters of n-grams for the global order (a power of two), a byte each. The order decides cost only.
+COUNTERS = 1 << 25
+#: Counters that are added up together.
+BLOCK = 1 << 16
+#: Tasks that add them up.
+ADDERS = 32
 #: Times that lists are compared with hubs before the remaining pairs are listed. It decides cost only.
 ROUNDS = 2
-#: N-grams found so often in a task's slice are counted for that.
-LEAST_SEEN = 3
 #: No boundary lies beyond this size; subsets of larger sets cost too much anyway.
 LARGEST_LIGHT = 32
 #: Rows of two or three numbers that may be broadcast, after they have been counted; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Cells of a sketch (a power of two), a byte each. It decides cost only.
 CELLS = 128
-SETS = "id long, n long, one long, two long, tokens array<long>, sketch binary"
+#: Cells of its short form, by which pairs of a list are compared before they are written.
+FOLDS = 32
+SETS = "id long, n long, one long, two long, tokens array<long>, sketch binary, fold array<short>"
 
 
 def ngrams(text: str, width: int) -> np.ndarray:
@@ -81,48 +87,71 @@ def light_cost(n: int, part: int, whole: int, most: int) -> int:
     return sum(comb(n, needed(n, m, part, whole)) for m in partners(n, part, whole) if m <= most)
 
 
-def frequent_order(docs: DataFrame, width: int) -> np.ndarray:
-    """The most frequent n-grams, most frequent last: FREQUENT numbers at most."""
+def counter(found: np.ndarray) -> np.ndarray:
+    """The counters of n-grams."""
+    return (found >> np.uint64(65 - COUNTERS.bit_length())).astype(np.int64)
+
+
+def levels(docs: DataFrame, width: int) -> np.ndarray:
+    """How frequent the n-grams of each counter are, over all documents: COUNTERS numbers of one byte.
+
+    A task counts up to 255 in a counter. Counts below 16 are their own level; above, eight levels double them.
+    """
     def count(batches):
+        seen = np.zeros(COUNTERS, np.uint8)
         for batch in batches:
             for _, texts in slices(batch, "text"):
-                found = [ngrams(t, width) for t in texts]
-                values, seen = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-                often = seen >= LEAST_SEEN
-                yield pa.RecordBatch.from_arrays([pa.array(values[often].astype(np.int64)), pa.array(seen[often])], ["token", "seen"])
+                at, times = np.unique(np.concatenate([counter(ngrams(t, width)) for t in texts]), return_counts=True)
+                seen[at] = np.minimum(seen[at] + times, 255)
+        for start in range(0, COUNTERS, BLOCK):
+            block = seen[start:start + BLOCK]
+            if block.any():
+                yield pa.RecordBatch.from_arrays([pa.array([start // BLOCK]), pa.array([pa.compress(block.tobytes(), "zstd", asbytes=True)])],
+                                                 ["block", "counts"])
+
+    def add(batches):
+        total = {}
+        for batch in batches:
+            for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
+                counts = np.frombuffer(pa.decompress(counts, BLOCK, "zstd", asbytes=True), np.uint8)
+                total[block] = total[block] + counts if block in total else counts.astype(np.int64)
+        for block, counts in total.items():
+            level = np.where(counts < 16, counts, np.minimum(16 + 8 * np.log2(np.maximum(counts, 16) / 16), 255))
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([level.astype(np.uint8).tobytes()])], ["block", "level"])
 
-    counts = docs.select("text").mapInArrow(count, "token long, seen long").groupBy("token").agg(F.sum("seen").alias("seen"))
-    top = counts.orderBy(F.desc("seen"), "token").limit(FREQUENT).collect()
-    return np.array([r["token"] for r in reversed(top)], np.int64).astype(np.uint64)
+    counts = docs.select("text").mapInArrow(count, "block long, counts binary")
+    out = np.zeros(COUNTERS, np.uint8)
+    for row in counts.repartition(ADDERS, "block").mapInArrow(add, "block long, level binary").collect():
+        out[row["block"] * BLOCK:(row["block"] + 1) * BLOCK] = np.frombuffer(row["level"], np.uint8)
+    return out
 
 
-def sets(docs: DataFrame, width: int, part: int, whole: int, order: np.ndarray, complete: bool = False) -> DataFrame:
-    """Each document's set: size, fingerprint in two numbers, first n-grams (all: if small, or ``complete``), sketch."""
-    place = np.argsort(order)
-    known = order[place]
+def sets(docs: DataFrame, width: int, part: int, whole: int, order: np.ndarray | None) -> DataFrame:
+    """Each document's set: size, fingerprint in two numbers, n-grams, sketch and its short form.
 
+    With an ``order`` (the counters' levels), sets that aren't small have their first n-grams only.
+    """
     def work(batches):
         for batch in batches:
             for rows, texts in slices(batch, "text"):
-                out = [[], [], [], [], []]
+                out = [[], [], [], [], [], []]
                 for text in texts:
                     found = ngrams(text, width)
                     n, cells = len(found), sketch(found)
                     mark = xxhash.xxh3_128(found.tobytes()).digest()
                     keep = n
-                    if not complete:
-                        if len(known) and n:
-                            at = np.minimum(np.searchsorted(known, found), len(known) - 1)
-                            found = found[np.argsort(np.where(known[at] == found, place[at] + 1, 0), kind="stable")]
+                    if order is not None:
+                        found = found[np.argsort(order[counter(found)], kind="stable")]
                         if n > LARGEST_LIGHT:
                             keep = n - -(-part * n // whole) + 1
                     one, two = np.frombuffer(mark, "<i8").tolist()
-                    for column, value in zip(out, (n, one, two, found[:keep].astype(np.int64), cells)):
+                    fold = np.frombuffer(cells, np.uint8).reshape(FOLDS, -1).sum(axis=1, dtype=np.int16)
+                    for column, value in zip(out, (n, one, two, found[:keep].astype(np.int64), cells, fold)):
                         column.append(value)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("id").cast(pa.int64()), *map(pa.array, out[:3]), pa.array(out[3], pa.list_(pa.int64())),
-                     pa.array(out[4], pa.binary())],
-                    ["id", "n", "one", "two", "tokens", "sketch"])
+                     pa.array(out[4], pa.binary()), pa.array(out[5], pa.list_(pa.int16()))],
+                    ["id", "n", "one", "two", "tokens", "sketch", "fold"])
 
     return docs.select("id", "text").mapInArrow(work, SETS)
 
@@ -205,7 +234,7 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, par
     """The pairs (a, b) whose sets are similar, by their whole sets."""
     pairs = counted(possible(pairs, reps, part, whole), "pairs")
     members = counted(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "members")
-    whole_sets = stored(sets(docs.join(members, "id", "left_semi"), width, part, whole, np.zeros(0, np.uint64), complete=True)
+    whole_sets = stored(sets(docs.join(members, "id", "left_semi"), width, part, whole, None)
                         .select("id", "tokens"), "sets")
     left = whole_sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
     right = whole_sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
@@ -241,15 +270,18 @@ def heavy_links(docs: DataFrame, reps: DataFrame, postings: DataFrame, lists: Da
                           .select("rep", F.coalesce("component", "rep").alias("cluster")), "clusters")
     # What is left: pairs of different clusters, each listed. The smaller set of a similar pair has a common n-gram
     # even among its first n - need(n, n) + 1.
-    rows = shared.join(clusters, "rep").select("token", "rep", "n", "pos", "cluster")
+    rows = shared.join(clusters.join(reps.select("rep", "fold"), "rep"), "rep").select("token", "rep", "n", "pos", "cluster", "fold")
     small = rows.where(F.col("pos") <= F.col("n") - F.ceil(2.0 * part * F.col("n") / (whole + part)))
     a, b = small.alias("a"), rows.alias("b")
     order = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.rep") < F.col("b.rep")))
+    apart = F.aggregate(F.zip_with("a.fold", "b.fold", lambda x, y: F.abs(x - y).cast("long")), F.lit(0).cast("long"), lambda total, x: total + x)
     pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.cluster") != F.col("b.cluster")) & order
                    & (whole * F.col("a.n") >= part * F.col("b.n"))
                    # No more can be common than what stands from the first common n-gram on.
                    & (F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) * (whole + part)
-                      >= part * (F.col("a.n") + F.col("b.n"))))
+                      >= part * (F.col("a.n") + F.col("b.n")))
+                   # As for ``possible``, by the short form.
+                   & ((whole + part) * (F.col("a.n") + F.col("b.n") - apart) >= 2 * part * (F.col("a.n") + F.col("b.n"))))
     pairs = pairs.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
     return stored(verified(pairs, reps, docs, width, part, whole).union(links), "heavy-links")
 
@@ -257,11 +289,10 @@ def heavy_links(docs: DataFrame, reps: DataFrame, postings: DataFrame, lists: Da
 def similar(docs: DataFrame, width: int = 5, part: int = 80, whole: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``key``, ``n_shingles`` and ``component_id``; similar means part / whole or more."""
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    order = frequent_order(rows, width)
-    found = stored(sets(rows, width, part, whole, order), "sets")
+    found = stored(sets(rows, width, part, whole, levels(rows, width)), "sets")
     real = found.where("n > 0 AND id IS NOT NULL")
     reps = stored(real.groupBy("one", "two", "n").agg(F.min("id").alias("rep"), F.first("tokens").alias("tokens"),
-                                                          F.first("sketch").alias("sketch")), "representatives")
+                                                          F.first("sketch").alias("sketch"), F.first("fold").alias("fold")), "representatives")
     first = F.col("n") - F.ceil(1.0 * part * F.col("n") / whole) + 1
     postings = reps.select("rep", "n", F.posexplode(F.slice("tokens", F.lit(1), first.cast("int"))).alias("pos", "token"))
     lists = postings.groupBy("token").agg(F.count("*").alias("len"), F.max("n").alias("most")).where("len > 1")
