@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import io
+import shutil
 import zipfile
+from collections.abc import Iterator
 
 import pandas as pd
 from pyarrow import fs
@@ -245,6 +247,23 @@ def scan_auction_json(v: Views) -> DataFrame:
 
 # Members per archive in the queries below.
 MEMBERS = 500
+# Rows per archive inside that of a whole day.
+PACKED = 20_000
+
+
+def zipped(entries: list[tuple[str, bytes | str]]) -> bytes:
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as out:
+        for name, data in entries:
+            out.writestr(name, data)
+    return buffer.getvalue()
+
+
+def put(folder: str, name: str):
+    """A new file in a folder of any store, as a stream."""
+    system, base = fs.FileSystem.from_uri(folder if ":" in folder.split("/")[0] else f"file://{folder}")
+    system.create_dir(base, recursive=True)
+    return system.open_output_stream(f"{base}/{name}")
 
 
 def write_archives(docs: DataFrame, folder: str) -> DataFrame:
@@ -252,23 +271,14 @@ def write_archives(docs: DataFrame, folder: str) -> DataFrame:
 
     The second half of an archive's members sits in an archive of its own inside.
     """
-    def zipped(entries: list[tuple[str, bytes | str]]) -> bytes:
-        buffer = io.BytesIO()
-        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as out:
-            for name, data in entries:
-                out.writestr(name, data)
-        return buffer.getvalue()
-
     def write(group: pd.DataFrame) -> pd.DataFrame:
         day, part = group["scrape_date"].iloc[0], group["part"].iloc[0]
         entries = [(f"{i}/{p}.json", value) for i, (p, value) in enumerate(zip(group["product_id"], group["value"]))]
         half = len(entries) // 2
         whole = zipped([*entries[:half], ("more/rest.zip", zipped(entries[half:])), ("readme.txt", "x")])
-        system, base = fs.FileSystem.from_uri(folder if ":" in folder.split("/")[0] else f"file://{folder}")
-        system.create_dir(base, recursive=True)
         names = []
         for name, content in ((f"cards_{day}_{part}.zip", whole), (f"broken_{day}_{part}.zip", whole[:len(whole) // 2])):
-            with system.open_output_stream(f"{base}/{name}") as out:
+            with put(folder, name) as out:
                 out.write(content)
             names.append(f"{folder}/{name}")
         return pd.DataFrame({"path": names})
@@ -276,6 +286,32 @@ def write_archives(docs: DataFrame, folder: str) -> DataFrame:
     return docs.groupBy("scrape_date", "part").applyInPandas(write, "path string")
 
 
+def write_archive(docs: DataFrame, folder: str, name: str) -> None:
+    """Documents of any number into one ZIP archive, which holds an archive for each ``part``.
+
+    Parts are packed by all tasks. One task then copies them, a piece at a time, as an archive is one file.
+    """
+    parts = f"{folder}-parts"
+
+    def pack(group: pd.DataFrame) -> pd.DataFrame:
+        part = group["part"].iloc[0]
+        with put(parts, f"rest_{part}.zip") as out:
+            out.write(zipped([(f"{i}/{p}.json", value) for i, (p, value) in enumerate(zip(group["product_id"], group["value"]))]))
+        return pd.DataFrame({"path": [f"{parts}/rest_{part}.zip"]})
+
+    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with put(folder, name) as out, zipfile.ZipFile(out, "w") as archive:
+            archive.writestr("readme.txt", "x")
+            for batch in batches:
+                for path in batch["path"]:
+                    with archives.open_file(path) as part, archive.open(f"more/{path.rsplit('/', 1)[1]}", "w", force_zip64=True) as to:
+                        shutil.copyfileobj(part, to, 1 << 20)
+        yield pd.DataFrame({"path": [f"{folder}/{name}"]})
+
+    packed = docs.groupBy("part").applyInPandas(pack, "path string")
+    packed.repartition(1).mapInPandas(join, "path string").write.format("noop").mode("overwrite").save()
+
+
 def archived(v: Views) -> str:
     """A folder of archives with all price documents, by day and supplier."""
     folder = workspace(v.spark, "archives")
@@ -312,12 +348,13 @@ def broken_archives(v: Views) -> DataFrame:
 def latest_archive(v: Views) -> DataFrame:
     """Two archives, the newer one with the newer day: newest archive, members, rows."""
     folder = workspace(v.spark, "archives")
+    parts = -(-v.table("lineitem").count() // PACKED)
     for day in (DAY_BEFORE, DAY):
         docs = price_documents(v, of_day(v.prices, day)).groupBy("product_id", "scrape_date").agg(
-            F.lit(0).alias("part"), F.concat(F.lit('{"result": ['), F.array_join(F.collect_list(
+            F.concat(F.lit('{"result": ['), F.array_join(F.collect_list(
                 F.regexp_extract("value", r'"result":\[(.*)\]\}$', 1)), ","), F.lit("]}")).alias("value"))
-        write_archives(docs.select("scrape_date", "part", "product_id", "value"), f"{folder}/{day}") \
-            .write.format("noop").mode("overwrite").save()
+        part = F.pmod(F.xxhash64("product_id"), F.lit(parts)).alias("part")
+        write_archive(docs.select(part, "product_id", "value"), f"{folder}/{day}", f"cards_{day}_0.zip")
     rows, _ = archives.load_latest(v.spark, folder, "cards_*.zip")
     return rows.groupBy("scrape_date", "condition").agg(F.count("*").alias("n"))
 
