@@ -171,8 +171,8 @@ BUCKET_COLUMNS = ["product_id", "sku_id", "variant", "language", "condition", "s
                   "market_price", "quantity_sold", "low_sale_price", "transaction_count"]
 
 
-def price_documents(v: Views, prices: DataFrame | None = None) -> DataFrame:
-    """One price document per bucket; condition N comes without buckets."""
+def price_documents(v: Views, prices: DataFrame | None = None, *keep: str) -> DataFrame:
+    """One price document per bucket; condition N comes without buckets. ``keep`` names columns passed through."""
     prices = dealt(v.prices) if prices is None else prices
     bucket = F.struct(
         F.date_format("bucket_start_date", "yyyy-MM-dd").alias("bucketStartDate"),
@@ -187,7 +187,7 @@ def price_documents(v: Views, prices: DataFrame | None = None) -> DataFrame:
     )
     doc = F.to_json(F.struct(F.col("product_id").alias("productId"), F.array(result).alias("result")))
     return prices.select("product_id", "scrape_date",
-                         F.concat("product_id", F.lit(".json")).alias("source_file"), doc.alias("value"))
+                         F.concat("product_id", F.lit(".json")).alias("source_file"), doc.alias("value"), *keep)
 
 
 @query("flatten_price_json", with_views("prices") + BUCKETS_SQL)
@@ -200,8 +200,10 @@ def flatten_price_json(v: Views) -> DataFrame:
 def scan_price_json(v: Views) -> DataFrame:
     """Here a seller stands for a product: its documents share one folder, whose name carries the id."""
     path = workspace(v.spark, "price-json")
-    sku = F.get_json_object("value", "$.result[0].skuId").alias("seller")
-    price_documents(v).select(sku, "value").hint("rebalance", "seller").write.partitionBy("seller").text(path)
+    # Rows move and are sorted before they become texts, and each task commits its own folders: they are as many as sellers.
+    rows = v.prices.withColumn("seller", F.col("sku_id").cast("bigint")).hint("rebalance", "seller").sortWithinPartitions("seller")
+    price_documents(v, rows, "seller").select("seller", "value").write.partitionBy("seller") \
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
     ident = F.regexp_extract("path", r"seller=(\d+)/[^/]+$", 1)
     return files.scan_price_json(v.spark, path, F.lit(DAY), whole=False, glob="*.txt", product_id=ident) \
         .select(*BUCKET_COLUMNS)
