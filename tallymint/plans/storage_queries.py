@@ -220,11 +220,13 @@ def scan_daily_prices(v: Views) -> DataFrame:
     payload = F.when(F.col("l_linestatus") == "F", F.to_json(F.struct(entry.alias("results")))) \
         .otherwise(F.to_json(entry))
     parts = ["price_date", "category_id", "group_id"]
-    dealt(v.table("lineitem")).select(
+    # Rows move and are sorted before they become texts.
+    rows = v.table("lineitem").select(
         F.when(F.col("l_linestatus") == "F", F.lit(DAY_BEFORE)).otherwise(F.lit(DAY)).alias("price_date"),
         F.col("l_linenumber").alias("category_id"), case(F.col("l_returnflag"), {"A": 1, "N": 2, "R": 3}).alias("group_id"),
-        payload.alias("value"),
-    ).hint("rebalance", *parts).write.partitionBy(*parts).text(path)
+        "l_partkey", "l_returnflag", "l_linestatus", "l_extendedprice",
+    ).hint("rebalance", *parts).sortWithinPartitions(*parts)
+    rows.select(*parts, payload.alias("value")).write.partitionBy(*parts).text(path)
     loaded_at = F.lit(dt.datetime(2001, 12, 2)).cast("timestamp_ntz")
     return files.scan_daily_prices(v.spark, path, loaded_at, glob="*.txt", whole=False).select(
         "price_date", "product_id", "sub_type_name", "market_price", "category_id", "group_id")

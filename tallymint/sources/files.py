@@ -57,12 +57,15 @@ def scan_daily_prices(spark: SparkSession, path: str, loaded_at: Column, glob: s
                       whole: bool = True) -> DataFrame:
     """Price rows of a ``{date}/{category}/{group}/prices`` tree; other folders are ignored."""
     docs = read_documents(spark, path, glob, whole)
-    tail = F.substring_index("path", "/", -4)
-    parts = docs.select(
-        txt.extract(tail, DAILY_PATH, 1).try_cast("date").alias("price_date"),
-        txt.extract(tail, DAILY_PATH, 2).alias("category_id"),
-        txt.extract(tail, DAILY_PATH, 3).alias("group_id"),
-        "value",
+    # Unfolding an array of one keeps the optimiser from matching the path once for every use of it.
+    tail = F.split(F.regexp_extract(F.substring_index("path", "/", -4), DAILY_PATH, 0), "/")
+    found = docs.select("value", F.explode(F.array(tail)).alias("tail"))
+
+    def part(at: int) -> Column:
+        return F.substring_index(F.get("tail", F.lit(at)), "=", -1)
+
+    parts = found.select(
+        part(0).try_cast("date").alias("price_date"), part(1).alias("category_id"), part(2).alias("group_id"), "value",
     ).filter("price_date IS NOT NULL")
     return documents.daily_price_rows(parts, loaded_at)
 
