@@ -474,8 +474,9 @@ LANDED = """(SELECT * REPLACE (CASE WHEN condition <> 'N' THEN bucket_start_date
 def compact_days(v: Views) -> DataFrame:
     """Days loaded in many small batches and then compacted: the same rows in fewer files, also after a second run."""
     landing, out = workspace(v.spark, "landing"), workspace(v.spark, "ingest")
-    price_documents(v).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(4))).select("scrape_date", "part", "value") \
-        .hint("rebalance", "scrape_date", "part").write.partitionBy("scrape_date", "part").text(landing)
+    # Rows move before they become texts.
+    rows = v.prices.withColumn("part", F.pmod(F.xxhash64(*v.prices.columns), F.lit(4))).hint("rebalance", "scrape_date", "part")
+    price_documents(v, rows, "part").select("scrape_date", "part", "value").write.partitionBy("scrape_date", "part").text(landing)
     load_landed(v, landing, F.get_json_object("value", "$.productId"), out, files_per_batch=3)
     table = f"{out}/table"
     scattered = file_count(v, table)
