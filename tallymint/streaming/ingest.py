@@ -7,13 +7,12 @@ is run again after a failure leaves the same table.
 from __future__ import annotations
 
 import dataclasses
-import functools
 import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType
 
 from .. import schemas
 from ..functions.dates import date_from_name
@@ -192,9 +191,13 @@ def load_unique(stream: DataFrame, keys: list[str], order: str, table: str, chec
 
     def load(batch: DataFrame, batch_id: int) -> None:
         loaded = loaded_before(batch.sparkSession, table, batch, slot, batch_id)
-        fresh = dedup.keep_one(batch, keys, order, keep="earliest").withColumn("period", slot).alias("n")
-        same = functools.reduce(Column.__and__, (F.col(f"n.`{k}`").eqNullSafe(F.col(f"t.`{k}`")) for k in keys))
-        added = fresh.join(loaded.select(*keys).alias("t"), same, "left_anti")
+        # Loaded keys stand before the batch's rows, so one window tells which of these come first of all.
+        both = batch.withColumn("_order", F.struct(F.lit(True).alias("new"), F.col(order).alias("at"))).unionByName(
+            loaded.select(*keys, F.struct(F.lit(False).alias("new"), F.lit(None).cast(batch.schema[order].dataType).alias("at"))
+                          .alias("_order")), allowMissingColumns=True)
+        ties = [f.name for f in batch.schema.fields if f.name not in {*keys, order} and not isinstance(f.dataType, MapType)]
+        first = dedup.keep_one(both, keys, "_order", keep="earliest", tie_break=ties)
+        added = first.filter("_order.new").drop("_order").withColumn("period", slot)
         added.hint("rebalance", "period").write.partitionBy("period").mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
     return _finish(stream, load, checkpoint)
