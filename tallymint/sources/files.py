@@ -27,9 +27,10 @@ def relative_path(path: Column | str, base: str) -> Column:
     Spark gives paths of files in URI encoding, so they are decoded first; a plus sign stands for itself there.
     """
     p = F.col(path) if isinstance(path, str) else path
-    p = F.coalesce(F.try_url_decode(F.replace(p, F.lit("+"), F.lit("%2B"))), p)
+    decoded = F.coalesce(F.try_url_decode(F.replace(p, F.lit("+"), F.lit("%2B"))), p)
     marker = base.rstrip("/").split(":", 1)[-1].replace("//", "/") + "/"
-    return F.when(F.contains(p, F.lit(marker)), F.substring_index(p, marker, -1)).otherwise(p)
+    # Without a percent sign there is nothing to decode; without the marker the path comes back whole.
+    return F.substring_index(F.when(F.contains(p, F.lit("%")), decoded).otherwise(p), marker, -1)
 
 
 def scan_price_documents(spark: SparkSession, path: str, scrape_date: Column, whole: bool = True,

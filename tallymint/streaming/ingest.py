@@ -63,16 +63,13 @@ def price_documents(stream: DataFrame, landing: str, product_id: Column | None =
     The date is that in the name of the file's folder, else the day on which the file was last changed. File names
     don't count, as a product id can look like a date.
     """
-    # Unfolding an array of one keeps the optimiser from decoding the path once for every use of it.
-    named = stream.select("*", F.explode(F.array(relative_path("path", landing))).alias("source_file"))
+    # Unfolding an array of one keeps the optimiser from decoding the path, or reading the id, once for every use of it.
+    ident = product_id_from_file("path") if product_id is None else product_id
+    named = stream.select("value", "modified", F.inline(F.array(F.struct(
+        ident.alias("product_id"), relative_path("path", landing).alias("source_file")))))
     folder = F.regexp_extract("source_file", "^(.*)/", 1)
-    dated = named.select("*", F.explode(F.array(folder)).alias("folder"))
-    return dated.select(
-        (product_id_from_file("path") if product_id is None else product_id).alias("product_id"),
-        date_from_name("folder", F.col("modified")).alias("scrape_date"),
-        "source_file",
-        "value",
-    ).filter("product_id IS NOT NULL")
+    return named.filter("product_id IS NOT NULL").select(
+        "product_id", date_from_name(folder, F.col("modified")).alias("scrape_date"), "source_file", "value")
 
 
 #: What the manifest tells of a file, in the rows that stand for files.
