@@ -179,6 +179,39 @@ def test_partial_copies_hide_no_passage(spark, table):
     assert rows == {(i, 20, 20 + n, i - 1, 20, 20 + n, 1.0) for i, n in ((2, 90), (6, 90), (19, 60))}
 
 
+def edited_words(rng, words, edits):
+    words = words.copy()
+    for at in rng.choice(np.arange(8, len(words) - 8), edits, replace=False).tolist():
+        words[at] = f"edit{rng.integers(0, 10**9)}"
+    return words
+
+
+def test_partial_copies_hide_no_passage_with_edits(spark, table):
+    # The seeds of two texts have several smaller ids, each with a part of the passage only.
+    rng = np.random.default_rng(15)
+    parts, want = [], set()
+    for n, cuts in ((90, 2), (96, 3), (75, 2)) * 4:
+        words = random_words(rng, n)
+        size = n // cuts
+        parts += [words[k * size:(k + 1) * size] for k in range(cuts)]
+        parts += [edited_words(rng, words, 3), edited_words(rng, words, 3)]
+        want.add((len(parts) - 1, len(parts) - 2))
+    rows = passages.passages(table([" ".join(random_words(rng, 20) + w + random_words(rng, 20)) for w in parts])).collect()
+    assert len(want & {(r.doc_id, r.other_doc_id) for r in rows}) >= 0.9 * len(want)
+
+
+def test_seeds_and_windows_of_many_texts_equal_those_of_one():
+    rng = np.random.default_rng(16)
+    codes = [rng.integers(0, words, n).astype(np.uint64) for words in (2, 5, 10**6) for n in (0, 3, 5, 6, 9, 13, 14, 60)]
+    text, at, found = passages.all_seeds(codes)
+    for k, one in enumerate(codes):
+        places, hashes = passages.seeds(one)
+        assert at[text == k].tolist() == places.tolist() and found[text == k].tolist() == hashes.tolist()
+        windows = [tuple(one[i:i + 5].tolist()) for i in range(max(0, len(one) - 4))]
+        keys = passages.window_hashes(one, 5).tolist()
+        assert len(keys) == len(windows) and len(set(zip(keys, windows))) == len(set(keys)) == len(set(windows))
+
+
 def test_exact_passages_equal_a_plain_version(spark, table):
     rng = np.random.default_rng(14)
     pool = random_words(rng, 300) + ["again"] * 70 + random_words(rng, 100)
