@@ -23,7 +23,7 @@ import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import documents, slices, text_of
+from .common import documents, memory_returned, slices, text_of
 from .registry import query
 from .tokens import CACHE_CHUNKS, text_encoder
 
@@ -178,6 +178,8 @@ def pack(docs: DataFrame, tokenizer: str, end: int, tiers: tuple[int, ...] = TIE
                     held = {at: held[at] for _, at, _ in packer.free}
         if row:
             yield from rows(full + packer.pack(True))
+        held.clear()
+        memory_returned()
 
     return docs.select(key, text).mapInArrow(work, schema)
 

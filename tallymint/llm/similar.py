@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import documents, slices, stored
+from .common import documents, memory_returned, removed, slices, stored, stored_at
 from .components import components
 from .registry import query
 
@@ -108,6 +108,8 @@ def levels(docs: DataFrame, width: int) -> np.ndarray:
             if block.any():
                 yield pa.RecordBatch.from_arrays([pa.array([start // BLOCK]), pa.array([pa.compress(block.tobytes(), "zstd", asbytes=True)])],
                                                  ["block", "counts"])
+        del seen
+        memory_returned()
 
     def add(batches):
         total = {}
@@ -152,6 +154,7 @@ def sets(docs: DataFrame, width: int, part: int, whole: int, order: np.ndarray |
                     [rows.column("id").cast(pa.int64()), *map(pa.array, out[:3]), pa.array(out[3], pa.list_(pa.int64())),
                      pa.array(out[4], pa.binary()), pa.array(out[5], pa.list_(pa.int16()))],
                     ["id", "n", "one", "two", "tokens", "sketch", "fold"])
+        memory_returned()
 
     return docs.select("id", "text").mapInArrow(work, SETS)
 
@@ -234,8 +237,8 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, par
     """The pairs (a, b) whose sets are similar, by their whole sets."""
     pairs = counted(possible(pairs, reps, part, whole), "pairs")
     members = counted(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "members")
-    whole_sets = stored(sets(docs.join(members, "id", "left_semi"), width, part, whole, None)
-                        .select("id", "tokens"), "sets")
+    whole_sets, path = stored_at(sets(docs.join(members, "id", "left_semi"), width, part, whole, None)
+                                 .select("id", "tokens"), "sets")
     left = whole_sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
     right = whole_sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
     # Only sets that stand on a pair's side move.
@@ -243,7 +246,9 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, par
     found = left.join(pairs, "a").join(right, "b")
     both = F.size(F.array_intersect("x", "y"))
     found = found.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), both.alias("both"))
-    return found.where(whole * F.col("both") >= part * (F.col("nx") + F.col("ny") - F.col("both"))).select("a", "b").distinct()
+    found = stored(found.where(whole * F.col("both") >= part * (F.col("nx") + F.col("ny") - F.col("both"))).select("a", "b").distinct(), "verified")
+    removed(docs.sparkSession, path)
+    return found
 
 
 def heavy_links(docs: DataFrame, reps: DataFrame, postings: DataFrame, lists: DataFrame, light: int, width: int, part: int,
@@ -251,10 +256,11 @@ def heavy_links(docs: DataFrame, reps: DataFrame, postings: DataFrame, lists: Da
     """Links with at least one set larger than ``light``, by scanning inverted lists."""
     alike = lambda a, b: whole * F.least(a, b) >= part * F.greatest(a, b)
     # Lists without a large set are left to subsets.
-    shared = stored(postings.join(lists.where(F.col("most") > light).select("token", "len"), "token"), "postings")
+    shared, path = stored_at(postings.join(lists.where(F.col("most") > light).select("token", "len"), "token"), "postings")
     # How much of a set's lists is shared tells how central it is in its group of near copies.
     score = shared.groupBy("rep").agg(F.sum("len").alias("score"))
     shared = stored(shared.drop("len").join(score, "rep"), "postings")
+    removed(docs.sparkSession, path)
     clusters = shared.select("rep", F.col("rep").alias("cluster")).distinct()
     links = None
     for _ in range(ROUNDS):
@@ -289,10 +295,14 @@ def heavy_links(docs: DataFrame, reps: DataFrame, postings: DataFrame, lists: Da
 def similar(docs: DataFrame, width: int = 5, part: int = 80, whole: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``key``, ``n_shingles`` and ``component_id``; similar means part / whole or more."""
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    found = stored(sets(rows, width, part, whole, levels(rows, width)), "sets")
+    found, path = stored_at(sets(rows, width, part, whole, levels(rows, width)), "sets")
     real = found.where("n > 0 AND id IS NOT NULL")
     reps = stored(real.groupBy("one", "two", "n").agg(F.min("id").alias("rep"), F.first("tokens").alias("tokens"),
                                                           F.first("sketch").alias("sketch"), F.first("fold").alias("fold")), "representatives")
+    # From here on documents need their sizes and fingerprints only.
+    found = stored(found.select("id", "n", "one", "two"), "sizes")
+    real = found.where("n > 0 AND id IS NOT NULL")
+    removed(docs.sparkSession, path)
     first = F.col("n") - F.ceil(1.0 * part * F.col("n") / whole) + 1
     postings = reps.select("rep", "n", F.posexplode(F.slice("tokens", F.lit(1), first.cast("int"))).alias("pos", "token"))
     lists = postings.groupBy("token").agg(F.count("*").alias("len"), F.max("n").alias("most")).where("len > 1")

@@ -18,6 +18,11 @@ from .common import WordIds, kept
 #: The characters with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
 CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+#: Which code points are white, up to the last that is; others are not.
+IS_WHITE = np.zeros(0x3002, bool)
+IS_WHITE[[ord(c) for c in map(chr, range(0x3001)) if re.fullmatch(f"[{WHITE}]", c)]] = True
+#: Characters whose chunks are hashed in one pass, about.
+PASS_CHARS = 60_000
 #: Chunks that a worker remembers before it starts again; about 150 bytes each.
 CACHE_CHUNKS = 1_200_000
 #: New chunks that go to the library in one string.
@@ -28,6 +33,49 @@ BAR = " |"
 APART = re.compile(f"(?:[\t-\r ][{WHITE}]*|[A-Za-z])[^{WHITE}]*[^{WHITE}|]")
 
 
+def numbers() -> tuple[np.ndarray, np.ndarray]:
+    """A number for each code point, and an odd one for each place in a chunk (places beyond start again)."""
+    value = np.arange(0x110000, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        value = (value ^ (value >> np.uint64(shift))) * np.uint64(factor)
+    value ^= value >> np.uint64(31)
+    return value, value[:4096] | np.uint64(1)
+
+
+def split(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray] | None:
+    """The distinct chunks of the texts, which of them stand in the texts, in a row, and how many each text has.
+
+    Chunks are told apart by a hash, and each is then compared with the first of its hash; None if one differs.
+    """
+    whole = "".join(texts)
+    points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), "<u4")
+    bounds = np.cumsum([0, *map(len, texts)])
+    if not len(points):
+        return [], np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+    white = IS_WHITE[np.minimum(points, len(IS_WHITE) - 1)]
+    begins = white.copy()
+    begins[1:] &= ~white[:-1]
+    begins[bounds[:-1][bounds[:-1] < len(points)]] = True
+    start = np.flatnonzero(begins)
+    size = np.diff(start, append=len(points))
+    cuts = np.unique(np.append(np.searchsorted(start, np.arange(0, len(points), PASS_CHARS)), len(start))).tolist()
+    cuts = [(i, j, int(start[i]), int(start[j - 1] + size[j - 1])) for i, j in zip(cuts[:-1], cuts[1:])]
+    value, weight = kept("chunk numbers", numbers)
+    found = size.astype(np.uint64)
+    for i, j, lo, hi in cuts:
+        place = np.arange(lo, hi) - np.repeat(start[i:j], size[i:j])
+        found[i:j] += np.add.reduceat(value[points[lo:hi]] * weight[place & (len(weight) - 1)], start[i:j] - lo)
+    _, first, which = np.unique(found, return_index=True, return_inverse=True)
+    if (size[first][which] != size).any():
+        return None
+    away = start[first][which] - start
+    for i, j, lo, hi in cuts:
+        if (points[lo:hi] != points[np.arange(lo, hi) + np.repeat(away[i:j], size[i:j])]).any():
+            return None
+    chunks = [whole[a:b] for a, b in zip(start[first].tolist(), (start + size)[first].tolist())]
+    return chunks, which.astype(np.int32), np.diff(np.searchsorted(start, bounds))
+
+
 def text_encoder(path: str, end: int | None = None, limit: int = CACHE_CHUNKS) -> "TextEncoder":
     """The worker's encoder for a tokenizer file, which remembers ``limit`` chunks."""
     return kept(f"tokens:{path}:{end}:{limit}", lambda: TextEncoder(path, end, limit))
@@ -75,4 +123,7 @@ class TextEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the texts, and the bounds of each text in them."""
-        return self.words.flat([CHUNK.findall(t) for t in texts], self.end)
+        found = split(texts)
+        if found is None:
+            return self.words.flat([CHUNK.findall(t) for t in texts], self.end)
+        return self.words.numbered(*found, self.end)

@@ -13,7 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallymint.llm import divergence, idfiles, packing, personal, pieces, quality
+from tallymint.llm import divergence, idfiles, packing, personal, pieces, quality, tokens
 from tallymint.llm.tokens import TextEncoder
 
 TEXTS = [
@@ -300,3 +300,14 @@ def test_digest_columns(spark, tmp_path, table):
     table(TEXTS).write.parquet(str(tmp_path / "documents.parquet"))
     row = next(r for r in pieces.op1_sentencepiece(spark, str(tmp_path)).collect() if r.doc_id == 0)
     assert (row.n_tokens, row.ids_sha256, row.decoded_sha256) == (1, hashlib.sha256(b"2").hexdigest(), hashlib.sha256(b"").hexdigest())
+
+
+def test_chunks_of_many_texts_equal_the_pattern(monkeypatch):
+    monkeypatch.setattr(tokens, "PASS_CHARS", 20)
+    rng = np.random.default_rng(17)
+    letters = [*" \t\n\x1c\x85  　​abcé漢😀\x00"]
+    texts = ["".join(rng.choice(letters, n)) for n in (0, 1, 1, 2, 3, 40, 0, 200, 5)] + ["", "a " * 10, " a" * 10]
+    chunks, which, size = tokens.split(texts)
+    assert len(set(chunks)) == len(chunks)
+    assert [chunks[i] for i in which.tolist()] == [c for t in texts for c in tokens.CHUNK.findall(t)]
+    assert size.tolist() == [len(tokens.CHUNK.findall(t)) for t in texts]
