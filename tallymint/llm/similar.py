@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import documents, memory_returned, removed, slices, stored, stored_at
+from .common import counted, documents, memory_returned, removed, slices, stored, stored_at
 from .components import components
 from .registry import query
 
@@ -43,8 +43,6 @@ ADDERS = 32
 ROUNDS = 2
 #: No boundary lies beyond this size; subsets of larger sets cost too much anyway.
 LARGEST_LIGHT = 32
-#: Rows of two or three numbers that may be broadcast, after they have been counted; more are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
 #: Cells of a sketch (a power of two), a byte each. It decides cost only.
 CELLS = 128
 #: Cells of its short form, by which pairs of a list are compared before they are written.
@@ -159,12 +157,6 @@ def sets(docs: DataFrame, width: int, part: int, whole: int, order: np.ndarray |
     return docs.select("id", "text").mapInArrow(work, SETS)
 
 
-def counted(df: DataFrame, name: str) -> DataFrame:
-    """Rows of a few numbers, written; they are broadcast in joins if their count allows it."""
-    rows = stored(df, name)
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-
-
 def boundary(reps: DataFrame, lists: DataFrame, part: int, whole: int) -> int:
     """The largest light size: subsets up to it cost less than scanning the lists of those sets.
 
@@ -324,7 +316,7 @@ def similar(docs: DataFrame, width: int = 5, part: int = 80, whole: int = 100, k
 def drop_similar(docs: DataFrame, width: int = 5, part: int = 80, whole: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without those of which a similar one with a smaller id stays; all columns as they were."""
     gone = similar(docs, width, part, whole, key, text).where(F.col("component_id") < F.col(key)).select(F.col(key).alias("gone")).distinct()
-    gone = stored(gone, "similar")
+    gone = counted(gone, "similar")
     return docs.join(gone, docs[f"`{key}`"] == gone["gone"], "left_anti")
 
 

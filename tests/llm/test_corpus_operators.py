@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import re
 import tempfile
 from collections import Counter, defaultdict
@@ -200,6 +201,48 @@ def test_partial_copies_hide_no_passage_with_edits(spark, table):
     assert len(want & {(r.doc_id, r.other_doc_id) for r in rows}) >= 0.9 * len(want)
 
 
+def test_few_spans_do_not_move_texts(spark, table, monkeypatch):
+    rng, plans = np.random.default_rng(11), []
+    shared = random_words(rng, 80)
+    texts = [" ".join(random_words(rng, 30) + shared + random_words(rng, 30)) for _ in range(4)]
+    settled = passages.settled
+    monkeypatch.setattr(passages, "settled", lambda pairs, least: plans.append(pairs._jdf.queryExecution().optimizedPlan().toString()) or settled(pairs, least))
+    assert {(r.doc_id, r.end - r.start) for r in passages.passages(table(texts)).collect()} == {(k, 80) for k in range(1, 4)}
+    # Spans are broadcast to the texts, whatever the planner's own limit; both sides of a chain are cut by one scan.
+    assert plans and all("rightHint=(strategy=broadcast)" in p and p.count("MapInArrow") == 1 for p in plans)
+
+
+def test_chains_seen_without_a_search_equal_those_found():
+    rng, seen = random.Random(12), 0
+    for _ in range(400):
+        at = np.cumsum([rng.choice([1, 3, 5, 6, 9, 20, 40, 70]) for _ in range(rng.randrange(2, 8))])
+        other = at + 5 + (np.array([rng.choice([0, 0, 0, 1]) for _ in at]) if rng.random() < 0.3 else 0)
+        whole = passages.unbroken(np.tile(at, 2), np.tile(other, 2), np.array([0, len(at)]))
+        assert whole[0] == whole[1]
+        if whole[0]:
+            seen += 1
+            assert [*map(list, passages.chains(at.tolist(), other.tolist()))] == [[*range(len(at))]]
+    assert seen > 50
+
+
+def test_long_extensions_equal_a_walk_word_by_word():
+    rng = random.Random(13)
+    for _ in range(300):
+        x, y = (np.array([rng.randrange(3) if rng.random() < 0.1 else 7 for _ in range(rng.randrange(200))], np.uint64) for _ in "xy")
+        best = score = at = 0
+        fell = False
+        for k, (p, q) in enumerate(zip(x, y), 1):
+            score += 1 if p == q else -passages.DIFFERS
+            if score > best:
+                best, at = score, k
+            elif score < best - passages.DROP:
+                fell = True
+                break
+        assert passages.extension(x, y, False, False) == at
+        assert passages.extension(x, y, True, True) == (at if fell else None)
+        assert passages.equal_words(x, y) == passages.common_words(x.tolist(), y.tolist())
+
+
 def test_seeds_and_windows_of_many_texts_equal_those_of_one():
     rng = np.random.default_rng(16)
     codes = [rng.integers(0, words, n).astype(np.uint64) for words in (2, 5, 10**6) for n in (0, 3, 5, 6, 9, 13, 14, 60)]
