@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import documents, stored, text_of
+from .common import counted, documents, stored, text_of
 from .registry import query
 
 #: Rows for each quotient, about: the number of quotients follows the number of rows.
@@ -119,7 +119,11 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """The documents without those of which a copy stays; all columns as they were."""
     columns = docs.columns
     classes = copy_classes(docs, key, text)
-    marked = docs.withColumns({"_fingerprint": F.xxhash64(text_of(text)), "_digest": F.sha2(text_of(text), 256)})
+    marked = docs.withColumn("_fingerprint", F.xxhash64(text_of(text)))
+    # All other texts stay, and stay where they are while the fingerprints of copies are few.
+    copied = counted(classes.select(F.col("fingerprint").alias("_copied")).distinct(), "copied")
+    alone = marked.join(copied, F.col("_fingerprint") == F.col("_copied"), "left_anti")
+    marked = marked.join(copied, F.col("_fingerprint") == F.col("_copied"), "left_semi").withColumn("_digest", F.sha2(text_of(text), 256))
     named = classes.select(F.col("fingerprint").alias("_fingerprint"), F.col("text_sha256").alias("_digest"),
                            F.col("keep_id").alias("_keep"))
     # Rows that a copy replaces, and ids that stay but occur in several rows; few columns move, no text.
@@ -134,7 +138,7 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     several = fates.where(stays & (F.col("_rows") > 1))
     one = (marked.alias("d").join(several.alias("f"), same, "left_semi")
            .dropDuplicates([key, "_fingerprint", "_digest"]))
-    return kept.select(*columns).unionByName(one.select(*columns))
+    return alone.select(*columns).unionByName(kept.select(*columns)).unionByName(one.select(*columns))
 
 
 @query("op4_exact_dedup", """

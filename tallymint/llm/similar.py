@@ -29,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import common
 from .common import counted, documents, memory_returned, removed, slices, stored, stored_at
 from .components import components
 from .registry import query
@@ -43,6 +44,8 @@ ADDERS = 32
 ROUNDS = 2
 #: No boundary lies beyond this size; subsets of larger sets cost too much anyway.
 LARGEST_LIGHT = 32
+#: Marks of listed n-grams, 2 to this power at most (32 MB), else about 16 for each list. It decides cost only.
+MARK_BITS = 28
 #: Cells of a sketch (a power of two), a byte each. It decides cost only.
 CELLS = 128
 #: Cells of its short form, by which pairs of a list are compared before they are written.
@@ -176,6 +179,28 @@ def boundary(reps: DataFrame, lists: DataFrame, part: int, whole: int) -> int:
     return best
 
 
+def with_partners(postings: DataFrame, lists: DataFrame, size: int) -> DataFrame:
+    """The postings whose n-gram is marked in a bitmap of the ``lists``, and a few others that share a mark.
+
+    Most n-grams are in no list; what is left out here doesn't move to the join with the lists, which stays exact.
+    """
+    bits = min(MARK_BITS, max(16, (16 * size).bit_length()))
+    place = F.shiftrightunsigned("token", 64 - bits) + 1
+    rows = lists.select(F.bitmap_bucket_number(place).alias("block"), F.bitmap_bit_position(place).alias("bit"))
+    found = rows.repartition("block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    marks = np.zeros((1 << bits) >> 3, np.uint8)
+    for row in found:
+        block = np.frombuffer(row["bits"], np.uint8)
+        marks[(row["block"] - 1) * len(block):row["block"] * len(block)] = block
+
+    def work(batches):
+        for batch in batches:
+            at = (batch.column("token").to_numpy().astype(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+            yield batch.filter(pa.array((marks[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+
+    return postings.mapInArrow(work, postings.schema)
+
+
 def light_links(reps: DataFrame, most: int, part: int, whole: int) -> DataFrame:
     """Links of sets of at most ``most`` n-grams, by equal subsets.
 
@@ -298,10 +323,15 @@ def similar(docs: DataFrame, width: int = 5, part: int = 80, whole: int = 100, k
     first = F.col("n") - F.ceil(1.0 * part * F.col("n") / whole) + 1
     postings = reps.select("rep", "n", F.posexplode(F.slice("tokens", F.lit(1), first.cast("int"))).alias("pos", "token"))
     lists = postings.groupBy("token").agg(F.count("*").alias("len"), F.max("n").alias("most")).where("len > 1")
-    lists = counted(lists, "lists")
+    lists = stored(lists, "lists")
+    size = lists.count()
     light = boundary(reps, lists, part, whole)
     # Small sets are in the lists too as far as a large set can be similar to them.
     postings = postings.where(F.col("n") >= -(-part * (light + 1) // whole))
+    if size <= common.BROADCAST_ROWS:
+        lists = F.broadcast(lists)
+    else:
+        postings = with_partners(postings, lists, size)
     links = light_links(reps, light, part, whole).union(heavy_links(rows, reps, postings, lists, light, width, part, whole))
     joined = components(links)
     member = real.select("id", "one", "two").distinct().join(reps.select("one", "two", "rep"), ["one", "two"])

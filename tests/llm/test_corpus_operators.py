@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallymint.session import workspace
-from tallymint.llm import components, passages, quotient, similar, warc
+from tallymint.llm import common, components, passages, quotient, similar, warc
 
 
 def test_copies(spark, table):
@@ -30,6 +30,30 @@ def test_copies(spark, table):
     assert quotient.exact_copies(table([])).count() == quotient.drop_copies(table([])).count() == 0
 
 
+def test_texts_without_copies_do_not_move(spark, table):
+    docs = table([f"text {k}" for k in range(40)] + ["copy"] * 3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = quotient.drop_copies(docs)
+        plan = left._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(r.doc_id for r in left.collect()) == [*range(40), 42]
+    assert any("Join LeftAnti" in line and "rightHint=(strategy=broadcast)" in line for line in plan.splitlines())
+
+
+def test_postings_without_a_list_do_not_move(spark, table, monkeypatch):
+    rng = np.random.default_rng(14)
+    texts = [" ".join(random_words(rng, 60)) for _ in range(30)]
+    texts += [" ".join(t.split()[:-2] + ["other", "end"]) for t in texts[:10]]
+    plain, sizes = sorted(similar.similar(table(texts)).collect()), []
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    filtered = similar.with_partners
+    monkeypatch.setattr(similar, "with_partners", lambda postings, *rest: sizes.append((postings.count(), filtered(postings, *rest).count())) or filtered(postings, *rest))
+    assert sorted(similar.similar(table(texts)).collect()) == plain
+    assert [r.component_id for r in plain[30:]] == [*range(10)] and sizes and all(few < many / 2 for many, few in sizes)
+
+
 def test_filters_merge_without_loss(spark):
     values = np.random.default_rng(2).integers(-2**63, 2**63, 3000).tolist()
     values += values[:400] + [values[0]] * 5000 + [-1, -1, 0, 0]
