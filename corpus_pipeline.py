@@ -10,11 +10,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallymint.llm import packing, personal, quality, quotient, similar
+from tallymint.llm.common import small_batches
 from tallymint.session import workspace
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that the classifier predicts good."""
+    """Documents that the classifier predicts good.
+
+    From this first stage on texts go to Python workers in small batches, since an executor never gets smaller again.
+    """
+    small_batches(spark)
     model = quality.train(docs, spark.read.parquet(f"{folder}/labels.parquet"))
     return quality.score(docs, model).where("predicted = 1").select(*docs.columns)
 

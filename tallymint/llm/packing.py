@@ -23,7 +23,7 @@ import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import documents, memory_returned, slices, text_of
+from .common import documents, memory_returned, slices, small_batches, text_of
 from .registry import query
 from .tokens import CACHE_CHUNKS, text_encoder
 
@@ -31,6 +31,8 @@ from .tokens import CACHE_CHUNKS, text_encoder
 TIERS = (2048, 1024, 512, 256)
 #: Tokens that wait for packing in one batch of a task.
 BATCH_TOKENS = 4_000_000
+#: Pieces of a batch that a task gives back, 4 MB of ids at most.
+BATCH_PIECES = 500
 #: Tokens of a step group.
 GROUP_TOKENS = 16 * 2048
 #: Lower bits of a sequence or group number, counted within a partition.
@@ -124,6 +126,7 @@ def pack(docs: DataFrame, tokenizer: str, end: int, tiers: tuple[int, ...] = TIE
     ``ids`` holds little-endian unsigned 32-bit integers. A worker remembers the ids of so many words, at about 150 bytes
     each; fewer make it slower, but give the same ids.
     """
+    small_batches(docs.sparkSession)
     schema = T.StructType([docs.schema[key]] + T._parse_datatype_string(SCHEMA).fields)
     names = schema.names
 
@@ -148,7 +151,7 @@ def pack(docs: DataFrame, tokenizer: str, end: int, tiers: tuple[int, ...] = TIE
                     for column, value in zip(out, values):
                         column.append(value)
                     offset += length
-                    if len(out[0]) >= 4000:
+                    if len(out[0]) >= BATCH_PIECES:
                         yield table(out)
                         out = [[] for _ in names]
                 counter += 1
