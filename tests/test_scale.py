@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import io
 import zipfile
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tallymint.functions import cleaning
 from tallymint.plans import storage_queries
-from tallymint.session import configure
+from tallymint.plans.views import Views
+from tallymint.session import SHUFFLES_REMOVED, configure
 from tallymint.sources import archives, files
 from tallymint.streaming import ingest
 
@@ -53,6 +56,43 @@ def test_a_large_archive_is_packed_in_parts(spark, rows, tmp_path):
     assert not [r.error for r in found if r.error]
 
 
+def test_archives_lie_on_disk_a_round_at_a_time(spark, rows, tmp_path, monkeypatch):
+    """Every row comes back, no more archives than those of a round are there at once, and none, nor a shuffle, is left."""
+    monkeypatch.setattr(storage_queries, "ROUND", 40)
+    monkeypatch.setattr(storage_queries, "MEMBERS", 10)
+    lines = [(i % 9, i, "FO"[i % 2], "ANR"[i % 3], dt.date(2001, 1, 1), i + 0.5, 5.0, 0.0, 0.0, 1) for i in range(100)]
+    rows(lines, "l_partkey long, l_suppkey long, l_linestatus string, l_returnflag string, l_shipdate date, l_extendedprice double, "
+         "l_quantity double, l_discount double, l_tax double, l_linenumber int").coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    seen, there, read = [], [], archives.read_archives
+
+    def noted(session, path, *glob):
+        seen.append(path)
+        there.append([sum(n.endswith(".json") for n in zipfile.ZipFile(f).namelist()) * 2
+                      for folder in seen for f in Path(folder).glob("cards_*.zip")])
+        return read(session, path, *glob)
+
+    monkeypatch.setattr(archives, "read_archives", noted)
+    for name in ("scan_zip_members", "broken_archives"):
+        seen.clear(), there.clear()
+        found = getattr(storage_queries, name)(Views(configure(spark), str(tmp_path))).collect()
+        if name == "scan_zip_members":
+            assert sorted(int(r.sku_id) for r in found) == list(range(100))
+        else:
+            assert sorted((r.one_row_each, r.with_error) for r in found) == [(True, True)] * 2
+        assert len(seen) == 3 and all(sum(sizes) <= 44 for sizes in there)  # members outside inner archives are half of all
+        assert not any(Path(folder).exists() for folder in seen)
+    assert spark.conf.get(SHUFFLES_REMOVED) == "false"
+
+
+def test_small_archives_are_as_zipfile_reads_them():
+    entries = [("a/é.json", "ü" * 99), ("b.json", b""), ("more/c.zip", storage_queries.zipped([("d", "e")])), ("f.txt", bytes(5000))]
+    for some in (entries, [], [(f"{i}", "") for i in range(70_000)]):
+        with zipfile.ZipFile(io.BytesIO(storage_queries.zipped(some))) as z:
+            assert z.testzip() is None
+            assert [(n, z.read(n)) for n in z.namelist()[:9]] == [(n, d.encode() if isinstance(d, str) else d) for n, d in some[:9]]
+            assert len(z.namelist()) == len(some)
+
+
 def test_wide_stages_are_compiled(spark):
     assert int(configure(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
 
