@@ -422,16 +422,20 @@ def write_report(v: Views) -> DataFrame:
 
 # --- streaming ---------------------------------------------------------------------------------
 
-def landed(v: Views, name: str, prices: DataFrame | None = None) -> tuple[str, Column]:
+# Documents of a compressed file that is read whole by one task, about.
+PIECE = 250_000
+
+
+def landed(v: Views, name: str, prices: DataFrame | None = None, compression: str = "none") -> tuple[str, Column]:
     """A landing folder with one sub-folder of documents per scrape date."""
     landing = workspace(v.spark, name)
-    prices = (v.prices if prices is None else prices).hint("rebalance", "scrape_date")
-    price_documents(v, prices).select("scrape_date", "value").write.partitionBy("scrape_date").text(landing)
+    prices = v.prices.hint("rebalance", "scrape_date") if prices is None else prices
+    price_documents(v, prices).select("scrape_date", "value").write.partitionBy("scrape_date").text(landing, compression=compression)
     return landing, F.get_json_object("value", "$.productId")
 
 
 def load_landed(v: Views, landing: str, ident: Column, out: str, **how) -> None:
-    ingest.ingest_prices(v.spark, landing, f"{out}/table", f"{out}/checkpoint", product_id=ident, glob="*.txt",
+    ingest.ingest_prices(v.spark, landing, f"{out}/table", f"{out}/checkpoint", product_id=ident, glob=how.pop("glob", "*.txt"),
                          whole=False, files_per_batch=how.pop("files_per_batch", 100_000), **how)
 
 
@@ -492,14 +496,21 @@ def ingest_rejects(v: Views) -> DataFrame:
     UNION ALL SELECT scrape_date, 'manifest', COUNT(*), NULL, NULL, NULL, NULL FROM prices
     WHERE scrape_date = DATE '2001-12-02' GROUP BY scrape_date""")
 def ingest_replace(v: Views) -> DataFrame:
-    """All days are appended; then other documents of one day replace them, rows and manifest."""
-    landing, ident = landed(v, "landing")
-    out = workspace(v.spark, "ingest")
-    load_landed(v, landing, ident, out)
-    again = of_day(v.prices, DAY).withColumn("quantity_sold", F.col("quantity_sold") + 1)
-    other, ident = landed(v, "landing", again)
-    load_landed(v, other, ident, out, mode="replace", files_per_batch=2)
-    load_landed(v, other, ident, out)  # finds nothing new
+    """All days are appended; then other documents of one day replace them, rows and manifest.
+
+    Documents land compressed, and go once they are loaded: as plain text they take many times the room of the table.
+    """
+    out, glob = workspace(v.spark, "ingest"), "*.txt.gz"
+    with shuffles_removed(v.spark):
+        pieces = -(-v.table("lineitem").count() // PIECE) or 1
+        landing, ident = landed(v, "landing", v.prices.repartition(pieces), "gzip")
+        load_landed(v, landing, ident, out, glob=glob)
+        removed(v.spark, landing)
+        again = of_day(v.prices, DAY).withColumn("quantity_sold", F.col("quantity_sold") + 1)
+        other, ident = landed(v, "landing", again.hint("rebalance", "scrape_date"), "gzip")
+        load_landed(v, other, ident, out, mode="replace", files_per_batch=2, glob=glob, spread=True)
+        load_landed(v, other, ident, out, glob=glob)  # finds nothing new
+        removed(v.spark, other)
     rows = facts(ingest.read_prices(v.spark, f"{out}/table").filter("bucket_start_date IS NOT NULL"))
     listed = ingest.manifest(v.spark, f"{out}/table").groupBy("scrape_date").agg(F.sum("record_count").alias("n")) \
         .withColumn("condition", F.lit("manifest"))

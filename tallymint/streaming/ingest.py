@@ -18,6 +18,7 @@ from .. import schemas
 from ..functions.dates import date_from_name
 from ..functions.text import product_id_from_file
 from ..operators import dedup, versions
+from ..session import SHUFFLES_REMOVED
 from ..sources import documents
 from ..sources.files import relative_path
 
@@ -45,6 +46,7 @@ def _finish(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoin
         # A stream's session plans without adaptive execution, which state needs. There is none here, and without it a
         # rebalance leaves a hot day to one task.
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+        batch.sparkSession.conf.set(SHUFFLES_REMOVED, "true")  # those of many batches would add up
         each(batch, batch_id)
 
     query = (
@@ -92,32 +94,34 @@ def _write_prices(docs: DataFrame, table: str, name: str, layout: StructType) ->
 
 
 def ingest_prices(spark: SparkSession, landing: str, table: str, checkpoint: str, mode: str = "append",
-                  product_id: Column | None = None, **scan) -> versions.Version:
+                  product_id: Column | None = None, spread: bool = False, **scan) -> versions.Version:
     """Load price files into a table with versions; returns the version that readers see afterwards.
 
     ``append`` loads the files that are new since the last run, each batch visible once it is written. ``replace`` loads
     all files, whatever was loaded before, and shows them in one moment after the last batch, instead of the old rows and
     the old manifest; a replacement that broke off goes on where it stopped. Rows and rejected rows come from one write and
-    one parse. ``read_prices``, ``rejected_prices`` and ``manifest`` read them.
+    one parse. ``read_prices``, ``rejected_prices`` and ``manifest`` read them. ``spread`` deals a batch's documents out to all
+    cores before they are looked at, which serves batches of few large files that can't be split, as compressed ones.
     """
     if mode not in ("append", "replace"):
         raise ValueError(f"unknown mode {mode}")
     before = versions.newest(spark, table)
     run = before.run + (mode == "replace")
-    docs = price_documents(landing_stream(spark, landing, **scan), landing, product_id)
-    fields = StructType(documents.price_verdicts(docs).schema.fields + StructType.fromDDL(FILE_FIELDS).fields)
+    stream = landing_stream(spark, landing, **scan)
+    fields = StructType(documents.price_verdicts(price_documents(stream, landing, product_id)).schema.fields + StructType.fromDDL(FILE_FIELDS).fields)
     layout = versions.layout(fields, "scrape_date")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         name = f"{run}-{batch_id}"
-        _write_prices(batch, table, name, StructType.fromJson(json.loads(layout)))
+        lines = batch.repartition(spark.sparkContext.defaultParallelism) if spread else batch
+        _write_prices(price_documents(lines, landing, product_id), table, name, StructType.fromJson(json.loads(layout)))
         if mode == "append":
             now = versions.newest(spark, table)
             parts = versions.days_of(spark, table, name, "scrape_date")
             if not parts <= now.parts:  # a batch that is run again may be listed already
                 versions.commit(spark, table, dataclasses.replace(now, run=run, layout=layout, parts=now.parts | parts))
 
-    _finish(docs, load, f"{checkpoint}/run={run}")
+    _finish(stream, load, f"{checkpoint}/run={run}")
     if mode == "replace":
         parts = versions.days_of(spark, table, f"{run}-*", "scrape_date")
         versions.commit(spark, table, dataclasses.replace(before, run=run, layout=layout, parts=frozenset(parts)))

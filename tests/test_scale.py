@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 import io
 import zipfile
 from pathlib import Path
@@ -56,13 +57,18 @@ def test_a_large_archive_is_packed_in_parts(spark, rows, tmp_path):
     assert not [r.error for r in found if r.error]
 
 
+def write_lines(rows, folder):
+    """A table of 100 lines, half of them of each day; ``l_suppkey`` numbers them."""
+    lines = [(i % 9, i, "FO"[i % 2], "AR"[i % 3 % 2], dt.date(2001, 1, 1), i + 0.5, 5.0, 0.0, 0.0, 1) for i in range(100)]
+    rows(lines, "l_partkey long, l_suppkey long, l_linestatus string, l_returnflag string, l_shipdate date, l_extendedprice double, "
+         "l_quantity double, l_discount double, l_tax double, l_linenumber int").coalesce(1).write.parquet(str(folder / "lineitem.parquet"))
+
+
 def test_archives_lie_on_disk_a_round_at_a_time(spark, rows, tmp_path, monkeypatch):
     """Every row comes back, no more archives than those of a round are there at once, and none, nor a shuffle, is left."""
     monkeypatch.setattr(storage_queries, "ROUND", 40)
     monkeypatch.setattr(storage_queries, "MEMBERS", 10)
-    lines = [(i % 9, i, "FO"[i % 2], "ANR"[i % 3], dt.date(2001, 1, 1), i + 0.5, 5.0, 0.0, 0.0, 1) for i in range(100)]
-    rows(lines, "l_partkey long, l_suppkey long, l_linestatus string, l_returnflag string, l_shipdate date, l_extendedprice double, "
-         "l_quantity double, l_discount double, l_tax double, l_linenumber int").coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    write_lines(rows, tmp_path)
     seen, there, read = [], [], archives.read_archives
 
     def noted(session, path, *glob):
@@ -84,6 +90,44 @@ def test_archives_lie_on_disk_a_round_at_a_time(spark, rows, tmp_path, monkeypat
     assert spark.conf.get(SHUFFLES_REMOVED) == "false"
 
 
+def test_landed_documents_are_compressed_and_go_once_they_are_loaded(spark, rows, tmp_path, monkeypatch):
+    write_lines(rows, tmp_path)
+    monkeypatch.setattr(storage_queries, "PIECE", 30)
+    there, load = [], storage_queries.load_landed
+
+    def noted(v, landing, *args, **how):
+        there.append((landing, sorted({f.suffix for f in Path(landing).glob("*/part-*")}), [Path(x).exists() for x, *_ in there]))
+        load(v, landing, *args, **how)
+
+    monkeypatch.setattr(storage_queries, "load_landed", noted)
+    found = storage_queries.ingest_replace(Views(configure(spark), str(tmp_path))).collect()
+    first, other, again = there
+    assert first[1:] == ([".gz"], []) and other[1:] == ([".gz"], [False]) and again[:2] == other[:2]
+    assert not Path(first[0]).exists() and not Path(other[0]).exists()
+    assert sum(r.n for r in found if r.condition != "manifest") == 50 == sum(r.n for r in found if r.condition == "manifest")
+    assert {r.quantity / r.n for r in found if r.condition != "manifest"} == {6.0}
+
+
+def test_documents_of_a_file_are_dealt_to_all_cores(spark, tmp_path, monkeypatch):
+    (tmp_path / "in" / "2025-01-02").mkdir(parents=True)
+    docs = [f'{{"productId": "{k}", "result": [{{"skuId": "{k}", "buckets": []}}]}}' for k in range(40)]
+    with gzip.open(tmp_path / "in" / "2025-01-02" / "a.txt.gz", "wt") as f:
+        f.write("\n".join(docs))
+    parts, parse = [], ingest.price_documents
+
+    def noted(lines, *args):
+        if not lines.isStreaming:
+            parts.append(lines.rdd.getNumPartitions())
+        return parse(lines, *args)
+
+    monkeypatch.setattr(ingest, "price_documents", noted)
+    ingest.ingest_prices(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "cp"), glob="*.gz", whole=False,
+                         product_id=F.get_json_object("value", "$.productId"), spread=True)
+    assert parts == [spark.sparkContext.defaultParallelism]
+    found = ingest.read_prices(spark, str(tmp_path / "t")).collect()
+    assert sorted(int(r.product_id) for r in found) == list(range(40)) and {r.scrape_date for r in found} == {dt.date(2025, 1, 2)}
+
+
 def test_small_archives_are_as_zipfile_reads_them():
     entries = [("a/é.json", "ü" * 99), ("b.json", b""), ("more/c.zip", storage_queries.zipped([("d", "e")])), ("f.txt", bytes(5000))]
     for some in (entries, [], [(f"{i}", "") for i in range(70_000)]):
