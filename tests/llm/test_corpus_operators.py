@@ -225,6 +225,22 @@ def test_partial_copies_hide_no_passage_with_edits(spark, table):
     assert len(want & {(r.doc_id, r.other_doc_id) for r in rows}) >= 0.9 * len(want)
 
 
+def test_edits_near_the_ends_cut_no_passage(spark, table):
+    # Of 60 words 52 are equal, but two that differ stand between each end and the seeds of the middle.
+    rng, texts = np.random.default_rng(16), []
+    for _ in range(5):
+        words = random_words(rng, 60)
+        for places in ((6, 50, 53, 30), (3, 9, 53, 56)):
+            copy = words.copy()
+            for at in places:
+                copy[at] = f"edit{rng.integers(0, 10**9)}"
+            texts.append(" ".join(random_words(rng, 20) + copy + random_words(rng, 20)))
+        texts += [" ".join(random_words(rng, 20) + words[:49] + random_words(rng, 20))]  # one word too few
+    rows = [r for r in passages.passages(table(texts)).collect()]
+    assert {(r.doc_id, r.other_doc_id) for r in rows if r.doc_id % 3 == 1} == {(3 * k + 1, 3 * k) for k in range(5)}
+    assert all(r.end - r.start >= 50 and r.equal_share >= 0.8 for r in rows)
+
+
 def test_few_spans_do_not_move_texts(spark, table, monkeypatch):
     rng, plans = np.random.default_rng(11), []
     shared = random_words(rng, 80)
